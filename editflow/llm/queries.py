@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import bpe_decode, bpe_encode
 from .exact_dedup import exact_dedup
+from .packing import best_fit_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +19,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    done = bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -26,5 +40,5 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM t
 """
 
-QUERIES: dict[str, Query] = {"op6_exact_dedup": op6_exact_dedup}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
