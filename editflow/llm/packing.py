@@ -239,7 +239,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_
     before = before.select(F.col("length").alias("__length"), F.col("__bucket").alias("__b"), (F.sum("__n").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("__n")).alias("__before"))
     ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("length", "__bucket").orderBy(*keys)))
     ranked = ranked.join(before, (F.col("length") == F.col("__length")) & (F.col("__bucket") == F.col("__b")))
-    ranked = ranked.select(*pieces.columns, (F.col("__before") + F.col("__rank") - 1).alias("rank"))
+    names = pieces.columns
+    ranked = ranked.select(*names, (F.col("__before") + F.col("__rank") - 1).alias("rank"))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +251,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             hit = rows_of[np.searchsorted(firsts, key_of(length, rank), "right") - 1]
             j = rank - hit[:, 1]
-            columns = [batch.column(c) for c in pieces.columns]
+            columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(hit[:, 3] + j // hit[:, 2]), pa.array(hit[:, 4] + j % hit[:, 2] * length)], names=schema.names)
 
     return ranked.mapInArrow(place_rows, schema)
