@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
+from .decision_list import fit_rules, judge
 from .exact_dedup import exact_dedup
 from .packing import best_fit_packing
+from .quality_pu import fit_quality, score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,5 +42,18 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM t
 """
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup)}
+def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = fit_quality(docs.where(fold != 2), labels.where(fold != 2))
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", (F.coalesce(fold, F.lit(0)) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
