@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .decision_list import fit_rules, judge
 from .exact_dedup import exact_dedup
+from .license_scan import license_report
 from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
 
@@ -50,10 +51,14 @@ def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (F.coalesce(fold, F.lit(0)) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
