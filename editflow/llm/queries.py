@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .license_scan import license_report
 from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
+from .secret_scan import scan_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
@@ -60,5 +65,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
