@@ -15,6 +15,7 @@ from .license_scan import license_report
 from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
 from .secret_scan import scan_secrets
+from .url_filter import Rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     done = bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), ranks), ranks)
@@ -65,5 +73,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
