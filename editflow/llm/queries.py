@@ -12,6 +12,7 @@ from .bpe import bpe_decode, bpe_encode
 from .decision_list import fit_rules, judge
 from .exact_dedup import exact_dedup
 from .license_scan import license_report
+from .ngram_join import similar_components
 from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
 from .secret_scan import scan_secrets
@@ -56,6 +57,10 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM t
 """
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -73,5 +78,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op6_exact_dedup, op8_quality_pu, op9_license_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
