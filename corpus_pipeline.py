@@ -1,25 +1,65 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes all its predecessor kept.  All but the last return the columns
+of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.llm.exact_dedup import drop_exact_copies
+from editflow.llm.ngram_join import similar_components
+from editflow.llm.packing import best_fit_packing
+from editflow.llm.quality_pu import fit_quality, keep_quality
+from editflow.llm.secret_scan import redact, scan_secrets
+from editflow.llm.tables import settle
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that score below 0.7 go."""
+    return keep_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.7)
 
 
-def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest id stays."""
     return drop_exact_copies(docs)
 
 
-STAGES = [("exact dedup", exact_dedup_stage)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays; rows without an id stay."""
+    found = similar_components(docs, k=5, percent=80)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in their texts; every row stays."""
+    return redact(docs, scan_secrets(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens, each with its sequence and its place there."""
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact_copies),
+    ("n-gram Jaccard join", near_copies),
+    ("secret scans", secrets),
+    ("best-fit packing", packing),
+]
 
 #: Models are trained and sequences packed; SQL can't express that.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn, from the documents of sf_dir; each one's rows are written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
