@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .decision_list import fit_rules, judge
 from .exact_dedup import exact_dedup
+from .hmm_lm import score_texts
 from .license_scan import license_report
 from .ngram_join import similar_components
 from .packing import best_fit_packing
@@ -46,6 +47,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -78,5 +83,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
