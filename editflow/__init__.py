@@ -1,0 +1 @@
+"""Spark-native analysis of streams of page edits."""
