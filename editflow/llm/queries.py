@@ -83,5 +83,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS grams FROM t),
+u AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM u x JOIN u y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 85 * (len(x.grams) + len(y.grams) - n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM s UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.id GROUP BY s.doc_id, grams
+"""
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules)}
-SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL}
