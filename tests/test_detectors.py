@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from editflow.operators import anomaly, conflict, upsert, windows
 from editflow.operators.anomaly import Detector
@@ -10,8 +11,6 @@ from editflow.plans import audit, reports
 from editflow.plans.reports import Filters
 from editflow.streaming import streams
 
-from pyspark.sql import functions as F
-
 T0 = datetime(2024, 1, 1)
 EDIT = "event_id long, event_time timestamp, wiki string, page_title string, page_id long, user string, is_bot boolean, is_revert boolean, revision_id long, revert_target_revision_id long, byte_length_delta long, provenance_id string"
 
@@ -111,3 +110,8 @@ def test_ttl_guard():
     streams.check_ttl(Slide(300, 60), 120, 420)
     with pytest.raises(ValueError):
         streams.check_ttl(Slide(300, 60), 120, 419)
+
+
+def test_half_the_slide_makes_twice_the_windows(spark):
+    rows = edits(spark, [(60 * i + 7, "a", i, None, 0) for i in range(50)])
+    assert windows.assign_windows(rows, Slide(300, 30)).count() == 2 * windows.assign_windows(rows, Slide(300, 60)).count()
