@@ -2,9 +2,9 @@
 
 Linked texts share a token among the first of each in any order of all tokens,
 if "the first" are as many as the similarity demands.  Under the first order,
-rare tokens before common ones, sharing texts are brought together; under two
-other orders, candidates that share no first token are dropped before texts are
-fetched and compared.
+rare tokens before common ones, sharing texts are brought together; candidates
+must share a first token under two other orders as well before they are
+compared token by token.
 
 Groups are not paired off.  In a posting list every text is compared with one
 leader, the text with the fewest rare tokens, which joins a group of copies in
@@ -12,11 +12,14 @@ as many comparisons as it has texts; lists of common tokens are split, and
 their leaders compared with one leader.  Then only texts of one list that lie
 in different components are left to compare, and all of these are.  So the
 components are exact, whatever the leaders.
+
+Texts are not sent once per pair: pairs are dealt to blocks by their leader, a
+large group's by halves of the pair as well, and a block gets each of its texts
+once.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +30,20 @@ from pyspark.sql import types as T
 
 from .components import connected_components
 from .tables import settle
-from .text import LOWER, Block, binary_column, blocks, mix, shingle_hashes, span_hashes, word_spans
+from .text import LOWER, Block, blocks, mix, shingle_hashes, span_hashes, word_spans
 
 _U = np.uint64
 #: The odd factors that make other orders of the same hashes.
 _ORDERS = (0x9FB21C651E98DF25, 0xA0761D6478BD642F)
-#: Cells that count tokens by hash, to tell common from rare; fixed, so the counts stay 8 MB for any corpus.
-CELL_BITS = 20
+#: Cells that count tokens by hash, to tell common from rare; fixed, so the counts stay 16 MB for any corpus.
+CELL_BITS = 21
+#: A list is kept in parts of about this many times the count from which a token is common.
+PART_LEVELS = 6
 _CELLS_A_ROW = 1 << 12
 #: Bits by hashed id that say which texts are candidates.  A false one costs a fetch, no result.
 ID_BITS = 23
+#: Texts of a block; a leader with more members is spread over several.
+BLOCK_TEXTS = 1000
 
 
 def _sort(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -61,6 +68,22 @@ def token_sets(block: Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row, token, np.bincount(row, minlength=block.n)
 
 
+def _meet(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def _linked(x: tuple[np.ndarray, list[np.ndarray]], y: tuple[np.ndarray, list[np.ndarray]], num: int, den: int) -> bool:
+    """Whether two texts, each its tokens and its first tokens in the other orders, are similar enough."""
+    (s, shown_s), (t, shown_t) = x, y
+    if not len(s) or not len(t) or not all(_meet(u, v) for u, v in zip(shown_s, shown_t)):
+        return False
+    both = _meet(s, t)
+    return both * den >= (len(s) + len(t) - both) * num
+
+
 def prefix_sizes(n: np.ndarray, num: int, den: int) -> np.ndarray:
     """How many first tokens a set of n must show: n - ceil(n * num / den) + 1, none for empty sets."""
     return np.where(n > 0, n + (-n * num) // den + 1, 0)
@@ -71,41 +94,33 @@ def _first(row: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(size, n)
 
 
-def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """For each document (id, n, f1, f2): set size and first tokens in the other orders, 16 bits each; and rows (cell, counts) of token counts."""
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("f1", T.BinaryType()), T.StructField("f2", T.BinaryType()), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+def _profiles(docs: DataFrame, k: int) -> DataFrame:
+    """For each document a row (id, n) with its set size; and rows (cell, counts) of token counts."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                row, token, n = token_sets(block, k)
+                _, token, n = token_sets(block, k)
                 np.add.at(cells, (token >> _U(64 - CELL_BITS)).astype(np.int64), 1)
-                size = prefix_sizes(n, num, den)
-                firsts = []
-                for factor in _ORDERS:
-                    other = token * _U(factor)
-                    chosen = mix(other[_sort(row, other)][_first(row, n, size)])
-                    firsts.append(binary_column((chosen >> _U(48)).astype(np.uint16), size))
-                none = pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), *firsts, *none], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
         parts = cells.reshape(-1, _CELLS_A_ROW)
         used = np.flatnonzero(parts.any(1))
-        counts = pa.array([parts[i].astype("<i8").tobytes() for i in used], pa.binary())
-        blank = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*blank, pa.array(used.astype(np.int32)), counts], names=schema.names)
+        counts = pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.array(used.astype(np.int32)), counts], names=schema.names)
 
     return docs.mapInArrow(profile, schema)
 
 
 def _levels(profiles: DataFrame) -> np.ndarray:
-    """For each cell how common its tokens are: 0 up to twice the mean, then the binary logarithm of the multiple."""
+    """For each cell how common its tokens are: 0 up to three deviations above the mean cell, then one more for each doubling."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for cell, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts = np.frombuffer(raw.as_py(), "<i8")
+                counts = np.frombuffer(raw.as_py(), "<i4").astype(np.int64)
                 sums[cell] = sums[cell] + counts if cell in sums else counts
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["cell", "counts"])
 
@@ -113,18 +128,20 @@ def _levels(profiles: DataFrame) -> np.ndarray:
     cells = np.zeros(1 << CELL_BITS, np.float64)
     for r in parts.collect():  # as many cells as CELL_BITS says, for any corpus
         cells[r["cell"] * _CELLS_A_ROW : (r["cell"] + 1) * _CELLS_A_ROW] += np.frombuffer(r["counts"], "<i8")
-    mean = max(cells.mean(), 1.0)
-    return np.clip(np.floor(np.log2(np.maximum(cells, 1) / mean)), 0, 63).astype(np.uint8)
+    mean = cells.mean()
+    above = (cells - mean) / (3 * np.sqrt(max(mean, 1.0)))
+    return np.where(above > 1, np.minimum(1 + np.floor(np.log2(np.maximum(above, 1))), 63), 0).astype(np.uint8)
 
 
 def _postings(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """Rows (token, id, n, lead, lead_n, rare, level): the members of posting lists under the first order, each with its list's leader.
+    """Rows (token, id, n, room, lead, lead_n, lead_room, rare, level): the members of posting lists under the first order, each with its list's leader.
 
-    A list of a token of level l is kept in 2**l parts by id; lists and parts
-    of one member are left out, save those of common tokens.
+    room is how many of the text's tokens, in this order, are left from this
+    one on.  A list of a token of level l is kept in 2**(l - PART_LEVELS) parts
+    by id; lists of one member are left out, save those of common tokens.
     """
     level_of = docs.sparkSession.sparkContext.broadcast(levels)
-    listed = "token long, part int, level int, rare int, id long, n int"
+    listed = "token long, part int, level int, rare int, id long, n int, room int"
 
     def list_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = level_of.value
@@ -136,14 +153,15 @@ def _postings(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -
                 first = _first(row, n, prefix_sizes(n, num, den))
                 row_, token_, level_ = row[first], token[order][first], level[order][first].astype(np.int64)
                 rare = np.bincount(row[level == 0], minlength=block.n)
+                room = (np.repeat(np.cumsum(n), n) - np.arange(len(row)))[first]
                 ids = batch.column(0).slice(block.first, block.n).to_numpy()[row_]
-                part = (mix(ids.astype(np.uint64)) >> _U(1)).astype(np.int64) % (1 << np.minimum(level_, 30))
-                columns = [token_.view(np.int64), part.astype(np.int32), level_.astype(np.int32), rare[row_].astype(np.int32), ids, n[row_].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "part", "level", "rare", "id", "n"])
+                part = (mix(ids.astype(np.uint64)) >> _U(1)).astype(np.int64) % (1 << np.clip(level_ - PART_LEVELS, 0, 30))
+                columns = [token_.view(np.int64), part.astype(np.int32), level_.astype(np.int32), rare[row_].astype(np.int32), ids, n[row_].astype(np.int32), room.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "part", "level", "rare", "id", "n", "room"])
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by list and rank; only the current list's leader is carried from batch to batch."""
-        names = ["token", "part", "level", "rare", "id", "n"]
+        names = ["token", "part", "level", "rare", "id", "n", "room"]
         carried, told = None, True
         for batch in batches:
             if not batch.num_rows:
@@ -163,39 +181,25 @@ def _postings(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -
             carried = [c[at[-1] : at[-1] + 1] for c in x]
             told = bool(listed_now[-1]) or (again and len(size) == 1)
             i = np.flatnonzero(show)
-            columns = [x[0][i], x[4][i], x[5][i], x[4][head[i]], x[5][head[i]], x[3][i], x[2][i]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "n", "lead", "lead_n", "rare", "level"])
+            columns = [x[0][i], x[4][i], x[5][i], x[6][i], x[4][head[i]], x[5][head[i]], x[6][head[i]], x[3][i], x[2][i]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "n", "room", "lead", "lead_n", "lead_room", "rare", "level"])
 
     rows = docs.where(F.col("id").isNotNull()).mapInArrow(list_tokens, listed)
     sorted_rows = rows.repartition("token", "part").sortWithinPartitions("token", "part", "rare", "n", "id")
-    return sorted_rows.mapInArrow(lead, "token long, id long, n int, lead long, lead_n int, rare int, level int")
-
+    return sorted_rows.mapInArrow(lead, "token long, id long, n int, room int, lead long, lead_n int, lead_room int, rare int, level int")
 
-def _sizes_fit(a: Column, b: Column, num: int, den: int) -> Column:
-    return F.least(a, b).cast("long") * den >= F.greatest(a, b).cast("long") * num
 
+def _may_link(n_a: Column, room_a: Column, n_b: Column, room_b: Column, num: int, den: int) -> Column:
+    """Whether two texts whose first common token is this one can be similar enough.
 
-def _share_first(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts share a first token in each of the other orders."""
-    for side in ("a", "b"):
-        firsts = profiles.where(F.col("id").isNotNull()).select(F.col("id").alias(f"__{side}"), F.col("f1").alias(f"f1{side}"), F.col("f2").alias(f"f2{side}"))
-        pairs = pairs.join(firsts, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
-
-    def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for order in ("f1", "f2"):
-                for i, (x, y) in enumerate(zip(batch.column(order + "a"), batch.column(order + "b"))):
-                    if keep[i]:
-                        keep[i] = bool(np.intersect1d(np.frombuffer(x.as_py(), np.uint16), np.frombuffer(y.as_py(), np.uint16)).size)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return pairs.mapInArrow(overlap, "a long, b long")
+    They need num / (num + den) of both sizes in common, and have at most what
+    is left of the smaller rest.
+    """
+    return F.least(room_a, room_b).cast("long") * (num + den) >= (n_a.cast("long") + n_b) * num
 
 
-def _candidate_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (id, text) of docs that pairs name, and a few more: a filter before the join, of a size that ID_BITS fixes."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+def _candidate_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The (id, text) of docs whose ids are in named, and a few more: a filter before the join, of a size that ID_BITS fixes."""
     at = F.xxhash64("id")
     bits = named.select((F.shiftrightunsigned(at, 64 - ID_BITS + 6)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(id), 64) as int))").alias("bit"))
     words = np.zeros(1 << (ID_BITS - 6), np.int64)
@@ -213,32 +217,39 @@ def _candidate_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows (a, b, link): the pairs compared, token by token."""
-    texts = _candidate_texts(docs, pairs)
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("id").alias(f"__{side}"), F.col("text").alias(f"text_{side}")), F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: OrderedDict[int, np.ndarray] = OrderedDict()
-
-        def tokens(key: int, text: pa.Scalar) -> np.ndarray:
-            if key not in recent:
-                recent[key] = token_sets(next(blocks(pa.array([text.as_py()], pa.string()))), k)[1]
-                if len(recent) > 256:
-                    recent.popitem(last=False)
-            recent.move_to_end(key)
-            return recent[key]
-
-        for batch in batches:
-            link = np.zeros(batch.num_rows, bool)
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            for i, (x, y) in enumerate(zip(batch.column("text_a"), batch.column("text_b"))):
-                s, t = tokens(a[i], x), tokens(b[i], y)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                link[i] = both > 0 and both * den >= (len(s) + len(t) - both) * num
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(link)], names=["a", "b", "link"])
-
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, link boolean")
+    """Rows (a, b, link): the pairs (a, b, lead) compared, in blocks that get each of their texts once."""
+    pairs = settle(pairs, "pairs")
+    members = settle(pairs.select("lead", F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
+    total = members.count()
+    parts = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("g")).where(F.col("g") > 1)
+    buckets = F.lit(max(1, total // BLOCK_TEXTS))
+    half = lambda side: F.pmod(F.xxhash64(side), F.coalesce("g", F.lit(1)))
+    placed = pairs.join(parts, "lead", "left").select("a", "b", F.pmod(F.xxhash64("lead", half("a"), half("b")), buckets).cast("int").alias("block"))
+    placed = settle(placed, "placed")
+    needed = placed.select(F.col("block").alias("of_block"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = needed.join(_candidate_texts(docs, members.select("id")), "id").select("of_block", "id", "text")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        sets: dict[int, list[tuple[np.ndarray, list[np.ndarray]]]] = {}  # rows that share an id have several
+        ids = right.column("id").to_numpy()
+        for block in blocks(right.column("text")):
+            row, token, n = token_sets(block, k)
+            size = prefix_sizes(n, num, den)
+            upto, shown = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(size)])
+            firsts = []
+            for factor in _ORDERS:
+                other = token * _U(factor)
+                firsts.append(other[_sort(row, other)][_first(row, n, size)])
+            for i in range(block.n):
+                mine = token[upto[i] : upto[i + 1]].copy(), [f[shown[i] : shown[i + 1]].copy() for f in firsts]
+                sets.setdefault(int(ids[block.first + i]), []).append(mine)
+        a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
+        link = np.zeros(len(a), bool)
+        for i, (x, y) in enumerate(zip(a, b)):
+            link[i] = any(_linked(u, v, num, den) for u in sets.get(x, ()) for v in sets.get(y, ()))
+        return pa.table([left.column("a"), left.column("b"), pa.array(link)], names=["a", "b", "link"])
+
+    return placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "a long, b long, link boolean")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -253,29 +264,28 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     num, den = percent, 100
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    profiles = settle(_profiles(rows, k, num, den), "profiles")
+    profiles = settle(_profiles(rows, k), "profiles")
     postings = settle(_postings(rows, _levels(profiles), k, num, den), "postings")
 
-    fits = _sizes_fit(F.col("n"), F.col("lead_n"), num, den)
+    fits = _may_link(F.col("n"), F.col("room"), F.col("lead_n"), F.col("lead_room"), num, den)
     stars = postings.where((F.col("id") != F.col("lead")) & fits).select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    heads = postings.where((F.col("level") > 0) & (F.col("id") == F.col("lead"))).select("token", "rare", "id", "n")
-    chief = heads.groupBy("token").agg(F.min(F.struct("rare", "n", "id")).alias("c"))
-    over = heads.join(chief, "token").where((F.col("id") != F.col("c.id")) & _sizes_fit(F.col("n"), F.col("c.n"), num, den))
+    heads = postings.where((F.col("level") > 0) & (F.col("id") == F.col("lead"))).select("token", "rare", "id", "n", "room")
+    chief = heads.groupBy("token").agg(F.min(F.struct("rare", "n", "id", "room")).alias("c"))
+    over = heads.join(chief, "token").where((F.col("id") != F.col("c.id")) & _may_link(F.col("n"), F.col("room"), F.col("c.n"), F.col("c.room"), num, den))
     stars = stars.unionByName(over.select(F.col("c.id").alias("a"), F.col("id").alias("b"))).distinct()
-    compared = settle(_verified(settle(_share_first(stars, profiles), "pairs"), rows, k, num, den), "compared")
+    compared = settle(_verified(stars.withColumn("lead", F.col("a")), rows, k, num, den), "compared")
     links = compared.where("link").select(F.col("a").alias("u"), F.col("b").alias("v"))
     components = settle(connected_components(links), "components")
 
-    # what the leaders left: texts of one list, of fitting sizes, that are not in one component yet
-    member = postings.select("token", "id", "n").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # what the leaders left: texts of one list that may link and are not in one component yet
+    member = postings.select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = member.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where(F.col("c1") < F.col("c2")).select("token")
     open_lists = settle(member.join(mixed, "token", "left_semi"), "open-lists")
-    x = open_lists.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = open_lists.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    left = x.join(y, "token").where((F.col("ca") < F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb"), num, den)).select("a", "b").distinct()
+    side = lambda i, s: open_lists.select("token", F.col("id").alias(i), F.col("n").alias(f"n{s}"), F.col("room").alias(f"room{s}"), F.col("component").alias(f"c{s}"), F.col("lead").alias(f"lead{s}"))
+    open_pairs = side("a", 1).join(side("b", 2), "token").where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
+    left = open_pairs.groupBy("a", "b").agg(F.min(F.least("lead1", "lead2")).alias("lead"))
     done = compared.select("a", "b").unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    left = left.join(done, ["a", "b"], "left_anti")
-    more = settle(_verified(settle(_share_first(left, profiles), "pairs"), rows, k, num, den), "compared").where("link")
+    more = settle(_verified(left.join(done, ["a", "b"], "left_anti"), rows, k, num, den), "compared").where("link")
     final = connected_components(links.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     named = profiles.where(F.col("cell").isNull()).select("id", F.col("n").alias("n_shingles"))
     out = named.join(final, "id", "left")
