@@ -75,7 +75,7 @@ class PieceIds:
     anew.  This bounds memory and never changes a result.
     """
 
-    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list], limit: int = 1 << 21):
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list], limit: int = 1 << 19):
         self.encode, self.limit = encode, limit
         self._clear()
 
