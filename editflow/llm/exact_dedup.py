@@ -3,8 +3,9 @@
 DataFrame functions only.  The aggregation is keyed by the hash and the text
 itself, so that Spark's hash table compares the bytes of rows whose hashes
 agree, and collisions become groups of their own.  A hot group is collapsed to
-one row per map task before the shuffle; the join that hands the groups back to
-their rows is a plain equi-join, which Spark may split where it is skewed.
+one row per map task before the shuffle.  Only groups of several rows are handed
+back to their rows, in a join whose key is salted, so that a hot group's rows are
+spread over several tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Tasks that the rows of one group are spread over at least.
+SALTS = 16
 #: White space as the contract defines it.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -51,9 +54,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are not read.  An empty table gives no rows.
     """
     norm = normalised(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), hash_of(norm).alias("hash"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("text_sha256"))
-    found = rows.join(exact_groups(docs, id_col, text_col, hash_of), ["hash", "text_sha256"])
-    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
+    rows = docs.select(F.col(id_col).alias("id"), hash_of(norm).alias("hash"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("text_sha256"), salt.alias("salt"))
+    several = exact_groups(docs, id_col, text_col, hash_of).where(F.col("group_size") > 1).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = rows.join(several, ["hash", "text_sha256", "salt"], "left")
+    alone = F.col("group_size").isNull()
+    keep_id = F.when(alone, F.col("id")).otherwise(F.col("keep_id"))
+    return found.select(F.col("id").alias(id_col), keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
