@@ -4,7 +4,9 @@ Linked texts share a token among the first of each in any order of all tokens,
 if "the first" are as many as the similarity demands.  Under the first order,
 rare tokens before common ones, sharing texts are brought together; candidates
 must share a first token under two other orders as well before they are
-compared token by token.
+compared token by token.  Before texts are fetched, pairs are dropped whose
+first common token leaves too little room, or whose tokens' counts by class
+bound what they can share below what they need; both filters are exact.
 
 Groups are not paired off.  In a posting list every text is compared with one
 leader, the text with the fewest rare tokens, which joins a group of copies in
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from .components import connected_components
 from .tables import settle
-from .text import LOWER, Block, blocks, mix, shingle_hashes, span_hashes, word_spans
+from .text import LOWER, Block, binary_column, blocks, mix, shingle_hashes, span_hashes, word_spans
 
 _U = np.uint64
 #: The odd factors that make other orders of the same hashes.
@@ -42,6 +44,8 @@ PART_LEVELS = 6
 _CELLS_A_ROW = 1 << 12
 #: Bits by hashed id that say which texts are candidates.  A false one costs a fetch, no result.
 ID_BITS = 23
+#: Classes of tokens by hash.  Two sets share at most the sum of the smaller counts of each class.
+BARS = 64
 #: Texts of a block; a leader with more members is spread over several.
 BLOCK_TEXTS = 1000
 
@@ -95,20 +99,25 @@ def _first(row: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, k: int) -> DataFrame:
-    """For each document a row (id, n) with its set size; and rows (cell, counts) of token counts."""
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    """For each document a row (id, n, bars): its set size, and how many tokens fall in each of BARS; and rows (cell, counts) of token counts.
+
+    Sets too large for 16-bit bars have empty ones.
+    """
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bars", T.BinaryType()), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                _, token, n = token_sets(block, k)
+                row, token, n = token_sets(block, k)
+                bars = np.bincount(row * BARS + (token & _U(BARS - 1)).astype(np.int64), minlength=block.n * BARS).reshape(-1, BARS)
+                fit = bars.max(1, initial=0) < 1 << 16
                 np.add.at(cells, (token >> _U(64 - CELL_BITS)).astype(np.int64), 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), binary_column(bars[fit].astype("<u2").ravel(), fit * BARS), pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
         parts = cells.reshape(-1, _CELLS_A_ROW)
         used = np.flatnonzero(parts.any(1))
         counts = pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.array(used.astype(np.int32)), counts], names=schema.names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), counts], names=schema.names)
 
     return docs.mapInArrow(profile, schema)
 
@@ -216,9 +225,28 @@ def _candidate_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
     return docs.where(F.col("id").isNotNull()).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(pick, "id long, text string")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows (a, b, link): the pairs (a, b, lead) compared, in blocks that get each of their texts once."""
-    pairs = settle(pairs, "pairs")
+def _within_bound(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose bars allow enough tokens in common: a small exact filter before texts are fetched."""
+    for side in ("a", "b"):
+        bars = profiles.where(F.col("id").isNotNull()).select(F.col("id").alias(f"__{side}"), F.col("bars").alias(f"bars_{side}"))
+        pairs = pairs.join(bars, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([v.as_py() for v in batch.column(c)] for c in ("bars_a", "bars_b"))
+            both = np.array([len(u) > 0 and len(v) > 0 for u, v in zip(x, y)], bool)
+            keep = ~both
+            at = np.flatnonzero(both)
+            u, v = (np.frombuffer(b"".join(z[i] for i in at), "<u2").reshape(-1, BARS).astype(np.int64) for z in (x, y))
+            keep[at] = np.minimum(u, v).sum(1) * (num + den) >= (u.sum(1) + v.sum(1)) * num
+            yield batch.select(["a", "b", "lead"]).filter(pa.array(keep))
+
+    return pairs.select("a", "b", "lead", "bars_a", "bars_b").mapInArrow(bound, "a long, b long, lead long").distinct()
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Rows (a, b, link): the pairs (a, b, lead) that may link compared, in blocks that get each of their texts once."""
+    pairs = settle(_within_bound(pairs, profiles, num, den), "pairs")
     members = settle(pairs.select("lead", F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
     total = members.count()
     parts = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("g")).where(F.col("g") > 1)
@@ -273,7 +301,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chief = heads.groupBy("token").agg(F.min(F.struct("rare", "n", "id", "room")).alias("c"))
     over = heads.join(chief, "token").where((F.col("id") != F.col("c.id")) & _may_link(F.col("n"), F.col("room"), F.col("c.n"), F.col("c.room"), num, den))
     stars = stars.unionByName(over.select(F.col("c.id").alias("a"), F.col("id").alias("b"))).distinct()
-    compared = settle(_verified(stars.withColumn("lead", F.col("a")), rows, k, num, den), "compared")
+    compared = settle(_verified(stars.withColumn("lead", F.col("a")), profiles, rows, k, num, den), "compared")
     links = compared.where("link").select(F.col("a").alias("u"), F.col("b").alias("v"))
     components = settle(connected_components(links), "components")
 
@@ -285,7 +313,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_pairs = side("a", 1).join(side("b", 2), "token").where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
     left = open_pairs.groupBy("a", "b").agg(F.min(F.least("lead1", "lead2")).alias("lead"))
     done = compared.select("a", "b").unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = settle(_verified(left.join(done, ["a", "b"], "left_anti"), rows, k, num, den), "compared").where("link")
+    more = settle(_verified(left.join(done, ["a", "b"], "left_anti"), profiles, rows, k, num, den), "compared").where("link")
     final = connected_components(links.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     named = profiles.where(F.col("cell").isNull()).select("id", F.col("n").alias("n_shingles"))
     out = named.join(final, "id", "left")
