@@ -5,12 +5,16 @@ in license texts.  A hit votes for its diagonal, the place in the text less the
 place in the template: an untouched copy puts all its votes on one diagonal,
 an inserted or missing word moves the rest to a neighbouring one.  Diagonals
 close to each other are merged to spans, and a span counts if it has enough of
-the template's k-grams.
+the template's k-grams.  Votes are kept in chunks of 63 places of the template,
+so a template may be a whole license.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +24,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GAP = "".join(chr(c) for c in [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 GAP_PATTERN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-# Phrases, their labels, and the opening or notice texts of common licenses.
+#: Places of a template whose votes are bits of one number.
+CHUNK = 63
+#: Whole licenses, in files named by label and license.
+LICENSE_TEXTS = Path(__file__).with_name("licenses")
+#: Paragraphs of a license are templates of their own from this many words on, unless this share of their triples stands in another label's license or in a notice.
+PARAGRAPH_WORDS, SHARED = 12, 0.4
+
+# Phrases, their labels, the opening or notice texts of common licenses, and their short forms.
 PHRASES = {
     "mit license": "mit",
     "apache license": "apache",
@@ -40,6 +51,13 @@ NOTICES = {
     "this work is licensed under a creative commons attribution": "cc",
     "licensed under the creative commons attribution sharealike": "cc",
 }
+#: Creative Commons licenses and their versions.
+CC_FORMS, CC_VERSIONS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"), ("1 0", "2 0", "2 5", "3 0", "4 0")
+#: Names on SPDX lines, as words.
+SPDX = {
+    "mit": "mit", "apache 1 1": "apache", "apache 2 0": "apache", "gpl 1 0": "gpl", "gpl 2 0": "gpl", "gpl 3 0": "gpl", "lgpl 2 0": "lgpl", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl",
+    "agpl 3 0": "agpl", "bsd 2 clause": "bsd", "bsd 3 clause": "bsd", "isc": "isc", "mpl 1 1": "mpl", "mpl 2 0": "mpl", "cc0 1 0": "cc",
+} | {f"cc {form} {version}": "cc" for form in CC_FORMS for version in CC_VERSIONS}
 
 
 @dataclass(frozen=True)
@@ -58,8 +76,44 @@ class Template:
         return len(self.words) - self.k + 1
 
 
+def _short_forms() -> dict[str, str]:
+    """Creative Commons by abbreviation, with its version or after "licensed under", and SPDX lines, with a second license too."""
+    forms = {t: "cc" for form in CC_FORMS for t in (*(f"cc {form} {v}" for v in CC_VERSIONS), f"licensed under cc {form}", f"licensed under a cc {form}", f"licensed under the cc {form}")}
+    for name, label in SPDX.items():
+        forms[f"spdx license identifier {name}"] = label
+        for word in ("or", "and"):
+            seconds = [f"{word} {name}"] if " " in name else [f"{last} {word} {name}" for last in ("0", "1", "clause", "only", "later")]
+            forms |= dict.fromkeys(seconds, label)
+    return forms
+
+
+def _plain_words(text: str) -> tuple[str, ...]:
+    """The words of a license file, as word_array has them."""
+    bare = text.translate(str.maketrans(UPPER, UPPER.lower())).strip(GAP)
+    return tuple(re.split(GAP_PATTERN, bare)) if bare else ()
+
+
+def _triples(words: tuple[str, ...]) -> set[tuple[str, ...]]:
+    return set(zip(words, words[1:], words[2:]))
+
+
+@cache
+def _license_bodies() -> dict[tuple[str, ...], str]:
+    """Whole licenses, and those of their paragraphs that tell them from other labels' licenses and are no notices."""
+    texts = [(f.name.split(".")[0], f.read_text()) for f in sorted(LICENSE_TEXTS.glob("*.txt"))]
+    known = [(None, _triples(tuple(t.split()))) for t in NOTICES] + [(label, _triples(_plain_words(t))) for label, t in texts]
+    bodies = {_plain_words(t): label for label, t in texts}
+    for label, text in texts:
+        for words in map(_plain_words, re.split(r"\n\s*\n", text)):
+            grams = _triples(words)
+            if len(words) >= PARAGRAPH_WORDS and all(label == other or len(grams & theirs) < SHARED * len(grams) for other, theirs in known):
+                bodies.setdefault(words, label)
+    return bodies
+
+
 def default_templates() -> list[Template]:
-    return [Template(tuple(t.split()), label, base) for table, base in ((PHRASES, True), (NOTICES, False)) for t, label in table.items()]
+    short = [Template(tuple(t.split()), label, base) for table, base in ((PHRASES, True), (NOTICES, False), (_short_forms(), False)) for t, label in table.items()]
+    return short + [Template(words, label, False) for words, label in _license_bodies().items()]
 
 
 def word_array(text: Column) -> Column:
@@ -72,42 +126,60 @@ def _gram_table(spark: SparkSession, templates: list[Template]) -> DataFrame:
     """One row per template and place: bounded by the templates given, so it may be broadcast."""
     rows = [(n, i, t.k, t.words[i], t.words[i + 1], t.words[i + 2] if t.k == 3 else None) for n, t in enumerate(templates) for i in range(t.grams)]
     made = spark.createDataFrame(rows, "template int, t_place int, k int, a string, b string, c string")
-    return made.withColumn("gram", F.xxhash64("a", "b"))
+    return made.withColumn("t_gram", F.when(F.col("k") == 2, F.xxhash64("a", "b")).otherwise(F.xxhash64("a", "b", "c")))
 
 
 def diagonals(docs: DataFrame, templates: list[Template], id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, template, diagonal, voted, first, last, n_words): the votes on each diagonal.
+    """Rows (id, template, diagonal, chunk, voted, first, last, n_words): the votes on each diagonal for each chunk of the template.
 
-    voted has a bit for each place of the template, so that repeated rows vote
+    voted has a bit for each place of the chunk, so that repeated rows vote
     once.  The row of a document's first word carries n_words.
     """
-    if any(t.grams > 63 or t.grams < 1 for t in templates):
-        raise ValueError("a template has 2 to 65 words; cut longer ones")
+    if any(t.grams < 1 for t in templates):
+        raise ValueError("a phrase has at least two words, another template three")
     grams = _gram_table(docs.sparkSession, templates)
     words = docs.select(F.col(id_col).alias("id"), word_array(F.col(text_col)).alias("words"))
     placed = words.select("id", "words", F.posexplode_outer("words").alias("place", "w1"))
     w2, w3 = F.get("words", F.col("place") + 1), F.get("words", F.col("place") + 2)
-    rolled = placed.select("id", F.coalesce("place", F.lit(0)).alias("place"), F.when(F.coalesce("place", F.lit(0)) == 0, F.size("words")).alias("n_words"), "w1", w2.alias("w2"), w3.alias("w3"), F.when(w2.isNotNull(), F.xxhash64("w1", w2)).alias("gram"))
+    rolled = placed.select("id", F.coalesce("place", F.lit(0)).alias("place"), F.when(F.coalesce("place", F.lit(0)) == 0, F.size("words")).alias("n_words"), "w1", w2.alias("w2"), w3.alias("w3"))
+    # pairs are looked up only where a phrase begins, so that other words take one look
+    begins = sorted({w for t in templates if t.base for w in t.words[:-1]})
+    pair, triple = F.xxhash64("w1", "w2"), F.when(F.col("w3").isNotNull(), F.xxhash64("w1", "w2", "w3"))
+    rolled = rolled.withColumn("gram", F.explode(F.when(F.col("w2").isNotNull() & F.col("w1").isin(begins), F.array(triple, pair)).otherwise(F.array(triple))))
     same = (F.col("w1") == F.col("a")) & (F.col("w2") == F.col("b")) & ((F.col("k") == 2) | (F.col("w3") == F.col("c")))
-    hits = rolled.join(F.broadcast(grams.withColumnRenamed("gram", "t_gram")), (F.col("gram") == F.col("t_gram")) & same, "left")
+    hits = rolled.join(F.broadcast(grams), (F.col("gram") == F.col("t_gram")) & same, "left")
     hits = hits.where(F.col("template").isNotNull() | F.col("n_words").isNotNull())
-    return hits.groupBy("id", "template", (F.col("place") - F.col("t_place")).alias("diagonal")).agg(
-        F.bit_or(F.expr("shiftleft(1L, t_place)")).alias("voted"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("n_words").alias("n_words")
+    return hits.groupBy("id", "template", (F.col("place") - F.col("t_place")).alias("diagonal"), F.expr(f"t_place div {CHUNK}").alias("chunk")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, t_place % {CHUNK})")).alias("voted"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("n_words").alias("n_words")
     )
 
 
 def _spans(found: DataFrame, templates: list[Template], max_shift: int, max_gap: int, cover: float) -> DataFrame:
-    """Rows (id, n_words, template, label, base, start, end, coverage, verified); end is the place after the last word."""
-    sizes = found.sparkSession.createDataFrame([(n, t.label, t.base, t.k, t.grams) for n, t in enumerate(templates)], "t int, label string, base boolean, t_k int, grams int")
-    near = Window.partitionBy("id", "template").orderBy("first", "diagonal")
-    apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(near)) > max_shift) | (F.col("first") - F.lag("last").over(near) > max_gap)
+    """Rows (id, n_words, template, label, base, start, end, coverage, verified); end is the place after the last word.
+
+    Diagonals within max_shift of the next are one group, which is cut where
+    more than max_gap words have no votes; both are for each chunk of a template.
+    """
+    sizes = found.sparkSession.createDataFrame([(n, t.label, t.base, t.k, t.grams, -(-t.grams // CHUNK)) for n, t in enumerate(templates)], "t int, label string, base boolean, t_k int, grams int, chunks int")
     known = found.join(F.broadcast(sizes), F.col("template") == F.col("t"), "left")
+    by_diagonal = Window.partitionBy("id", "template").orderBy("diagonal", "chunk")
+    step = F.col("diagonal") - F.lag("diagonal").over(by_diagonal)
     # phrases stand as they are: each of their diagonals is a place of its own
-    part = known.withColumn("__new", F.when(F.col("base") | apart | F.lag("first").over(near).isNull(), 1).otherwise(0))
-    part = part.withColumn("__span", F.sum("__new").over(near))
-    spans = part.groupBy("id", "template", "__span").agg(
+    part = known.withColumn("__apart", F.when((F.col("base") & (step != 0)) | (step > max_shift * F.col("chunks")), 1).otherwise(0))
+    part = part.withColumn("__group", F.sum("__apart").over(by_diagonal))
+    by_place = Window.partitionBy("id", "template", "__group").orderBy("first", "diagonal", "chunk")
+    gap = F.col("first") - F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    part = part.withColumn("__cut", F.when(~F.col("base") & (gap > max_gap * F.col("chunks")), 1).otherwise(0))
+    part = part.withColumn("__span", F.sum("__cut").over(by_place))
+    span = ["id", "template", "__group", "__span"]
+    # the bits of each chunk, then their sum
+    chunks = part.groupBy(*span, "chunk").agg(
+        F.first("label").alias("label"), F.first("base").alias("base"), F.first("t_k").alias("t_k"), F.first("grams").alias("grams"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.bit_count(F.bit_or("voted")).alias("voted"), F.max("n_words").alias("n_words"),
+    )
+    spans = chunks.groupBy(*span).agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.min("first").alias("start"), (F.max("last") + F.first("t_k")).alias("end"),
-        (F.bit_count(F.bit_or("voted")) / F.first("grams")).alias("coverage"), F.max("n_words").alias("n_words"),
+        (F.sum("voted") / F.first("grams")).alias("coverage"), F.max("n_words").alias("n_words"),
     )
     return spans.withColumn("verified", F.when(F.col("base"), F.col("coverage") == 1.0).otherwise(F.col("coverage") >= cover))
 

@@ -355,3 +355,28 @@ def test_language_model(spark, none):
     odd = spark.createDataFrame([(1, None), (None, "a b"), (1, "a"), (2, "A")], "doc_id long, text string")
     got = hmm_lm.score_texts(odd, F.col("doc_id") == 2).collect()
     assert len(got) == 4 and all(r.train_tokens == 6 for r in got)
+
+
+def test_short_forms_and_bodies_of_licenses(spark):
+    mit = (license_scan.LICENSE_TEXTS / "mit.MIT.txt").read_text()
+    gpl = (license_scan.LICENSE_TEXTS / "gpl.GPL-3.txt").read_text()
+    middle = gpl[gpl.index("5. Conveying Modified") : gpl.index("6. Conveying Non-Source")]
+    texts = {
+        1: ("Text. Licensed under CC BY-NC 4.0. More", "cc"), 2: ("under CC BY 3.0", "cc"), 3: ("# SPDX-License-Identifier: GPL-2.0-or-later", "gpl"), 4: ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache,mit"),
+        5: (mit[mit.index("THE SOFTWARE IS") :], "mit"), 6: (middle, "gpl"), 7: (gpl, "gpl"), 8: ((license_scan.LICENSE_TEXTS / "lgpl.LGPL-2.1.txt").read_text(), "lgpl"), 9: ("licensed under nothing, version 4.0", ""),
+        10: ((license_scan.LICENSE_TEXTS / "apache.Apache-2.0.txt").read_text(), "apache"), 11: ("SPDX-License-Identifier: Apache-2.0 OR MIT", "apache,mit"),
+    }
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r for r in license_scan.license_report(df).collect()}
+    assert {i: r.labels for i, r in found.items() if i not in (7, 8)} == {i: label for i, (_, label) in texts.items() if i not in (7, 8)}
+    # the whole text, which also names others' phrases
+    assert "gpl" in found[7].labels.split(",") and "lgpl" in found[8].labels.split(",") and found[7].score == found[8].score == 1
+
+
+def test_templates_of_any_length(spark):
+    words = [f"w{i}" for i in range(200)]
+    whole = license_scan.Template(tuple(words), "long", False)
+    torn = words[:70] + ["x"] * 20 + words[75:]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, "a b " + " ".join(torn)), (3, " ".join(words[:100]))], "doc_id long, text string")
+    spans = {r.doc_id: r for r in license_scan.license_spans(df, [whole]).collect()}
+    assert {i: (r.start, r.end) for i, r in spans.items()} == {1: (0, 200), 2: (2, 217)} and spans[1].coverage == 1 and spans[2].coverage == 191 / 198
