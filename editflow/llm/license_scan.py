@@ -130,65 +130,76 @@ def _gram_table(spark: SparkSession, templates: list[Template]) -> DataFrame:
 
 
 def diagonals(docs: DataFrame, templates: list[Template], id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, template, diagonal, chunk, voted, first, last, n_words): the votes on each diagonal for each chunk of the template.
+    """Rows (id, key, template, diagonal, chunk, voted, first, last, n_words, copies): the votes on each diagonal for each chunk of the template.
 
-    voted has a bit for each place of the chunk, so that repeated rows vote
-    once.  The row of a document's first word carries n_words.
+    key is the text's 128-bit hash, so that different texts of one id stay
+    apart.  voted has a bit for each place of the chunk, so that repeated rows
+    vote once.  The row of a document's first word carries n_words and counts
+    how many rows repeat id and text.
     """
     if any(t.grams < 1 for t in templates):
         raise ValueError("a phrase has at least two words, another template three")
     grams = _gram_table(docs.sparkSession, templates)
-    words = docs.select(F.col(id_col).alias("id"), word_array(F.col(text_col)).alias("words"))
-    placed = words.select("id", "words", F.posexplode_outer("words").alias("place", "w1"))
+    words = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col))).alias("key"), word_array(F.col(text_col)).alias("words"))
+    placed = words.select("id", "key", "words", F.posexplode_outer("words").alias("place", "w1"))
     w2, w3 = F.get("words", F.col("place") + 1), F.get("words", F.col("place") + 2)
-    rolled = placed.select("id", F.coalesce("place", F.lit(0)).alias("place"), F.when(F.coalesce("place", F.lit(0)) == 0, F.size("words")).alias("n_words"), "w1", w2.alias("w2"), w3.alias("w3"))
+    rolled = placed.select("id", "key", F.coalesce("place", F.lit(0)).alias("place"), F.when(F.coalesce("place", F.lit(0)) == 0, F.size("words")).alias("size"), "w1", w2.alias("w2"), w3.alias("w3"))
     # pairs are looked up only where a phrase begins, so that other words take one look
     begins = sorted({w for t in templates if t.base for w in t.words[:-1]})
     pair, triple = F.xxhash64("w1", "w2"), F.when(F.col("w3").isNotNull(), F.xxhash64("w1", "w2", "w3"))
-    rolled = rolled.withColumn("gram", F.explode(F.when(F.col("w2").isNotNull() & F.col("w1").isin(begins), F.array(triple, pair)).otherwise(F.array(triple))))
+    head = F.array(F.struct(F.lit(None).cast("long").alias("gram"), F.col("size").alias("n_words"), F.lit(1).alias("copies")))
+    look = lambda gram: F.struct(gram.alias("gram"), F.lit(None).cast("int").alias("n_words"), F.lit(None).cast("int").alias("copies"))
+    looks = F.when(F.col("w2").isNotNull() & F.col("w1").isin(begins), F.array(look(triple), look(pair))).otherwise(F.array(look(triple)))
+    rolled = rolled.select("*", F.inline(F.when(F.col("size").isNotNull(), F.concat(head, looks)).otherwise(looks)))
     same = (F.col("w1") == F.col("a")) & (F.col("w2") == F.col("b")) & ((F.col("k") == 2) | (F.col("w3") == F.col("c")))
     hits = rolled.join(F.broadcast(grams), (F.col("gram") == F.col("t_gram")) & same, "left")
     hits = hits.where(F.col("template").isNotNull() | F.col("n_words").isNotNull())
-    return hits.groupBy("id", "template", (F.col("place") - F.col("t_place")).alias("diagonal"), F.expr(f"t_place div {CHUNK}").alias("chunk")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, t_place % {CHUNK})")).alias("voted"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("n_words").alias("n_words")
+    return hits.groupBy("id", "key", "template", (F.col("place") - F.col("t_place")).alias("diagonal"), F.expr(f"t_place div {CHUNK}").alias("chunk")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, t_place % {CHUNK})")).alias("voted"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies")
     )
 
 
 def _spans(found: DataFrame, templates: list[Template], max_shift: int, max_gap: int, cover: float) -> DataFrame:
-    """Rows (id, n_words, template, label, base, start, end, coverage, verified); end is the place after the last word.
+    """Rows (id, key, n_words, copies, template, label, base, start, end, coverage, verified); end is the place after the last word.
 
     Diagonals within max_shift of the next are one group, which is cut where
     more than max_gap words have no votes; both are for each chunk of a template.
     """
     sizes = found.sparkSession.createDataFrame([(n, t.label, t.base, t.k, t.grams, -(-t.grams // CHUNK)) for n, t in enumerate(templates)], "t int, label string, base boolean, t_k int, grams int, chunks int")
     known = found.join(F.broadcast(sizes), F.col("template") == F.col("t"), "left")
-    by_diagonal = Window.partitionBy("id", "template").orderBy("diagonal", "chunk")
+    by_diagonal = Window.partitionBy("id", "key", "template").orderBy("diagonal", "chunk")
     step = F.col("diagonal") - F.lag("diagonal").over(by_diagonal)
     # phrases stand as they are: each of their diagonals is a place of its own
     part = known.withColumn("__apart", F.when((F.col("base") & (step != 0)) | (step > max_shift * F.col("chunks")), 1).otherwise(0))
     part = part.withColumn("__group", F.sum("__apart").over(by_diagonal))
-    by_place = Window.partitionBy("id", "template", "__group").orderBy("first", "diagonal", "chunk")
+    by_place = Window.partitionBy("id", "key", "template", "__group").orderBy("first", "diagonal", "chunk")
     gap = F.col("first") - F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     part = part.withColumn("__cut", F.when(~F.col("base") & (gap > max_gap * F.col("chunks")), 1).otherwise(0))
     part = part.withColumn("__span", F.sum("__cut").over(by_place))
-    span = ["id", "template", "__group", "__span"]
+    span = ["id", "key", "template", "__group", "__span"]
     # the bits of each chunk, then their sum
     chunks = part.groupBy(*span, "chunk").agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.first("t_k").alias("t_k"), F.first("grams").alias("grams"), F.min("first").alias("first"), F.max("last").alias("last"),
-        F.bit_count(F.bit_or("voted")).alias("voted"), F.max("n_words").alias("n_words"),
+        F.bit_count(F.bit_or("voted")).alias("voted"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
     )
     spans = chunks.groupBy(*span).agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.min("first").alias("start"), (F.max("last") + F.first("t_k")).alias("end"),
-        (F.sum("voted") / F.first("grams")).alias("coverage"), F.max("n_words").alias("n_words"),
+        (F.sum("voted") / F.first("grams")).alias("coverage"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
     )
     return spans.withColumn("verified", F.when(F.col("base"), F.col("coverage") == 1.0).otherwise(F.col("coverage") >= cover))
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Each row as often as documents repeat its id and text."""
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("__copy")
+
+
 def license_spans(docs: DataFrame, templates: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text", max_shift: int = 8, max_gap: int = 12, cover: float = 0.6) -> DataFrame:
-    """Rows (id_col, label, base, start, end, coverage): the spans of words that hold a license text or phrase."""
+    """Rows (id_col, label, base, start, end, coverage): the spans of words that hold a license text or phrase, of every document."""
     templates = templates or default_templates()
     spans = _spans(diagonals(docs, templates, id_col, text_col), templates, max_shift, max_gap, cover)
-    return spans.where("verified").select(F.col("id").alias(id_col), "label", "base", "start", "end", "coverage")
+    spans = spans.withColumn("copies", F.sum("copies").over(Window.partitionBy("id", "key")))
+    return _repeated(spans.where("verified")).select(F.col("id").alias(id_col), "label", "base", "start", "end", "coverage")
 
 
 def license_report(docs: DataFrame, templates: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text", max_shift: int = 8, max_gap: int = 12, cover: float = 0.6) -> DataFrame:
@@ -197,15 +208,15 @@ def license_report(docs: DataFrame, templates: list[Template] | None = None, id_
     n_base counts all places of base phrases; first_word and last_word are the
     smallest and largest of these places, null without any.  score is the
     largest coverage of a template, 0 without hits.  Null and empty texts have
-    no words.  Rows that share an id, the null id too, are reported in one row: a
-    place counts once, and n_words is that of the longest text.
+    no words.  Rows that share an id, the null id too, are documents of their own.
     """
     templates = templates or default_templates()
     spans = _spans(diagonals(docs, templates, id_col, text_col), templates, max_shift, max_gap, cover)
     base = F.col("verified") & F.col("base")
     labels = lambda when: F.array_join(F.array_sort(F.collect_set(F.when(when, F.col("label")))), ",")
     per_place = F.when(base, F.col("coverage"))
-    return spans.groupBy(F.col("id").alias(id_col)).agg(
+    per_text = spans.groupBy("id", "key").agg(
+        F.sum("copies").alias("copies"),
         F.max("n_words").cast("long").alias("n_words"),
         F.count(per_place).alias("n_base"),
         F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"),
@@ -214,4 +225,5 @@ def license_report(docs: DataFrame, templates: list[Template] | None = None, id_
         labels(F.col("verified")).alias("labels"),
         F.coalesce(F.max("coverage"), F.lit(0.0)).alias("score"),
     )
+    return _repeated(per_text).select(F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 

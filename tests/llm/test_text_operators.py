@@ -380,3 +380,16 @@ def test_templates_of_any_length(spark):
     df = spark.createDataFrame([(1, " ".join(words)), (2, "a b " + " ".join(torn)), (3, " ".join(words[:100]))], "doc_id long, text string")
     spans = {r.doc_id: r for r in license_scan.license_spans(df, [whole]).collect()}
     assert {i: (r.start, r.end) for i, r in spans.items()} == {1: (0, 200), 2: (2, 217)} and spans[1].coverage == 1 and spans[2].coverage == 191 / 198
+
+
+def test_license_rows_that_share_an_id(spark):
+    words = [f"w{i}" for i in range(20)]
+    template = [license_scan.Template(tuple(words), "long", False), license_scan.Template(("mit", "license"), "mit", True)]
+    whole, halves = " ".join(words), (" ".join(words[:9]), " ".join(words[9:]))
+    rows = [(1, halves[0]), (1, halves[1]), (None, "mit license"), (None, "MIT license x"), (None, None), (2, whole), (2, whole), (3, ""), (3, ""), (4, "mit license"), (4, "mit license")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(str((r.doc_id, r.n_words, r.n_base, r.labels)) for r in license_scan.license_report(df, template).collect())
+    expected = [(1, 9, 0, ""), (1, 11, 0, ""), (None, 2, 1, "mit"), (None, 3, 1, "mit"), (None, 0, 0, ""), (2, 20, 0, "long"), (2, 20, 0, "long"), (3, 0, 0, ""), (3, 0, 0, ""), (4, 2, 1, "mit"), (4, 2, 1, "mit")]
+    assert got == sorted(map(str, expected))
+    spans = license_scan.license_spans(df, template).collect()
+    assert sorted(str(r.doc_id) for r in spans) == ["2", "2", "4", "4", "None", "None"]
