@@ -10,8 +10,9 @@ spread over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: Tasks that the rows of one group are spread over at least.
 SALTS = 16
@@ -66,8 +67,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; one row per group of equal texts.
 
-    The groups are joined to the rows by the smallest id.  Rows repeated with
-    one id stay together; use distinct rows to avoid that.
+    Rows and groups meet by content hash, text hash and id together.  Of rows
+    repeated with one id and text the one with the smallest hash of its columns
+    stays; each task leaves one of them before the shuffle.
     """
-    kept = exact_groups(docs, id_col, text_col).select(F.col("keep_id").alias("__keep_id"))
-    return docs.join(kept.distinct().hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("__keep_id")), "left_semi")
+    norm = normalised(F.col(text_col))
+    hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    added = {"__hash": content_hash(norm), "__sha256": F.sha2(F.encode(norm, "UTF-8"), 256), "__id": F.struct(F.col(id_col).alias("id")), "__order": F.xxhash64(*hashed)}
+    rows = docs.withColumns(added)
+    once = rows.withColumn("__copy", F.row_number().over(Window.partitionBy("__hash", "__sha256", "__id").orderBy("__order"))).where("__copy = 1")
+    # a struct, since a null id inside it equals another
+    kept = exact_groups(docs, id_col, text_col).select(F.col("hash").alias("__hash"), F.col("text_sha256").alias("__sha256"), F.struct(F.col("keep_id").alias("id")).alias("__id"))
+    return once.join(kept.hint("shuffle_hash"), ["__hash", "__sha256", "__id"], "left_semi").select(*docs.columns)

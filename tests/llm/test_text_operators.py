@@ -71,6 +71,17 @@ def test_exact_dedup_of_odd_rows(spark, docs, none):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7, 8, 9]
 
 
+def test_exact_copies_go_where_ids_are_null_or_shared(spark):
+    def left(rows):
+        kept = exact_dedup.drop_exact_copies(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+        return sorted(str((r.doc_id, r.text)) for r in kept.collect())
+
+    assert left([(None, "A", 1), (1, "A", 2), (None, "B", 3)]) == ["(1, 'A')", "(None, 'B')"]
+    assert left([(5, "A", 1), (5, "B", 2), (3, "B", 3)]) == ["(3, 'B')", "(5, 'A')"]
+    assert left([(5, "A", 1), (5, "A", 2), (5, "A", 2), (None, "B", 1), (None, "B", 1), (None, None, 1), (None, "", 1)])[:2] == ["(5, 'A')", "(None, 'B')"]
+    assert len(left([(None, None, 1), (None, "", 1), (None, "", 1)])) == 1
+
+
 # ---- pre-tokens, BPE, packing
 
 PIECES = ["'s", "'ll", "'", "s", "re", "ve", "d", " ", "  ", "\n", "\t", "\r\n", "a", "É", "ñ", "1", "٣", "!", "#", "日本", "\u00a0", "\u2003", "\x1c", "\x85", "😀", "'S", "t", "m", "\u0301", "the", "<|endoftext|>"]
