@@ -23,8 +23,8 @@ from .tables import settle
 
 #: Bound of the labelled findings that the forest is trained on.
 MAX_LABELLED = 20_000
-#: A run of letters is in the dictionary if the corpus has it as a word this often.
-DICTIONARY_COUNT = 5
+#: A run of letters is in the dictionary if more texts than one have it as a word, and this many times as many as by chance.
+ABOVE_CHANCE = 5.0
 
 # What a candidate looks like, names that secrets are given, and words of paths that hold samples.
 CANDIDATE = r"[A-Za-z0-9_+/\-]{16,}={0,2}"
@@ -54,9 +54,18 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows (word, n): the runs of three or more letters of all texts, lower-case, with their counts."""
-    runs = F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+"))
-    return docs.select(runs.alias("word")).where(F.length("word") >= 3).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """Rows (word, n, known): the runs of three or more letters outside candidates, lower-case, with the number of distinct texts that have them.
+
+    known says that a word is in the dictionary: were all words of its length
+    random letters, far fewer texts would have it.
+    """
+    texts = docs.select(F.col(text_col).alias("text")).distinct()
+    bare = F.lower(F.regexp_replace("text", CANDIDATE, " "))
+    runs = F.explode(F.array_distinct(F.split(bare, "[^a-z]+")))
+    words = texts.select(runs.alias("word")).where(F.length("word") >= 3).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.length("word"))
+    # longer runs of letters are candidates, so there are few lengths
+    sizes = words.groupBy("size").agg((F.sum("n") / F.pow(F.lit(26.0), F.first("size"))).alias("chance"))
+    return words.join(F.broadcast(sizes), "size").select("word", "n", ((F.col("n") > 1) & (F.col("n") > ABOVE_CHANCE * F.col("chance"))).alias("known"))
 
 
 def transition_costs(words: DataFrame) -> list[float]:
@@ -106,7 +115,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     })
     # the share of its characters that lie in words of the dictionary
     pieces = found.select("secret").distinct().select("secret", F.explode(F.split(F.lower("secret"), "[^a-z]+")).alias("word")).where(F.length("word") >= 3)
-    covered = pieces.join(words.where(F.col("n") >= DICTIONARY_COUNT), "word").groupBy("secret").agg(F.sum(F.length("word")).alias("__covered"))
+    covered = pieces.join(words.where("known"), "word").groupBy("secret").agg(F.sum(F.length("word")).alias("__covered"))
     return rows.join(covered, "secret", "left").withColumn("dictionary", F.coalesce(F.col("__covered") / F.col("length"), F.lit(0.0))).drop("__covered")
 
 

@@ -292,6 +292,19 @@ def test_secrets(spark, docs, none):
     assert secret_scan.scan_secrets(none).count() == 0 and secret_scan.scan_secrets(docs).count() == 0
 
 
+def test_dictionary_leaves_out_keys_and_copies(spark):
+    key = "Qwzxkj/vbNhtgPlmrk+Zxqw"
+    rows = [(i, f"plain words stand here {key} and there") for i in range(20)] + [(100 + i, f"plain words {i}") for i in range(3)] + [(200 + i, "copied rarity") for i in range(20)]
+    words = {r.word: (r.n, r.known) for r in secret_scan.dictionary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert words["plain"] == (4, True) and words["rarity"] == (1, False)
+    assert not {"qwzxkj", "vbnhtgplmrk", "zxqw"} & words.keys()
+    # of words of three random letters, the corpus has each many times
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [(n, " ".join(a + b + c for a in letters for b in letters for c in letters) + f" the {n}") for n in range(6)]
+    found = {r.word: r.known for r in secret_scan.dictionary(spark.createDataFrame(noise, "doc_id long, text string")).collect()}
+    assert not any(found.values())
+
+
 def test_urls(spark):
     urls = ["http://A.Example.NET/en/x?q=1", "http://a.example.net/de/", "https://net/x", "https://planet/x", "http://x.example.com/de/1#t", "http://x.example.com/de", "https://b.org/fr/1", "nothing", "", None, "http://", "ftp://h.net", "x://y://z.net/", "http://cheappills.example.com/en/1", "http://cheap-pills.example.com/en/2"]
     df = spark.createDataFrame([(i, u, "<p>cheap pills are words of pages, cheap and pills and words</p>", "h") for i, u in enumerate(urls)], "page_id long, url string, html string, host string")
