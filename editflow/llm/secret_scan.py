@@ -1,7 +1,8 @@
 """Secret scans whose false positives a random forest removes, with DataFrame functions only.
 
-A pattern finds candidates: long runs of characters that keys are made of.  A
-forest judges each by its length and character make-up, its character
+Patterns find candidates: long runs of characters that keys are made of, such
+runs joined by dots, and values of any length that are assigned to a secret's
+name.  A forest judges each by its length and character make-up, its character
 transitions under a model of the corpus's words, the share of it that the
 corpus's dictionary covers, its path, and the words beside it.  The forest is
 trained on labelled findings; where nobody has labelled any, `seed_labels`
@@ -29,6 +30,12 @@ ABOVE_CHANCE = 5.0
 # What a candidate looks like, names that secrets are given, and words of paths that hold samples.
 CANDIDATE = r"[A-Za-z0-9_+/\-]{16,}={0,2}"
 SECRET_NAMES = r"(?i)(token|secret|password|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)"
+#: Long tokens with dots; their parts are candidates too.
+DOTTED = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z0-9_+/.\-]{16})[A-Za-z0-9_+/\-]++(?:\.[A-Za-z0-9_+/\-]++)+={0,2}"
+_ASSIGN = SECRET_NAMES + r"""[A-Za-z0-9_\-]*+["'`]?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*(?:(?:bearer|basic)[ \t]+)?"""
+_CLOSING = r"[,;)\]}]*(?:\s|$)"
+#: Values assigned to a name: quoted, or up to white space without what closes a list or statement.
+NAMED = _ASSIGN + r"""(?:"[^"\r\n]+"|'[^'\r\n]+'|`[^`\r\n]+`|[^\s"'`]\S*?(?=""" + _CLOSING + "))"
 SAMPLE_PATHS = r"(?i)(test|example|sample|mock|fixture|doc)"
 KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,})$"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -36,18 +43,39 @@ _SYMBOLS = 28  # other, a-z, digit
 
 FEATURES = (
     "length", "digit_share", "upper_share", "hex_only", "digits_only", "letters_only", "distinct_share", "kind_switches", "case_switches",
-    "transition", "dictionary", "path_depth", "path_sample", "named", "named_far", "assigned", "quoted", "word_before", "word_after",
+    "symbol_share", "transition", "dictionary", "path_depth", "path_sample", "named", "named_far", "assigned", "quoted", "word_before", "word_after",
 )
 
 
+def _placed(matches: str) -> Column:
+    """Array of (secret, at) for a column of the matches of one pattern, with their places in text from 1.
+
+    Matches don't overlap, so each is the first place of its string behind the one before.
+    """
+    step = "(a, c) -> named_struct('p', locate(c, text, a.p) + length(c), 'o', array_append(a.o, named_struct('secret', c, 'at', locate(c, text, a.p))))"
+    return F.expr(f"aggregate({matches}, named_struct('p', 1, 'o', cast(array() as array<struct<secret:string,at:int>>)), {step}, a -> a.o)")
+
+
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """Rows (id, path, start, secret, before, after): every candidate of every whole text, start in characters from 0."""
+    """Rows (id, path, start, secret, before, after): every candidate of every whole text, start in characters from 0.
+
+    A candidate inside another one is a row too; what two patterns find alike is one.
+    """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    found = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"), F.regexp_extract_all(F.col(text_col), F.lit(CANDIDATE), F.lit(0)).alias("runs"))
-    found = found.where(F.size("runs") > 0)
-    # a run cannot lie inside an earlier one, so each is the first match behind the one before
-    places = F.expr("aggregate(runs, named_struct('p', 1, 'o', cast(array() as array<int>)), (a, c) -> named_struct('p', locate(c, text, a.p) + length(c), 'o', array_append(a.o, locate(c, text, a.p))), a -> a.o)")
-    each = found.select("id", "path", "text", F.explode(F.arrays_zip(F.col("runs").alias("secret"), places.alias("at"))).alias("x"))
+    patterns = {"__runs": CANDIDATE, "__dotted": DOTTED, "__named": NAMED}
+    text = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"))
+    found = text.withColumns({name: F.regexp_extract_all(F.col("text"), F.lit(p), F.lit(0)) for name, p in patterns.items()})
+    found = found.where((F.size("__runs") > 0) | (F.size("__dotted") > 0) | (F.size("__named") > 0))
+
+    def value(m: Column) -> Column:
+        """The value of an assignment without its quotes; what is left out before it moves its place."""
+        raw = F.regexp_replace(m["secret"], "^" + _ASSIGN, "")
+        bare = F.regexp_replace(raw, r"""^(["'`])(.*)\1$""", "$2")
+        quote = F.when(F.length(bare) < F.length(raw), 1).otherwise(0)
+        return F.struct(bare.alias("secret"), (m["at"] + F.length(m["secret"]) - F.length(raw) + quote).alias("at"))
+
+    every = F.array_distinct(F.concat(_placed("__runs"), _placed("__dotted"), F.transform(_placed("__named"), value)))
+    each = found.select("id", "path", "text", F.explode(every).alias("x"))
     at, secret = F.col("x.at"), F.col("x.secret")
     before = F.substring(F.col("text"), F.greatest(at - 60, F.lit(1)), F.least(at - 1, F.lit(60)))
     return each.select("id", "path", (at - 1).cast("long").alias("start"), secret.alias("secret"), before.alias("before"), F.substring(F.col("text"), at + F.length(secret), F.lit(40)).alias("after"))
@@ -60,7 +88,10 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
     random letters, far fewer texts would have it.
     """
     texts = docs.select(F.col(text_col).alias("text")).distinct()
-    bare = F.lower(F.regexp_replace("text", CANDIDATE, " "))
+    bare = F.col("text")
+    for pattern in (NAMED, DOTTED, CANDIDATE):
+        bare = F.regexp_replace(bare, pattern, " ")
+    bare = F.lower(bare)
     runs = F.explode(F.array_distinct(F.split(bare, "[^a-z]+")))
     words = texts.select(runs.alias("word")).where(F.length("word") >= 3).groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.length("word"))
     # longer runs of letters are candidates, so there are few lengths
@@ -100,6 +131,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         "hex_only": secret.rlike("^[0-9a-fA-F]+$").cast("double"),
         "digits_only": secret.rlike("^[0-9_/+-]+$").cast("double"),
         "letters_only": secret.rlike("^[A-Za-z_/+-]+$").cast("double"),
+        "symbol_share": share("[^A-Za-z0-9]"),
         "distinct_share": F.size(F.array_distinct(F.split(secret, ""))) / n,
         "kind_switches": share("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"),
         "case_switches": share("[a-z](?=[A-Z])"),
@@ -108,7 +140,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         "path_sample": F.col("path").rlike(SAMPLE_PATHS).cast("double"),
         "named": last_word.rlike(SECRET_NAMES).cast("double"),
         "named_far": F.col("before").rlike(SECRET_NAMES).cast("double"),
-        "assigned": F.col("before").rlike(r"""[=:]\s*["'`]?$""").cast("double"),
+        "assigned": F.col("before").rlike(r"""[=:]>?\s*(?i:(?:bearer|basic)\s+)?["'`]?$""").cast("double"),
         "quoted": F.col("before").rlike(r"""["'`]$""").cast("double"),
         "word_before": F.length(last_word).cast("double"),
         "word_after": F.length(F.regexp_extract("after", r"^\W*([A-Za-z]+)", 1)).cast("double"),
@@ -120,8 +152,12 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def seed_labels(described: DataFrame) -> Column:
-    """1 for findings in a known format or assigned to a secret's name, 0 for words and plain numbers, null for the rest."""
-    clear = F.col("secret").rlike(KNOWN_FORMATS) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0) & (F.col("path_sample") == 0))
+    """1 for findings in a known format or assigned to a secret's name, 0 for words and plain numbers, null for the rest.
+
+    A short number that is assigned is more often a count than a secret.
+    """
+    short_number = (F.col("length") < 16) & ~F.col("secret").rlike("[A-Za-z]")
+    clear = F.col("secret").rlike(KNOWN_FORMATS) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0) & (F.col("path_sample") == 0) & ~short_number)
     harmless = (F.col("letters_only") == 1) | (F.col("digits_only") == 1) | (F.col("dictionary") > 0.5)
     return F.when(clear, 1.0).when(harmless, 0.0)
 
@@ -180,12 +216,18 @@ def scan_secrets(docs: DataFrame, model: SecretModel | None = None, id_col: str
 def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars", mark: str = "[secret]") -> DataFrame:
     """The rows of docs, all of them, with each secret of their findings replaced in the text by mark.
 
+    Secrets of 16 characters and more go wherever they stand, shorter ones where
+    they are assigned to a secret's name, since they may be words elsewhere.
     count_col, if docs has it, is set to the new length of changed texts.
     """
     per_doc = findings.where("is_secret").groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("secret").alias("__secrets"))
     joined = docs.join(per_doc.hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("__id")), "left")
     longest_first = F.sort_array(F.transform("__secrets", lambda s: F.struct((-F.length(s)).alias("k"), s.alias("s"))))
-    text = F.when(F.col("__secrets").isNull(), F.col(text_col)).otherwise(F.aggregate(longest_first, F.col(text_col), lambda t, s: F.replace(t, s["s"], F.lit(mark))))
+    literal = lambda s: F.concat(F.lit(r"\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    assigned = lambda s: F.concat(F.lit("(" + _ASSIGN + """["'`]?)"""), literal(s), F.lit("""(?=["'`]|""" + _CLOSING + ")"))
+    in_place = "$1" + mark.replace("\\", "\\\\").replace("$", "\\$")
+    without = lambda t, s: F.when(F.length(s["s"]) >= 16, F.replace(t, s["s"], F.lit(mark))).otherwise(F.regexp_replace(t, assigned(s["s"]), F.lit(in_place)))
+    text = F.when(F.col("__secrets").isNull(), F.col(text_col)).otherwise(F.aggregate(longest_first, F.col(text_col), without))
     columns = {text_col: text}
     out = joined.withColumns(columns)
     if count_col and count_col in docs.columns:

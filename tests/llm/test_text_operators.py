@@ -305,6 +305,22 @@ def test_dictionary_leaves_out_keys_and_copies(spark):
     assert not any(found.values())
 
 
+def test_short_punctuated_and_dotted_secrets(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcXYZ0123456789!@#$") for _ in range(n)) + "1x"
+    lines = ['password = "S3cr3t-pw1"', "pwd: p@$$w0rd!\\E9;", "the S3cr3t-pw1 elsewhere", "api_key='aB3.x$9'", "Authorization: Bearer ab12.cd34.ef", "see abcdefgh01.ijklmnop23.qrs for it", "(secret=q1w2)"]
+    rows = [(1, "\n".join(lines), "a")] + [(10 + i, f'password = "{word(8)}" and words', "b") for i in range(40)] + [(100 + i, "averyveryverylongordinaryword here", "c") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [r for r in secret_scan.find_candidates(df).collect() if r.id == 1]
+    assert sorted(r.secret for r in found) == sorted(["S3cr3t-pw1", "p@$$w0rd!\\E9", "aB3.x$9", "ab12.cd34.ef", "abcdefgh01.ijklmnop23.qrs", "q1w2"])
+    assert all(rows[0][1][r.start : r.start + len(r.secret)] == r.secret for r in found)
+    judged = {(r.doc_id, r.secret): r.is_secret for r in secret_scan.scan_secrets(df).collect()}
+    assert judged[1, "S3cr3t-pw1"] and not judged[100, "averyveryverylongordinaryword"]
+    marked = spark.createDataFrame([(1, x, True) for x in ("S3cr3t-pw1", "p@$$w0rd!\\E9", "aB3.x$9", "q1w2")], "doc_id long, secret string, is_secret boolean")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df, marked).collect()}
+    assert clean[1].split("\n") == ['password = "[secret]"', "pwd: [secret];", lines[2], "api_key='[secret]'", *lines[4:6], "(secret=[secret])"]
+
+
 def test_urls(spark):
     urls = ["http://A.Example.NET/en/x?q=1", "http://a.example.net/de/", "https://net/x", "https://planet/x", "http://x.example.com/de/1#t", "http://x.example.com/de", "https://b.org/fr/1", "nothing", "", None, "http://", "ftp://h.net", "x://y://z.net/", "http://cheappills.example.com/en/1", "http://cheap-pills.example.com/en/2"]
     df = spark.createDataFrame([(i, u, "<p>cheap pills are words of pages, cheap and pills and words</p>", "h") for i, u in enumerate(urls)], "page_id long, url string, html string, host string")
