@@ -18,7 +18,7 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-from .text import BLOCK_BYTES, span_hashes
+from .text import BLOCK_BYTES, equal_spans, span_hashes
 
 OTHER, LETTER, NUMBER, BLANK = range(4)
 _classes: np.ndarray | None = None
@@ -71,8 +71,10 @@ def pretoken_spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
 class PieceIds:
     """The ids of pre-tokens, kept by their hash in sorted arrays between blocks.
 
-    At most ``limit`` pre-tokens are kept, about 40 bytes each; then it starts
-    anew.  This bounds memory and never changes a result.
+    A hash only says where to look: every pre-token is compared byte by byte
+    with the kept one, and one that differs is encoded by itself, so ids never
+    hang on a hash.  At most ``limit`` pre-tokens are kept, about 50 bytes each;
+    then it starts anew, which bounds memory and never changes a result.
     """
 
     def __init__(self, encode: Callable[[list[bytes], np.ndarray], list], limit: int = 1 << 19):
@@ -82,10 +84,20 @@ class PieceIds:
     def _clear(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
+        self.begin, self.end, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(pieces, all their ids, number of ids of each)."""
+        raw = data.tobytes()
+        pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        found = self.encode(pieces, keys)
+        size = np.fromiter(map(len, found), np.int32, len(found))
+        return pieces, np.fromiter((i for x in found for i in x), np.uint32, int(size.sum())), size
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pre-tokens in a row, number of ids of each)."""
-        key, sample, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes = span_hashes(data, starts, ends)
+        key, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) + len(key) > self.limit:
             self._clear()
         place = np.searchsorted(self.keys, key)
@@ -94,19 +106,28 @@ class PieceIds:
         known[inside] = self.keys[place[inside]] == key[inside]
         new = np.flatnonzero(~known)
         if len(new):
-            raw = data.tobytes()
-            pieces = [raw[a:b] for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist())]
-            found = self.encode(pieces, key[new])
-            size = np.fromiter(map(len, found), np.int32, len(found))
+            pieces, ids, size = self._encode(data, starts[sample[new]], ends[sample[new]], key[new])
             at = np.cumsum(size, dtype=np.int64) - size + len(self.ids)
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
+            width = ends[sample[new]] - starts[sample[new]]
+            end = np.cumsum(width) + len(self.bytes)
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)])
             to = np.searchsorted(self.keys, key[new])
-            self.keys, self.at, self.size = (np.insert(a, to, b) for a, b in ((self.keys, key[new]), (self.at, at), (self.size, size)))
+            grown = ((self.keys, key[new]), (self.at, at), (self.size, size), (self.begin, end - width), (self.end, end))
+            self.keys, self.at, self.size, self.begin, self.end = (np.insert(a, to, b) for a, b in grown)
             place = np.searchsorted(self.keys, key)
-        at, size = self.at[place][which], self.size[place][which].astype(np.int64)
+        # pieces of a block equal their sample, and the sample the kept piece, or they are encoded by themselves
+        sound = equal_spans(data, starts[sample], ends[sample], self.bytes, self.begin[place], self.end[place])
+        alike = equal_spans(data, starts, ends, data, starts[sample][which], ends[sample][which]) & sound[which]
+        at, size, pool = self.at[place][which], self.size[place][which].astype(np.int64), self.ids
+        apart = np.flatnonzero(~alike)
+        if len(apart):
+            _, ids, own = self._encode(data, starts[apart], ends[apart], hashes[apart])
+            at[apart], size[apart] = np.cumsum(own) - own + len(pool), own
+            pool = np.concatenate([pool, ids])
         total = int(size.sum())
         flat = np.arange(total) + np.repeat(at - (np.cumsum(size) - size), size)
-        return self.ids[flat], size
+        return pool[flat], size
 
 
 def row_chunks(data: np.ndarray, limit: int = 4 * BLOCK_BYTES):

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that are worked on at once.
 BLOCK_BYTES = 1 << 20
@@ -38,34 +39,63 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(_STEP))
-_P = 0xD6E8FEB86659FD93
-_PINV = pow(_P, -1, 1 << 64)
-_powers: tuple[np.ndarray, np.ndarray] | None = None
+#: Spans longer than this many bytes are hashed one by one.
+_LONG_SPAN = 1024
+#: Masks that keep the first 0 to 8 bytes of a little-endian word.
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """P**i and P**-i modulo 2**64 for i up to n; tables beyond a few blocks are not kept."""
-    global _powers
-    if _powers is not None and len(_powers[0]) > n:
-        return _powers
-    size = max(n + 1, BLOCK_BYTES + 1)
-    tables = tuple(np.cumprod(np.concatenate([[_U(1)], np.full(size - 1, p, np.uint64)]), dtype=np.uint64) for p in (_U(_P), _U(_PINV)))
-    if size <= 4 * BLOCK_BYTES:
-        _powers = tables
-    return tables
+def _words_at(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place of data on as one number, with zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[starts:ends], which depend on their bytes alone.
 
-    A polynomial in an odd base modulo 2**64 over random byte codes, taken from
-    running sums, so that its cost does not depend on how long the spans are.
+    Up to 7 bytes are hashed one to one.  Longer spans go through two lanes of
+    different mixing, 8 bytes a step for all of them at once, that are folded at
+    the end, so that no step can be undone within one lane.  Two given spans
+    agree by chance once in 2**64; where a result must not hang on that, compare
+    bytes with equal_spans.
     """
-    power, inverse = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _U(_STEP))
+    size = ends - starts
+    at = _words_at(data)
+    out = mix((at[starts] & _KEEP[np.minimum(size, 7)]) | (np.minimum(size, 7).astype(np.uint64) << _U(56)))
+    index = np.flatnonzero((size > 7) & (size <= _LONG_SPAN))
+    a = size[index].astype(np.uint64) * _U(_STEP) + _U(_M2)
+    b = a ^ _U(_M1)
+    place, left = starts[index], size[index]
+    while len(index):
+        c = at[place] & _KEEP[np.minimum(left, 8)]
+        a = mix(a ^ c)
+        b = ((b << _U(29)) | (b >> _U(35))) * _U(_STEP) + c * _U(_M2 | 1)
+        b ^= b >> _U(31)
+        left = left - 8
+        done = left <= 0
+        if done.any():
+            out[index[done]] = mix(a[done] + mix(b[done] ^ _U(_STEP)))
+            index, place, left, a, b = (x[~done] for x in (index, place, left, a, b))
+        place = place + 8
+    for i in np.flatnonzero(size > _LONG_SPAN).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), 1)
+    return out
+
+
+def equal_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span of data has the bytes of the span of other at the same index."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    x, y = _words_at(data), _words_at(other)
+    index = np.flatnonzero(same & (starts != other_starts)) if data is other else np.flatnonzero(same)
+    p, q, left = starts[index], other_starts[index], size[index]
+    while len(index):
+        alike = ((x[p] ^ y[q]) & _KEEP[np.minimum(left, 8)]) == 0
+        same[index[~alike]] = False
+        go = alike & (left > 8)
+        index, p, q, left = index[go], p[go] + 8, q[go] + 8, left[go] - 8
+    return same
 
 
 @dataclass

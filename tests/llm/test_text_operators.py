@@ -44,6 +44,47 @@ def test_word_hashes_depend_on_bytes_alone():
     assert text.span_hashes(alone, np.array([0]), np.array([len(alone)]))[0] == hashes[7]
 
 
+def thue_morse(n):
+    """Two words of 2**n letters that a polynomial modulo a power of two can't tell apart."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_of_near_and_long_words():
+    words = [*thue_morse(10), *thue_morse(11), "a" * 7, "a" * 8, "a" * 9, "a" * 7 + "b", *(bytes([0]) * i for i in range(1, 30))]
+    raw = [w if isinstance(w, bytes) else w.encode() for w in words]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum([len(w) for w in raw])
+    starts = ends - [len(w) for w in raw]
+    assert len(set(text.span_hashes(data, starts, ends).tolist())) == len(raw)
+    every = np.arange(len(raw))
+    for i in range(len(raw)):
+        one = np.full(len(raw), i)
+        assert (text.equal_spans(data, starts[one], ends[one], data.copy(), starts, ends) == (every == i)).all()
+
+
+def test_ids_do_not_hang_on_hashes(monkeypatch):
+    monkeypatch.setattr(pretokens, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) // np.uint64(3))
+    ids = pretokens.PieceIds(lambda pieces, _: [tuple(p) for p in pieces], limit=6)
+    rng = random.Random(3)
+    for _ in range(20):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 20))).encode() for _ in range(50)]
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        flat, size = ids(data, ends - [len(w) for w in words], ends)
+        assert flat.tolist() == list(data) and size.tolist() == [len(w) for w in words]
+
+
+def test_words_alike_to_polynomials_are_told_apart_by_bpe(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = list(enumerate(thue_morse(10)))
+    enc = library("byte_bpe_multi_50k.tiktoken")
+    got = bpe.bpe_decode(bpe.bpe_encode(spark.createDataFrame(rows, "doc_id long, text string"), path), path).collect()
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(rows[r.doc_id][1]) and bytes(r.decoded) == rows[r.doc_id][1].encode() for r in got)
+
+
 # ---- exact dedup
 
 
