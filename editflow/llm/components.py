@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import settle
+from .tables import forget, settle
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,22 +24,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Rows (id, component) for every vertex of edges (columns u and v); component is the smallest id it reaches.
 
     Loops, repeated edges and edges with nulls may be there and change nothing.
+    Rounds go on until one changes no edge; their number grows with the square
+    of the logarithm of the vertices at most.
     """
     edges = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = settle(edges, "edges")
     mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-    before = edges.agg(mark).first()[0]
-    for _ in range(rounds):
-        edges = settle(_star(_star(edges, True), False), "edges")
-        now = edges.agg(mark).first()[0]
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    before, now = None, edges.agg(mark).first()[0]
+    while now != before:
+        last, edges = edges, settle(_star(_star(edges, True), False), "edges")
+        forget(last)
+        before, now = now, edges.agg(mark).first()[0]
     roots = edges.select(F.col("v").alias("id")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))

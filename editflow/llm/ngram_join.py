@@ -2,22 +2,22 @@
 
 Linked texts share a token among the first of each in any order of all tokens,
 if "the first" are as many as the similarity demands.  Under the first order,
-rare tokens before common ones, sharing texts are brought together; candidates
-must share a first token under two other orders as well before they are
-compared token by token.  Before texts are fetched, pairs are dropped whose
-first common token leaves too little room, or whose tokens' counts by class
-bound what they can share below what they need; both filters are exact.
+rare tokens before common ones, posting lists bring sharing texts together.
+Under two other orders, each text's first tokens are kept as 16-bit values in
+its profile; a pair that shares none of them under either order is dropped
+before any text moves, as is one whose first common token leaves too little
+room, or whose tokens' counts by class bound what they can share below what
+they need.  All these filters are exact: they drop no pair that links.
 
 Groups are not paired off.  In a posting list every text is compared with one
 leader, the text with the fewest rare tokens, which joins a group of copies in
 as many comparisons as it has texts; lists of common tokens are split, and
 their leaders compared with one leader.  Then only texts of one list that lie
-in different components are left to compare, and all of these are.  So the
-components are exact, whatever the leaders.
-
-Texts are not sent once per pair: pairs are dealt to blocks by their leader, a
-large group's by halves of the pair as well, and a block gets each of its texts
-once.
+in different components may still link.  Lists with the same leader are one
+group; in each, all texts outside its largest component are compared with all
+of its texts, in one task for up to some thousand texts: the three filters are
+products of small matrices there, what is left is counted exactly, and only
+links become rows.  So the components are exact, whatever the leaders.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .tables import settle
+from .tables import forget, settle
 from .text import LOWER, Block, binary_column, blocks, mix, shingle_hashes, span_hashes, word_spans
 
 _U = np.uint64
@@ -47,7 +47,11 @@ ID_BITS = 23
 #: Classes of tokens by hash.  Two sets share at most the sum of the smaller counts of each class.
 BARS = 64
 #: Texts of a block; a leader with more members is spread over several.
-BLOCK_TEXTS = 1000
+BLOCK_TEXTS = 500
+#: Texts of a group that are compared with PART_TEXTS others in one task; larger groups are dealt to several.
+REST_TEXTS, PART_TEXTS = 512, 2048
+#: Columns of the matrices that first tokens are compared by.  Two tokens in one column cost a comparison, no result.
+_COLUMNS = 2048
 
 
 def _sort(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -79,10 +83,9 @@ def _meet(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
-def _linked(x: tuple[np.ndarray, list[np.ndarray]], y: tuple[np.ndarray, list[np.ndarray]], num: int, den: int) -> bool:
-    """Whether two texts, each its tokens and its first tokens in the other orders, are similar enough."""
-    (s, shown_s), (t, shown_t) = x, y
-    if not len(s) or not len(t) or not all(_meet(u, v) for u, v in zip(shown_s, shown_t)):
+def _linked(s: np.ndarray, t: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sets of tokens are similar enough."""
+    if not len(s) or not len(t):
         return False
     both = _meet(s, t)
     return both * den >= (len(s) + len(t) - both) * num
@@ -98,12 +101,21 @@ def _first(row: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(size, n)
 
 
-def _profiles(docs: DataFrame, k: int) -> DataFrame:
-    """For each document a row (id, n, bars): its set size, and how many tokens fall in each of BARS; and rows (cell, counts) of token counts.
+def _other_firsts(row: np.ndarray, token: np.ndarray, n: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """The first size[r] tokens of each row r under each of the other orders."""
+    firsts = []
+    for factor in _ORDERS:
+        other = token * _U(factor)
+        firsts.append(other[_sort(row, other)][_first(row, n, size)])
+    return firsts
+
+
+def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """For each document a row (id, n, bars, second, third): its set size, how many tokens fall in each of BARS, and its first tokens under the other orders; and rows (cell, counts) of token counts.
 
     Sets too large for 16-bit bars have empty ones.
     """
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bars", T.BinaryType()), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("bars", "second", "third")), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
@@ -112,12 +124,15 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
                 row, token, n = token_sets(block, k)
                 bars = np.bincount(row * BARS + (token & _U(BARS - 1)).astype(np.int64), minlength=block.n * BARS).reshape(-1, BARS)
                 fit = bars.max(1, initial=0) < 1 << 16
+                size = prefix_sizes(n, num, den)
+                firsts = [binary_column((mix(f) >> _U(48)).astype("<u2"), size) for f in _other_firsts(row, token, n, size)]
                 np.add.at(cells, (token >> _U(64 - CELL_BITS)).astype(np.int64), 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), binary_column(bars[fit].astype("<u2").ravel(), fit * BARS), pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), binary_column(bars[fit].astype("<u2").ravel(), fit * BARS), *firsts, pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
         parts = cells.reshape(-1, _CELLS_A_ROW)
         used = np.flatnonzero(parts.any(1))
         counts = pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), counts], names=schema.names)
+        blank = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*blank, pa.array(used.astype(np.int32)), counts], names=schema.names)
 
     return docs.mapInArrow(profile, schema)
 
@@ -207,45 +222,51 @@ def _may_link(n_a: Column, room_a: Column, n_b: Column, room_b: Column, num: int
     return F.least(room_a, room_b).cast("long") * (num + den) >= (n_a.cast("long") + n_b) * num
 
 
-def _candidate_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """The (id, text) of docs whose ids are in named, and a few more: a filter before the join, of a size that ID_BITS fixes."""
+def _named(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of docs whose id is in named, and a few more: a filter before a join, of a size that ID_BITS fixes."""
     at = F.xxhash64("id")
     bits = named.select((F.shiftrightunsigned(at, 64 - ID_BITS + 6)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(id), 64) as int))").alias("bit"))
     words = np.zeros(1 << (ID_BITS - 6), np.int64)
     for r in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():  # at most 2**(ID_BITS - 6) rows
         words[r["word"]] = r["bits"]
     mask = docs.sparkSession.sparkContext.broadcast(words)
+    names = docs.columns
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = batch.column(2).to_numpy()
+            h = batch.column(len(names)).to_numpy()
             word = mask.value[(h.view(np.uint64) >> _U(64 - ID_BITS + 6)).astype(np.int64)]
-            yield batch.select(["id", "text"]).filter(pa.array((word.view(np.uint64) >> (h.view(np.uint64) & _U(63))) & _U(1) == 1))
+            yield batch.select(names).filter(pa.array((word.view(np.uint64) >> (h.view(np.uint64) & _U(63))) & _U(1) == 1))
 
-    return docs.where(F.col("id").isNotNull()).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(pick, "id long, text string")
+    return docs.where(F.col("id").isNotNull()).select(*names, F.xxhash64("id").alias("h")).mapInArrow(pick, docs.schema)
 
 
 def _within_bound(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose bars allow enough tokens in common: a small exact filter before texts are fetched."""
+    """The pairs whose profiles allow a link: enough tokens in common by bars, and a first token in common under each of the other orders."""
+    fields = ("bars", "second", "third")
+    profiles = _named(profiles.select("id", *fields), pairs.select(F.explode(F.array("a", "b")).alias("id")))
     for side in ("a", "b"):
-        bars = profiles.where(F.col("id").isNotNull()).select(F.col("id").alias(f"__{side}"), F.col("bars").alias(f"bars_{side}"))
-        pairs = pairs.join(bars, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
+        mine = profiles.select(F.col("id").alias(f"__{side}"), *(F.col(f).alias(f"{f}_{side}") for f in fields))
+        pairs = pairs.join(mine, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
+
+    def may_link(x: list[np.ndarray], y: list[np.ndarray]) -> bool:
+        if not len(x[1]) or not len(y[1]):
+            return False  # an empty set
+        if len(x[0]) and len(y[0]) and int(np.minimum(x[0], y[0]).sum()) * (num + den) < (int(x[0].sum(dtype=np.int64)) + int(y[0].sum(dtype=np.int64))) * num:
+            return False
+        return all(np.isin(u, v).any() for u, v in zip(x[1:], y[1:]))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = ([v.as_py() for v in batch.column(c)] for c in ("bars_a", "bars_b"))
-            both = np.array([len(u) > 0 and len(v) > 0 for u, v in zip(x, y)], bool)
-            keep = ~both
-            at = np.flatnonzero(both)
-            u, v = (np.frombuffer(b"".join(z[i] for i in at), "<u2").reshape(-1, BARS).astype(np.int64) for z in (x, y))
-            keep[at] = np.minimum(u, v).sum(1) * (num + den) >= (u.sum(1) + v.sum(1)) * num
-            yield batch.select(["a", "b", "lead"]).filter(pa.array(keep))
+            sides = [[[np.frombuffer(v, "<u2") for v in batch.column(f"{f}_{s}").to_pylist()] for f in fields] for s in ("a", "b")]
+            keep = [may_link([c[i] for c in sides[0]], [c[i] for c in sides[1]]) for i in range(batch.num_rows)]
+            yield batch.select(["a", "b", "lead"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "lead", "bars_a", "bars_b").mapInArrow(bound, "a long, b long, lead long").distinct()
+    return pairs.mapInArrow(bound, "a long, b long, lead long").distinct()
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows (a, b, link): the pairs (a, b, lead) that may link compared, in blocks that get each of their texts once."""
+    """Rows (u, v): the pairs (a, b, lead) that link, compared in blocks that get each of their texts once."""
     pairs = settle(_within_bound(pairs, profiles, num, den), "pairs")
     members = settle(pairs.select("lead", F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
     total = members.count()
@@ -255,29 +276,160 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, nu
     placed = pairs.join(parts, "lead", "left").select("a", "b", F.pmod(F.xxhash64("lead", half("a"), half("b")), buckets).cast("int").alias("block"))
     placed = settle(placed, "placed")
     needed = placed.select(F.col("block").alias("of_block"), F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = needed.join(_candidate_texts(docs, members.select("id")), "id").select("of_block", "id", "text")
+    texts = needed.join(_named(docs, members.select("id")), "id").select("of_block", "id", "text")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets: dict[int, list[tuple[np.ndarray, list[np.ndarray]]]] = {}  # rows that share an id have several
+        sets: dict[int, list[np.ndarray]] = {}  # rows that share an id have several
         ids = right.column("id").to_numpy()
         for block in blocks(right.column("text")):
             row, token, n = token_sets(block, k)
-            size = prefix_sizes(n, num, den)
-            upto, shown = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(size)])
-            firsts = []
-            for factor in _ORDERS:
-                other = token * _U(factor)
-                firsts.append(other[_sort(row, other)][_first(row, n, size)])
+            upto = np.concatenate([[0], np.cumsum(n)])
             for i in range(block.n):
-                mine = token[upto[i] : upto[i + 1]].copy(), [f[shown[i] : shown[i + 1]].copy() for f in firsts]
-                sets.setdefault(int(ids[block.first + i]), []).append(mine)
+                sets.setdefault(int(ids[block.first + i]), []).append(token[upto[i] : upto[i + 1]].copy())
         a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
-        link = np.zeros(len(a), bool)
-        for i, (x, y) in enumerate(zip(a, b)):
-            link[i] = any(_linked(u, v, num, den) for u in sets.get(x, ()) for v in sets.get(y, ()))
-        return pa.table([left.column("a"), left.column("b"), pa.array(link)], names=["a", "b", "link"])
+        link = [any(_linked(u, v, num, den) for u in sets.get(x, ()) for v in sets.get(y, ())) for x, y in zip(a, b)]
+        return pa.table([left.column("a"), left.column("b")], names=["u", "v"]).filter(pa.array(link, pa.bool_()))
+
+    links = settle(placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "u long, v long"), "links")
+    forget(pairs, members, placed)
+    return links
+
+
+def _open_groups(postings: DataFrame, components: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (lead, id, component): what the leaders left, the texts of lists in several components that may still link within their list.
+
+    Lists that share a leader have one group; the parts of a common token's
+    list have the smallest of their leaders.
+    """
+    member = postings.select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    return placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "a long, b long, link boolean")
+    def several(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group")).where(F.col("c1") < F.col("c2"))
+
+    lists = several(member).select("token", "least", "group")
+    # the smallest text of a list is its easiest partner
+    able = settle(member.join(lists, "token").where(_may_link(F.col("n"), F.col("room"), F.col("least"), F.col("room"), num, den)), "open-lists")
+    still = several(able).select("token")
+    groups = settle(able.join(still, "token", "left_semi").select(F.col("group").alias("lead"), "id", "component").distinct(), "open-groups")
+    forget(able)
+    return groups
+
+
+class _Texts:
+    """The token sets of a block's texts and their first tokens under three orders; rows that share an id are texts of their own."""
+
+    def __init__(self, table: pa.Table, k: int, num: int, den: int, levels: np.ndarray):
+        ids = table.column("of_id").to_numpy()
+        tokens, sizes, shown, firsts = [], [], [], [[], [], []]
+        for block in blocks(table.column("text")):
+            row, token, n = token_sets(block, k)
+            size = prefix_sizes(n, num, den)
+            rare_first = np.argsort(row * 64 + levels[(token >> _U(64 - CELL_BITS)).astype(np.int64)], kind="stable")
+            for found, f in zip(firsts, [token[rare_first][_first(row, n, size)], *_other_firsts(row, token, n, size)]):
+                found.append(f)
+            tokens.append(token)
+            sizes.append(n)
+            shown.append(size)
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        self.tokens, self.n, shown = join(tokens, np.uint64), join(sizes, np.int64), join(shown, np.int64)
+        self.upto, self.shown = np.concatenate([[0], np.cumsum(self.n)]), np.concatenate([[0], np.cumsum(shown)])
+        self.columns = [(mix(join(f, np.uint64)) % _U(_COLUMNS)).astype(np.int32) for f in firsts]
+        self.of_id: dict[int, list[int]] = {}
+        for i, x in enumerate(ids.tolist()):
+            self.of_id.setdefault(x, []).append(i)
+        self.num, self.den = num, den
+
+    @staticmethod
+    def _ranges(upto: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of all entries of units, number of the unit of each)."""
+        size = upto[units + 1] - upto[units]
+        row = np.repeat(np.arange(len(units)), size)
+        return np.arange(len(row)) + np.repeat(upto[units] - (np.cumsum(size) - size), size), row
+
+    def _shown(self, units: np.ndarray, order: int) -> np.ndarray:
+        at, row = self._ranges(self.shown, units)
+        out = np.zeros((len(units), _COLUMNS), np.float32)
+        out[row, self.columns[order][at]] = 1
+        return out
+
+    def _counts(self, some: np.ndarray, all_: np.ndarray) -> np.ndarray:
+        """How many tokens each of some shares with each of all_, by products of membership matrices."""
+        (at, row), (at2, row2) = self._ranges(self.upto, some), self._ranges(self.upto, all_)
+        token, token2 = self.tokens[at], self.tokens[at2]
+        kinds = np.intersect1d(token, token2)
+        place, place2 = (np.minimum(np.searchsorted(kinds, t), max(len(kinds) - 1, 0)) for t in (token, token2))
+        out = np.zeros((len(some), len(all_)))
+        hit, hit2 = (kinds[p] == t if len(kinds) else np.zeros(len(t), bool) for p, t in ((place, token), (place2, token2)))
+        for begin in range(0, len(kinds), 4096):
+            width = min(4096, len(kinds) - begin)
+            sides = []
+            for n, r, p, h in ((len(some), row, place, hit), (len(all_), row2, place2, hit2)):
+                use = h & (p >= begin) & (p < begin + width)
+                x = np.zeros((n, width), np.float32)
+                x[r[use], p[use] - begin] = 1
+                sides.append(x)
+            out += sides[0] @ sides[1].T  # below 2**24 in each, so exact
+        return out
+
+    def links(self, some: np.ndarray, component: np.ndarray, all_: np.ndarray, component2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (i, j) of linked texts in different components; of one text's links into one component, one."""
+        n, n2 = self.n[some][:, None], self.n[all_][None, :]
+        open_ = (component[:, None] != component2[None, :]) & (np.minimum(n, n2) * self.den >= np.maximum(n, n2) * self.num) & (np.minimum(n, n2) > 0)
+        for order in range(3):
+            if open_.any():
+                open_ &= (self._shown(some, order) @ self._shown(all_, order).T) > 0
+        i, j = np.nonzero(open_)
+        if len(i) <= 8 * (len(some) + len(all_)):
+            sets = lambda u: self.tokens[self.upto[u] : self.upto[u + 1]]
+            both = np.array([_meet(sets(a), sets(b)) for a, b in zip(some[i], all_[j])], np.int64)
+        else:
+            both = self._counts(some, all_)[i, j].astype(np.int64)
+        linked = both * (self.num + self.den) >= (self.n[some[i]] + self.n[all_[j]]) * self.num
+        i, j = i[linked], j[linked]
+        _, one = np.unique(np.stack([i, component2[j]]), axis=1, return_index=True)
+        return i[one], j[one]
+
+
+def _links_within(groups: DataFrame, docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+    """Rows (u, v): links between different components of a group (lead, id, component), enough of them to join all components that link.
+
+    Texts outside a group's largest component are compared with all of the
+    group.  A cell is up to about REST_TEXTS of the former and PART_TEXTS of the
+    latter; small groups are one cell, and blocks have several.
+    """
+    level_of = docs.sparkSession.sparkContext.broadcast(levels)
+    by_component = groups.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("c"))
+    sizes = by_component.groupBy("lead").agg(F.max_by("component", F.struct("c", "component")).alias("most"), F.sum("c").alias("m"), (F.sum("c") - F.max("c")).alias("rest")).where(F.col("rest") > 0)
+    dealt = groups.join(sizes, "lead").withColumns({"r": F.ceil(F.col("rest") / REST_TEXTS), "g": F.ceil(F.col("m") / PART_TEXTS)})
+    every = dealt.select("lead", "id", "component", F.lit(False).alias("outside"), F.pmod(F.xxhash64("id"), "g").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("r") - 1)).alias("i"))
+    outside = dealt.where("component != most").select("lead", "id", "component", F.lit(True).alias("outside"), F.pmod(F.xxhash64("id", F.lit(1)), "r").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
+    cells = every.unionByName(outside).select(F.xxhash64("lead", "i", "j").alias("cell"), "id", "component", "outside")
+    buckets = max(1, groups.count() // BLOCK_TEXTS)
+    placed = settle(cells.withColumn("block", F.pmod(F.xxhash64("cell"), F.lit(buckets)).cast("int")), "cells")
+    needed = placed.select(F.col("block").alias("of_block"), F.col("id").alias("of_id")).distinct()
+    texts = needed.join(_named(docs, groups.select("id")), F.col("of_id") == F.col("id")).select("of_block", "of_id", "text")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = _Texts(right, k, num, den, level_of.value)
+        cell, ids, component, outside = (left.column(c).to_numpy() for c in ("cell", "id", "component", "outside"))
+        order = np.argsort(cell, kind="stable")
+        cell, ids, component, outside = cell[order], ids[order], component[order], outside[order]
+        edge = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        u, v = [], []
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(cell)]):
+            sides = []
+            for mine in (outside[a:b], ~outside[a:b]):
+                units = [(x, i, c) for i, c in zip(ids[a:b][mine].tolist(), component[a:b][mine].tolist()) for x in known.of_id.get(i, ())]
+                sides.append(np.array(units, np.int64).reshape(-1, 3))
+            some, all_ = sides
+            i, j = known.links(some[:, 0], some[:, 2], all_[:, 0], all_[:, 2])
+            u.append(some[i, 1])
+            v.append(all_[j, 1])
+        return pa.table([np.concatenate(u), np.concatenate(v)], names=["u", "v"])
+
+    links = settle(placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "u long, v long"), "links")
+    forget(placed)
+    return links
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -287,34 +439,31 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     is at least percent / 100; component_id is the smallest id that links
     reach.  A text of fewer words has its whole sequence as one shingle; a null
     or empty text has none and links with nothing.  Ids are integers; rows
-    that share an id share its component; a null id has none.  Words are told
-    apart by 64-bit hashes, as are shingles.
+    that share an id share its component; a null id has none.  Very long texts
+    are sets like others.  Extra columns are not read.  Words are told apart by
+    64-bit hashes, as are shingles: any two by chance agree once in 2**64.
     """
     num, den = percent, 100
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    profiles = settle(_profiles(rows, k), "profiles")
-    postings = settle(_postings(rows, _levels(profiles), k, num, den), "postings")
+    profiles = settle(_profiles(rows, k, num, den), "profiles")
+    levels = _levels(profiles)
+    postings = settle(_postings(rows, levels, k, num, den), "postings")
 
     fits = _may_link(F.col("n"), F.col("room"), F.col("lead_n"), F.col("lead_room"), num, den)
     stars = postings.where((F.col("id") != F.col("lead")) & fits).select(F.col("lead").alias("a"), F.col("id").alias("b"))
     heads = postings.where((F.col("level") > 0) & (F.col("id") == F.col("lead"))).select("token", "rare", "id", "n", "room")
     chief = heads.groupBy("token").agg(F.min(F.struct("rare", "n", "id", "room")).alias("c"))
     over = heads.join(chief, "token").where((F.col("id") != F.col("c.id")) & _may_link(F.col("n"), F.col("room"), F.col("c.n"), F.col("c.room"), num, den))
-    stars = stars.unionByName(over.select(F.col("c.id").alias("a"), F.col("id").alias("b"))).distinct()
-    compared = settle(_verified(stars.withColumn("lead", F.col("a")), profiles, rows, k, num, den), "compared")
-    links = compared.where("link").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    stars = settle(stars.unionByName(over.select(F.col("c.id").alias("a"), F.col("id").alias("b"))).distinct(), "stars")
+    links = _verified(stars.withColumn("lead", F.col("a")), profiles.where(F.col("cell").isNull()), rows, k, num, den)
     components = settle(connected_components(links), "components")
 
-    # what the leaders left: texts of one list that may link and are not in one component yet
-    member = postings.select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = member.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where(F.col("c1") < F.col("c2")).select("token")
-    open_lists = settle(member.join(mixed, "token", "left_semi"), "open-lists")
-    side = lambda i, s: open_lists.select("token", F.col("id").alias(i), F.col("n").alias(f"n{s}"), F.col("room").alias(f"room{s}"), F.col("component").alias(f"c{s}"), F.col("lead").alias(f"lead{s}"))
-    open_pairs = side("a", 1).join(side("b", 2), "token").where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
-    left = open_pairs.groupBy("a", "b").agg(F.min(F.least("lead1", "lead2")).alias("lead"))
-    done = compared.select("a", "b").unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = settle(_verified(left.join(done, ["a", "b"], "left_anti"), profiles, rows, k, num, den), "compared").where("link")
-    final = connected_components(links.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    groups = _open_groups(postings, components, num, den)
+    forget(postings, stars)
+    more = _links_within(groups, rows, levels, k, num, den)
+    forget(groups, components)
+    final = connected_components(links.unionByName(more))
+    forget(links, more)
     named = profiles.where(F.col("cell").isNull()).select("id", F.col("n").alias("n_shingles"))
     out = named.join(final, "id", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))

@@ -21,13 +21,26 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and return a reader of it.
 
     This cuts the lineage: later jobs, and tasks that are run again after an
-    executor was lost, read the table.  The files go when the session's file
-    system closes.
+    executor was lost, read the table.  The files go when `forget` is called,
+    or else when the session's file system closes.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
+    where = _hadoop_path(spark, path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._settled_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete settled tables that no DataFrame still to be computed reads."""
+    for table in tables:
+        spark = table.sparkSession
+        where = _hadoop_path(spark, table._settled_at)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
