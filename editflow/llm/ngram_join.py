@@ -13,8 +13,8 @@ Groups are not paired off.  In a posting list every text is compared with one
 leader, the text with the fewest rare tokens, which joins a group of copies in
 as many comparisons as it has texts; lists of common tokens are split, and
 their leaders compared with one leader.  Then only texts of one list that lie
-in different components may still link.  Lists with the same leader are one
-group; in each, all texts outside its largest component are compared with all
+in different components may still link.  Short lists are paired off.  Longer
+ones with the same leader are one group; in each, all texts outside its largest component are compared with all
 of its texts, in one task for up to some thousand texts: the three filters are
 products of small matrices there, what is left is counted exactly, and only
 links become rows.  So the components are exact, whatever the leaders.
@@ -48,6 +48,8 @@ ID_BITS = 23
 BARS = 64
 #: Texts of a block; a leader with more members is spread over several.
 BLOCK_TEXTS = 500
+#: Lists of up to so many texts are paired off.
+SMALL_LIST = 32
 #: Texts of a group that are compared with PART_TEXTS others in one task; larger groups are dealt to several.
 REST_TEXTS, PART_TEXTS = 512, 2048
 #: Columns of the matrices that first tokens are compared by.  Two tokens in one column cost a comparison, no result.
@@ -295,24 +297,31 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, nu
     return links
 
 
-def _open_groups(postings: DataFrame, components: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows (lead, id, component): what the leaders left, the texts of lists in several components that may still link within their list.
+def _left_open(postings: DataFrame, components: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """What the leaders left: of lists whose texts lie in several components, pairs (a, b, lead) and groups (lead, id, component).
 
-    Lists that share a leader have one group; the parts of a common token's
-    list have the smallest of their leaders.
+    Lists of up to SMALL_LIST texts that may still link give pairs, so a text
+    has no more than that many in a list.  Longer lists that share a leader are
+    one group; the parts of a common token's list have the smallest of their
+    leaders.
     """
     member = postings.select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def several(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group")).where(F.col("c1") < F.col("c2"))
+        return rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group"), F.count(F.lit(1)).alias("size")).where(F.col("c1") < F.col("c2"))
 
     lists = several(member).select("token", "least", "group")
     # the smallest text of a list is its easiest partner
-    able = settle(member.join(lists, "token").where(_may_link(F.col("n"), F.col("room"), F.col("least"), F.col("room"), num, den)), "open-lists")
-    still = several(able).select("token")
-    groups = settle(able.join(still, "token", "left_semi").select(F.col("group").alias("lead"), "id", "component").distinct(), "open-groups")
-    forget(able)
-    return groups
+    able = member.join(lists, "token").where(_may_link(F.col("n"), F.col("room"), F.col("least"), F.col("room"), num, den)).drop("least")
+    able = settle(able, "able")
+    still = settle(able.join(several(able).select("token", "size"), "token"), "open-lists")
+    short = still.where(F.col("size") <= SMALL_LIST)
+    side = lambda i, s: short.select("token", F.col("id").alias(i), F.col("n").alias(f"n{s}"), F.col("room").alias(f"room{s}"), F.col("component").alias(f"c{s}"), F.col("group").alias(f"lead{s}"))
+    pairs = side("a", 1).join(side("b", 2), "token").where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
+    pairs = settle(pairs.groupBy("a", "b").agg(F.min("lead1").alias("lead")), "open-pairs")
+    groups = settle(still.where(F.col("size") > SMALL_LIST).select(F.col("group").alias("lead"), "id", "component").distinct(), "open-groups")
+    forget(able, still)
+    return pairs, groups
 
 
 class _Texts:
@@ -455,15 +464,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chief = heads.groupBy("token").agg(F.min(F.struct("rare", "n", "id", "room")).alias("c"))
     over = heads.join(chief, "token").where((F.col("id") != F.col("c.id")) & _may_link(F.col("n"), F.col("room"), F.col("c.n"), F.col("c.room"), num, den))
     stars = settle(stars.unionByName(over.select(F.col("c.id").alias("a"), F.col("id").alias("b"))).distinct(), "stars")
-    links = _verified(stars.withColumn("lead", F.col("a")), profiles.where(F.col("cell").isNull()), rows, k, num, den)
+    sets = profiles.where(F.col("cell").isNull())
+    links = _verified(stars.withColumn("lead", F.col("a")), sets, rows, k, num, den)
     components = settle(connected_components(links), "components")
 
-    groups = _open_groups(postings, components, num, den)
-    forget(postings, stars)
-    more = _links_within(groups, rows, levels, k, num, den)
-    forget(groups, components)
-    final = connected_components(links.unionByName(more))
-    forget(links, more)
-    named = profiles.where(F.col("cell").isNull()).select("id", F.col("n").alias("n_shingles"))
+    pairs, groups = _left_open(postings, components, num, den)
+    forget(postings, stars, components)
+    more = _verified(pairs, sets, rows, k, num, den)
+    most = _links_within(groups, rows, levels, k, num, den)
+    forget(pairs, groups)
+    final = connected_components(links.unionByName(more).unionByName(most))
+    forget(links, more, most)
+    named = sets.select("id", F.col("n").alias("n_shingles"))
     out = named.join(final, "id", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))

@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from editflow.llm import components, ngram_join
@@ -90,3 +92,43 @@ def test_connected_components(spark):
             a, b = find(u), find(v)
             root[max(a, b)] = min(a, b)
     assert got == {x: find(x) for x in root}
+
+
+def test_a_large_family_just_below_the_threshold(spark, monkeypatch):
+    """Variants that share rare words: some link, most don't quite; groups are dealt to several cells."""
+    for name, value in {"SMALL_LIST": 4, "REST_TEXTS": 16, "PART_TEXTS": 40, "BLOCK_TEXTS": 50}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(160):
+        w = words[:]
+        for j in rng.sample(range(120), rng.choice([1, 2, 3, 3, 4])):
+            w[j] = f"x{rng.randrange(30)}"
+        rows.append((i, " ".join(w)))
+    rows += [(500 + i, " ".join(rng.choice(words) for _ in range(100))) for i in range(40)]
+    expected = brute(rows, 4, 80)
+    assert 5 < len({c for _, c in expected.values()}) - 40 < 155
+    got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), k=4, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+def test_counts_by_matrices_are_exact(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(90)] + [""]
+    table = pa.table({"of_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    known = ngram_join._Texts(table, 2, 50, 100, np.zeros(1 << ngram_join.CELL_BITS, np.uint8))
+    every = np.arange(len(texts))
+    sets = [{tuple(t.split()[i : i + 2]) for i in range(max(len(t.split()) - 1, min(len(t.split()), 1)))} for t in texts]
+    assert (known._counts(every[:20], every) == [[len(a & b) for b in sets] for a in sets[:20]]).all()
+    i, j = known.links(every, every, every, every)
+    assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a in every for b in every if a != b and sets[a] and 100 * len(sets[a] & sets[b]) >= 50 * len(sets[a] | sets[b])}
+
+
+def test_words_alike_to_polynomials_do_not_link(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, a.translate(str.maketrans("ab", "ba"))), (3, a.upper())]
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), k=4, percent=85).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
