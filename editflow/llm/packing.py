@@ -2,11 +2,13 @@
 
 Documents become pieces of at most ``capacity`` tokens.  How many pieces have
 each length is a table of at most ``capacity`` rows, whatever the corpus, and
-packing is planned on it: around the largest length left, branch and bound
-enumerates the undominated fillings of the rest of the sequence, from the
-best-fit one as incumbent, prunes by waste, and the filling found is repeated
-while its lengths last.  The plan is small; Spark deals the pieces out to it by
-their rank among the pieces of their length.
+packing is planned on it.  Best-fit plans are the first incumbents.  Where they
+miss the lower bound, branch and bound completes one sequence after the other
+around the largest length left: its undominated fillings are enumerated by
+growing waste, each repeated while its lengths last or taken once, and a branch
+is pruned when its waste, or the sequences that its rest needs, can't beat the
+incumbent.  The plan is small; Spark deals the pieces out to it by their rank
+among the pieces of their length.
 """
 
 from __future__ import annotations
@@ -107,42 +109,185 @@ class Filling:
     lengths: tuple[int, ...]
 
 
-def _completion(rest: int, counts: list[int], mask: int, budget: int) -> tuple[int, ...]:
-    """The lengths that fill ``rest`` with least waste; of several, the one with the larger lengths.
+@dataclass(frozen=True)
+class Plan:
+    """Fillings that use every length as often as it is there; no packing has fewer than ``least`` sequences, nor than this one if ``proven``."""
+
+    fillings: list[Filling]
+    sequences: int
+    least: int
+    proven: bool
 
-    Depth first, larger lengths first: the first leaf is the best-fit filling,
-    the incumbent.  A length that fits exactly dominates all that could stand
-    in its place.  Branches whose waste can't get below the incumbent's are cut.
-    """
-    best, best_waste, nodes = (), rest, 0
-    used: dict[int, int] = {}
 
-    def largest(limit: int) -> int:
-        while (m := mask & ((1 << (limit + 1)) - 1)) and (top := m.bit_length() - 1) > 0:
-            if counts[top] > used.get(top, 0):
-                return top
-            limit = top - 1
-        return 0
-
-    def search(left: int, top: int, chosen: tuple[int, ...]) -> None:
-        nonlocal best, best_waste, nodes
-        nodes += 1
-        if left < best_waste or not chosen:
-            best, best_waste = chosen, left
-        if not left or nodes > budget:
-            return
-        length = largest(min(left, top))
-        while length and best_waste and nodes <= budget:
-            # what remains at this level is at most as large as length; as many as fit can waste no less
-            used[length] = used.get(length, 0) + 1
-            search(left - length, length, (*chosen, length))
-            used[length] -= 1
-            length = largest(length - 1)
-
-    search(rest, rest, ())
+def _exact_fillings(lengths: list[int], counts: list[int], room: int, most_waste: int, work: list[int]) -> Iterator[tuple[tuple[int, ...], int]]:
+    """(lengths, waste) of all fillings of room by bounded counts of descending lengths, by growing waste up to most_waste.
+
+    reach[i] has a bit for every sum that lengths[i:] can make, so that no
+    branch is entered that leads nowhere.  Each step counts against work[0].
+    """
+    reach = [1] * (len(lengths) + 1)
+    for i in range(len(lengths) - 1, -1, -1):
+        sums, n, part = reach[i + 1], min(counts[i], room // lengths[i]), 1
+        while n > 0:
+            part = min(part, n)
+            sums |= sums << part * lengths[i]
+            n -= part
+            part *= 2
+        reach[i] = sums & ((1 << room + 1) - 1)
+    work[0] -= len(lengths) + 1
+    for waste in range(min(most_waste, room) + 1):
+        if not reach[0] >> (room - waste) & 1:
+            continue
+        stack = [(0, room - waste, ())]
+        while stack:
+            i, left, chosen = stack.pop()
+            work[0] -= 1
+            if not left:
+                yield chosen, waste
+                continue
+            while lengths[i] > left or not counts[i]:
+                i += 1
+            # on top of the stack, and so first: as many of the larger length as can be
+            for n in range(min(counts[i], left // lengths[i]) + 1):
+                if reach[i + 1] >> (left - n * lengths[i]) & 1:
+                    stack.append((i + 1, left - n * lengths[i], chosen + (lengths[i],) * n))
+
+
+def _dominated(chosen: tuple[int, ...], waste: int, spare: int) -> bool:
+    """Whether one of the spare lengths (a bit for each) could stand for some of the chosen ones and leave no more waste, and these be packed elsewhere."""
+    one, two = 1, 0
+    for x in chosen:
+        two |= (one & ~1) << x
+        one |= one << x
+    if two & spare:
+        return True
+    return any(one << d & spare for d in range(1, waste + 1))
+
+
+def _bound(lengths: list[int], counts: list[int], capacity: int) -> int:
+    """lower_bound over descending lengths and their counts."""
+    pairs = [(x, n) for x, n in zip(lengths, counts) if n]
+    best = -(-sum(x * n for x, n in pairs) // capacity)
+    if len(pairs) > 64:
+        return best  # the sum alone: a bound as well, found faster
+    for small in {0, *(x for x, _ in pairs if 2 * x <= capacity)}:
+        big = sum(n for x, n in pairs if x > capacity - small)
+        middle = [(x, n) for x, n in pairs if x <= capacity - small and 2 * x > capacity]
+        held = sum(n for _, n in middle)
+        room = held * capacity - sum(x * n for x, n in middle)
+        low = sum(x * n for x, n in pairs if small <= x and 2 * x <= capacity)
+        best = max(best, big + held + max(0, -(-(low - room) // capacity)))
     return best
 
 
+def _complete(have: dict[int, int], capacity: int, incumbent: list[Filling], size: int, least: int, work: list[int]) -> tuple[list[Filling], int, bool]:
+    """Branch and bound over the fillings of the largest length left: (best plan, its sequences, whether none is better)."""
+    lengths = sorted(have, reverse=True)
+    at = {x: i for i, x in enumerate(lengths)}
+    total = sum(x * n for x, n in have.items())
+    seen: dict[tuple[int, ...], int] = {}
+
+    def options(counts: list[int], waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
+        """(lengths, times, waste of each): a filling as often as it can be, then once, which leaves nothing out."""
+        top = next(i for i, n in enumerate(counts) if n)
+        rest = counts[:]
+        rest[top] -= 1
+        room = capacity - lengths[top]
+        usable = [i for i in range(top, len(lengths)) if rest[i] and lengths[i] <= room]
+        found = _exact_fillings([lengths[i] for i in usable], [rest[i] for i in usable], room, (size - 1) * capacity - total - waste, work)
+        for chosen, lost in found:
+            used = {x: chosen.count(x) for x in dict.fromkeys(chosen)}
+            spare = sum(1 << lengths[i] for i in usable if rest[i] > used.get(lengths[i], 0))
+            if len(chosen) <= 24 and _dominated(chosen, lost, spare):
+                continue
+            whole = (lengths[top], *chosen)
+            most = min(counts[at[x]] // whole.count(x) for x in dict.fromkeys(whole))
+            yield whole, most, lost
+            if most > 1:
+                yield whole, 1, lost
+
+    start = [have[x] for x in lengths]
+    stack = [(start, 0, 0, options(start, 0))]
+    plan: list[Filling] = []
+    best = incumbent
+    while stack and work[0] > 0 and size > least:
+        counts, waste, packed, more = stack[-1]
+        option = next(more, None)
+        if option is None:
+            stack.pop()
+            if plan:
+                plan.pop()
+            continue
+        work[0] -= 20 + 2 * len(counts)
+        whole, times, lost = option
+        waste, packed = waste + times * lost, packed + times
+        if waste > (size - 1) * capacity - total:
+            continue
+        left = counts[:]
+        for x in whole:
+            left[at[x]] -= times
+        if not any(left):
+            best, size = [*plan, Filling(times, whole)], packed
+            continue
+        key = tuple(left)
+        if seen.get(key, packed + 1) <= packed or packed + _bound(lengths, left, capacity) >= size:
+            continue
+        if len(seen) < 200_000:
+            seen[key] = packed
+        plan.append(Filling(times, whole))
+        stack.append((left, waste, packed, options(left, waste)))
+    return best, size, size <= least or not stack and work[0] > 0
+
+
+def _quick_filling(room: int, counts: list[int], mask: int, steps: int) -> tuple[int, ...] | None:
+    """Lengths that fill room exactly, larger ones first, if a search of so many steps finds any; mask has a bit for each length that is left."""
+    used: dict[int, int] = {}
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, room, ())]
+    while stack and steps:
+        left, limit, chosen = stack.pop()
+        if not left:
+            return chosen
+        fit = mask & ((1 << min(left, limit) + 1) - 1)
+        if not fit:
+            continue
+        steps -= 1
+        x = fit.bit_length() - 1
+        used[x] = chosen.count(x)
+        stack.append((left, x - 1, chosen))
+        if used[x] < counts[x]:
+            stack.append((left - x, x, (*chosen, x)))
+    return None
+
+
+def _best_fit(have: dict[int, int], capacity: int, share: float) -> tuple[list[Filling], int]:
+    """Around the largest length left the filling with least waste, repeated for a share of the times it could be: (plan, sequences)."""
+    left = [0] * (capacity + 1)
+    for x, n in have.items():
+        left[x] = n
+    mask = sum(1 << x for x in have)
+    plan, size = [], 0
+    while mask:
+        top = mask.bit_length() - 1
+        left[top] -= 1
+        room = capacity - top
+        chosen = _quick_filling(room, left, mask if left[top] else mask & ~(1 << top), 400)
+        if chosen is None:
+            usable = [x for x in range(min(room, top), 0, -1) if left[x]]
+            chosen, _ = next(_exact_fillings(usable, [left[x] for x in usable], room, room, [0]))
+        left[top] += 1
+        whole = (top, *chosen)
+        need = {x: whole.count(x) for x in dict.fromkeys(whole)}
+        most = min(left[x] // n for x, n in need.items())
+        times = max(1, int(most * share)) if most > 8 else most
+        for x, n in need.items():
+            left[x] -= times * n
+            if not left[x]:
+                mask &= ~(1 << x)
+        plan.append(Filling(times, whole))
+        size += times
+    return plan, size
+
+
 def lower_bound(counts: list[int], capacity: int) -> int:
     """No packing has fewer sequences: the sum of lengths, and the bound that keeps large lengths apart from each other."""
     total = sum(i * c for i, c in enumerate(counts))
@@ -157,49 +302,46 @@ def lower_bound(counts: list[int], capacity: int) -> int:
     return best
 
 
-def plan_packing(counts: dict[int, int], capacity: int, budget: int = 4_000, plans: int = 3) -> list[Filling]:
-    """Fillings that use every length exactly as often as counts says.
+def _scaled(have: dict[int, int], capacity: int, factor: int, work: int) -> tuple[list[Filling], int]:
+    """A plan of the counts divided by factor, each filling that many times as often, and one of what remains."""
+    few = plan_packing({x: n // factor for x, n in have.items()}, capacity, work)
+    rest = plan_packing({x: n % factor for x, n in have.items()}, capacity, work)
+    return [Filling(f.times * factor, f.lengths) for f in few.fillings] + rest.fillings, few.sequences * factor + rest.sequences
+
 
-    ``budget`` bounds the nodes of one search and ``plans`` the number of whole
-    plans: after the first, in which a filling is repeated as long as it lasts,
-    later ones repeat fillings less, so that scarce lengths last longer.  A plan
-    is given up when its waste exceeds that of the best one; the search ends
-    when the lower bound is met.
+def plan_packing(counts: dict[int, int], capacity: int, work: int = 4_000_000) -> Plan:
+    """The fewest sequences that hold every length as often as counts says.
+
+    Best-fit plans come first, one that repeats a filling as long as it lasts
+    and some that repeat less, so that scarce lengths last longer.  If none
+    meets the lower bound, branch and bound starts from the best of them, for
+    lengths that are there many times also over the counts divided by a factor.
+    ``work`` bounds its steps, a few seconds; a plan that is not proven within
+    them says so, and is above the fewest by ``sequences - least`` at most.
     """
-    have = [0] * (capacity + 1)
-    for length, count in counts.items():
+    have = {x: n for x, n in sorted(counts.items()) if n}
+    dense = [0] * (capacity + 1)
+    for length, count in have.items():
         if not 0 < length <= capacity:
             raise ValueError(f"length {length} does not fit a sequence of {capacity}")
-        have[length] += count
-    least = lower_bound(have, capacity)
-    best: list[Filling] = []
-    best_size = None
-    total = sum(i * c for i, c in enumerate(have))
-    for share in [1.0, 0.5, 0.25, 0.1][: max(1, plans)]:
-        left, mask, plan, size, waste = have[:], sum(1 << i for i, c in enumerate(have) if c and i), [], 0, 0
-        while mask:
-            top = mask.bit_length() - 1
-            left[top] -= 1
-            lengths = (top, *_completion(capacity - top, left, mask, budget))
-            left[top] += 1
-            need = {x: lengths.count(x) for x in lengths}
-            most = min(left[x] // n for x, n in need.items())
-            times = max(1, int(most * share)) if most > 8 else most
-            plan.append(Filling(times, lengths))
-            size += times
-            waste += times * (capacity - sum(lengths))
-            if best_size is not None and waste > (best_size - 1) * capacity - total:
-                break
-            for x, n in need.items():
-                left[x] -= times * n
-                if not left[x]:
-                    mask &= ~(1 << x)
-        else:
-            if best_size is None or size < best_size:
-                best, best_size = plan, size
-        if best_size == least:
-            break
-    return best
+        dense[length] = count
+    if not have:
+        return Plan([], 0, 0, True)
+    least = lower_bound(dense, capacity)
+    best, size = None, None
+    for share in (1.0, 0.5, 0.25, 0.1):
+        plan, n = _best_fit(have, capacity, share)
+        if size is None or n < size:
+            best, size = plan, n
+        if size == least:
+            return Plan(best, size, least, True)
+    for factor in (max(have.values()), min(have.values()), max(have.values()) // 8):
+        if factor > 1 and size > least and len(have) <= 64:
+            plan, n = _scaled(have, capacity, factor, work // 8)
+            if n < size:
+                best, size = plan, n
+    best, size, proven = _complete(have, capacity, best, size, least, [work])
+    return Plan(best, size, least, proven)
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_id", "piece"), rows_per_bucket: int = 4096) -> DataFrame:
@@ -213,7 +355,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    plan = plan_packing(counts, capacity)
+    plan = plan_packing(counts, capacity).fillings
     buckets = max(1, sum(counts.values()) // rows_per_bucket)
 
     # for each length, the ranges of ranks that a filling takes: key, first rank, per sequence, first sequence, place

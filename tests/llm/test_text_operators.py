@@ -204,7 +204,7 @@ def test_packing(spark, docs, none):
 def test_plans_use_every_length_and_come_near_the_bound(seed):
     rng = random.Random(seed)
     counts = Counter(rng.randrange(1, 101) for _ in range(3000))
-    plan = packing.plan_packing(counts, 100)
+    plan = packing.plan_packing(counts, 100).fillings
     used = Counter()
     for f in plan:
         assert sum(f.lengths) <= 100
@@ -217,9 +217,61 @@ def test_plans_use_every_length_and_come_near_the_bound(seed):
         packing.plan_packing({101: 1}, 100)
 
 
-def test_best_fit_alone_is_beaten():
-    """7+3 and 6+4 fill two; best fit alone starts 7+3, 6+4 too, but 8 with 5,5 needs the search to keep 4+4+2."""
-    assert sum(f.times for f in packing.plan_packing({6: 1, 5: 1, 3: 1, 2: 3}, 10)) == 2
+def check_plan(plan, counts, capacity):
+    used = Counter()
+    for f in plan.fillings:
+        assert f.times > 0 and sum(f.lengths) <= capacity
+        for x in f.lengths:
+            used[x] += f.times
+    assert used == Counter(counts) and plan.sequences == sum(f.times for f in plan.fillings) >= plan.least
+
+
+def fewest(items, capacity):
+    """By all subsets: the fewest sequences, and the room left in the last one."""
+    best = {0: (1, capacity)}
+    for mask in range(1, 1 << len(items)):
+        options = []
+        for i, x in enumerate(items):
+            if mask >> i & 1:
+                n, room = best[mask & ~(1 << i)]
+                options.append((n, -(room - x)) if x <= room else (n + 1, -(capacity - x)))
+        n, room = min(options)
+        best[mask] = n, -room
+    return best[(1 << len(items)) - 1][0]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_are_optimal_on_small_cases(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        capacity = rng.choice([10, 20, 50, 100])
+        low = rng.choice([1, capacity // 5, capacity // 3])
+        items = [rng.randrange(max(low, 1), max(low + 1, rng.choice([capacity // 2, capacity]))) for _ in range(rng.randrange(1, 11))]
+        plan = packing.plan_packing(Counter(items), capacity)
+        check_plan(plan, Counter(items), capacity)
+        assert plan.proven and plan.sequences == fewest(items, capacity)
+
+
+def test_perfect_triplets_are_found():
+    rng = random.Random(11)
+    for n in (6, 9, 12, 15, 20):
+        for _ in range(12):
+            items = []
+            for _ in range(n):
+                a = rng.randrange(380, 490)
+                b = rng.randrange(250, (1000 - a) // 2)
+                items += [a, b, 1000 - a - b]
+            plan = packing.plan_packing(Counter(items), 1000)
+            check_plan(plan, Counter(items), 1000)
+            assert plan.sequences == n
+
+
+def test_many_copies_of_few_lengths():
+    counts = dict.fromkeys([996, 991, 787, 782, 745, 654, 612, 307, 270], 1000)
+    plan = packing.plan_packing(counts, 2048)
+    check_plan(plan, counts, 2048)
+    assert plan.sequences <= 3000 + plan.least * 0.002
+    assert packing.plan_packing({}, 10).sequences == 0
 
 
 # ---- statistics, rules, quality
