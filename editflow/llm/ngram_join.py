@@ -22,10 +22,12 @@ links become rows.  So the components are exact, whatever the leaders.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +47,7 @@ _CELLS_A_ROW = 1 << 12
 #: Bits by hashed id that say which texts are candidates.  A false one costs a fetch, no result.
 ID_BITS = 23
 #: Classes of tokens by hash.  Two sets share at most the sum of the smaller counts of each class.
-BARS = 64
+BARS = 256
 #: Texts of a block; a leader with more members is spread over several.
 BLOCK_TEXTS = 500
 #: Lists of up to so many texts are paired off.
@@ -54,6 +56,7 @@ SMALL_LIST = 32
 REST_TEXTS, PART_TEXTS = 512, 2048
 #: Columns of the matrices that first tokens are compared by.  Two tokens in one column cost a comparison, no result.
 _COLUMNS = 2048
+_PROFILE = ("bars", "second", "third", "print")
 
 
 def _sort(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -113,11 +116,11 @@ def _other_firsts(row: np.ndarray, token: np.ndarray, n: np.ndarray, size: np.nd
 
 
 def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """For each document a row (id, n, bars, second, third): its set size, how many tokens fall in each of BARS, and its first tokens under the other orders; and rows (cell, counts) of token counts.
+    """For each document a row (id, n, bars, second, third, print): its set size, how many tokens fall in each of BARS, its first tokens under the other orders, and the 128-bit hash of the set; and rows (cell, counts) of token counts.
 
-    Sets too large for 16-bit bars have empty ones.
+    Sets too large for 8-bit bars have empty ones, which exclude nothing.
     """
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("bars", "second", "third")), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in _PROFILE), T.StructField("cell", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
@@ -125,15 +128,17 @@ def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             for block in blocks(batch.column(1)):
                 row, token, n = token_sets(block, k)
                 bars = np.bincount(row * BARS + (token & _U(BARS - 1)).astype(np.int64), minlength=block.n * BARS).reshape(-1, BARS)
-                fit = bars.max(1, initial=0) < 1 << 16
+                fit = bars.max(1, initial=0) < 1 << 8
                 size = prefix_sizes(n, num, den)
                 firsts = [binary_column((mix(f) >> _U(48)).astype("<u2"), size) for f in _other_firsts(row, token, n, size)]
+                upto = np.concatenate([[0], np.cumsum(n)]).tolist()
+                prints = [hashlib.blake2b(token[i:j], digest_size=16).digest() for i, j in zip(upto, upto[1:])]
                 np.add.at(cells, (token >> _U(64 - CELL_BITS)).astype(np.int64), 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), binary_column(bars[fit].astype("<u2").ravel(), fit * BARS), *firsts, pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array(n), binary_column(bars[fit].astype(np.uint8).ravel(), fit * BARS), *firsts, pa.array(prints, pa.binary()), pa.nulls(block.n, pa.int32()), pa.nulls(block.n, pa.binary())], names=schema.names)
         parts = cells.reshape(-1, _CELLS_A_ROW)
         used = np.flatnonzero(parts.any(1))
         counts = pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())
-        blank = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
+        blank = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), *[pa.binary()] * len(_PROFILE))]
         yield pa.RecordBatch.from_arrays([*blank, pa.array(used.astype(np.int32)), counts], names=schema.names)
 
     return docs.mapInArrow(profile, schema)
@@ -160,11 +165,13 @@ def _levels(profiles: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """Rows (token, id, n, room, lead, lead_n, lead_room, rare, level): the members of posting lists under the first order, each with its list's leader.
+    """Rows (token, id, n, room, lead, lead_n, lead_room, rare, level, closed): the members of posting lists under the first order, each with its list's leader.
 
     room is how many of the text's tokens, in this order, are left from this
     one on.  A list of a token of level l is kept in 2**(l - PART_LEVELS) parts
     by id; lists of one member are left out, save those of common tokens.
+    closed says that a list is known to have no more than the leader and one
+    other, so that the leader's comparison settles it.
     """
     level_of = docs.sparkSession.sparkContext.broadcast(levels)
     listed = "token long, part int, level int, rare int, id long, n int, room int"
@@ -206,13 +213,19 @@ def _postings(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -
                 show[0] = False
             carried = [c[at[-1] : at[-1] + 1] for c in x]
             told = bool(listed_now[-1]) or (again and len(size) == 1)
+            # lists that begin and end within this batch
+            pair = (size == 2) & (x[2][at] <= PART_LEVELS)
+            pair[-1] = False
+            if again:
+                pair[0] = False
+            closed = np.repeat(pair, size)
             i = np.flatnonzero(show)
-            columns = [x[0][i], x[4][i], x[5][i], x[6][i], x[4][head[i]], x[5][head[i]], x[6][head[i]], x[3][i], x[2][i]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "n", "room", "lead", "lead_n", "lead_room", "rare", "level"])
+            columns = [x[0][i], x[4][i], x[5][i], x[6][i], x[4][head[i]], x[5][head[i]], x[6][head[i]], x[3][i], x[2][i], closed[i]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "n", "room", "lead", "lead_n", "lead_room", "rare", "level", "closed"])
 
     rows = docs.where(F.col("id").isNotNull()).mapInArrow(list_tokens, listed)
     sorted_rows = rows.repartition("token", "part").sortWithinPartitions("token", "part", "rare", "n", "id")
-    return sorted_rows.mapInArrow(lead, "token long, id long, n int, room int, lead long, lead_n int, lead_room int, rare int, level int")
+    return sorted_rows.mapInArrow(lead, "token long, id long, n int, room int, lead long, lead_n int, lead_room int, rare int, level int, closed boolean")
 
 
 def _may_link(n_a: Column, room_a: Column, n_b: Column, room_b: Column, num: int, den: int) -> Column:
@@ -244,32 +257,37 @@ def _named(docs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _within_bound(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose profiles allow a link: enough tokens in common by bars, and a first token in common under each of the other orders."""
-    fields = ("bars", "second", "third")
-    profiles = _named(profiles.select("id", *fields), pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    """Rows (a, b, lead, same): the pairs whose profiles allow a link.
+
+    They have enough tokens in common by bars, and a first token in common under
+    each of the other orders; same says that the sets are equal.
+    """
+    profiles = _named(profiles.select("id", *_PROFILE), pairs.select(F.explode(F.array("a", "b")).alias("id")))
     for side in ("a", "b"):
-        mine = profiles.select(F.col("id").alias(f"__{side}"), *(F.col(f).alias(f"{f}_{side}") for f in fields))
+        mine = profiles.select(F.col("id").alias(f"__{side}"), *(F.col(f).alias(f"{f}_{side}") for f in _PROFILE))
         pairs = pairs.join(mine, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
 
     def may_link(x: list[np.ndarray], y: list[np.ndarray]) -> bool:
         if not len(x[1]) or not len(y[1]):
             return False  # an empty set
-        if len(x[0]) and len(y[0]) and int(np.minimum(x[0], y[0]).sum()) * (num + den) < (int(x[0].sum(dtype=np.int64)) + int(y[0].sum(dtype=np.int64))) * num:
+        if len(x[0]) and len(y[0]) and int(np.minimum(x[0], y[0]).sum()) * (num + den) < (int(x[0].sum()) + int(y[0].sum())) * num:
             return False
         return all(np.isin(u, v).any() for u, v in zip(x[1:], y[1:]))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [[[np.frombuffer(v, "<u2") for v in batch.column(f"{f}_{s}").to_pylist()] for f in fields] for s in ("a", "b")]
-            keep = [may_link([c[i] for c in sides[0]], [c[i] for c in sides[1]]) for i in range(batch.num_rows)]
-            yield batch.select(["a", "b", "lead"]).filter(pa.array(keep, pa.bool_()))
+            sides = [[[np.frombuffer(v, kind) for v in batch.column(f"{f}_{s}").to_pylist()] for f, kind in zip(_PROFILE, (np.uint8, "<u2", "<u2"))] for s in ("a", "b")]
+            keep = pa.array([may_link([c[i] for c in sides[0]], [c[i] for c in sides[1]]) for i in range(batch.num_rows)], pa.bool_())
+            same = pc.equal(batch.column("print_a"), batch.column("print_b"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "lead")), same], names=["a", "b", "lead", "same"]).filter(keep)
 
-    return pairs.mapInArrow(bound, "a long, b long, lead long").distinct()
+    return pairs.mapInArrow(bound, "a long, b long, lead long, same boolean").distinct()
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows (u, v): the pairs (a, b, lead) that link, compared in blocks that get each of their texts once."""
-    pairs = settle(_within_bound(pairs, profiles, num, den), "pairs")
+    """Rows (u, v): the pairs (a, b, lead) that link.  Unless their sets are equal they are compared in blocks that get each of their texts once."""
+    able = settle(_within_bound(pairs, profiles, num, den), "pairs")
+    pairs = able.where(~F.col("same"))
     members = settle(pairs.select("lead", F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
     total = members.count()
     parts = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("g")).where(F.col("g") > 1)
@@ -292,8 +310,9 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, nu
         link = [any(_linked(u, v, num, den) for u in sets.get(x, ()) for v in sets.get(y, ())) for x, y in zip(a, b)]
         return pa.table([left.column("a"), left.column("b")], names=["u", "v"]).filter(pa.array(link, pa.bool_()))
 
-    links = settle(placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "u long, v long"), "links")
-    forget(pairs, members, placed)
+    links = placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "u long, v long")
+    links = settle(links.unionByName(able.where("same").select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
+    forget(able, members, placed)
     return links
 
 
@@ -305,7 +324,7 @@ def _left_open(postings: DataFrame, components: DataFrame, num: int, den: int) -
     one group; the parts of a common token's list have the smallest of their
     leaders.
     """
-    member = postings.select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    member = postings.where(~F.col("closed")).select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def several(rows: DataFrame) -> DataFrame:
         return rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group"), F.count(F.lit(1)).alias("size")).where(F.col("c1") < F.col("c2"))
