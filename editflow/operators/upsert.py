@@ -16,12 +16,14 @@ def newest(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Column | None = None) -> DataFrame:
-    """The rows to append: one per key, of those the target has none of.  order picks among rows of one key, the first."""
-    if order is None:
-        fresh = rows.dropDuplicates(list(keys))
-    else:
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-        fresh = rows.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
+    """The rows to append: one per key, of those the target has none of.
+
+    Of rows with one key the first by order is taken; without an order, the one
+    whose columns have the smallest hash, so that a run again takes the same.
+    """
+    first = F.xxhash64(*rows.columns) if order is None else order
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(first))
+    fresh = rows.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
     return fresh.join(target.select(*keys), list(keys), "left_anti")
 
 

@@ -40,6 +40,7 @@ def page_activity(events: DataFrame, slide: Slide = Slide(), time: str = "event_
     # streams have no distinct aggregates; a window's set of editors is bounded by its editors
     editors = F.size(F.collect_set(editor)).cast("long") if events.isStreaming else F.countDistinct(editor)
     minutes = slide.size / 60
+    last = F.struct(time, "event_id")  # edits at one time have an order too
     grouped = events.groupBy(slide.column(time).alias("window"), "wiki", "page_title").agg(
         F.first("page_id", ignorenulls=True).alias("page_id"),
         F.count(F.lit(1)).alias("edit_count"),
@@ -48,8 +49,8 @@ def page_activity(events: DataFrame, slide: Slide = Slide(), time: str = "event_
         F.count_if(bot).alias("bot_edits"),
         F.count_if(F.coalesce(F.col("is_revert"), F.lit(False))).alias("revert_count"),
         F.sum(F.coalesce("byte_length_delta", F.lit(0))).alias("net_byte_delta"),
-        F.max_by("revision_id", time).alias("last_revision_id"),
-        F.max_by("provenance_id", time).alias("provenance_id"),
+        F.max_by("revision_id", last).alias("last_revision_id"),
+        F.max_by("provenance_id", last).alias("provenance_id"),
     )
     velocity = F.round(F.col("edit_count") / minutes, 4) if minutes > 0 else F.lit(0.0)
     return grouped.select("wiki", "page_title", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *grouped.columns[3:], velocity.alias("edit_velocity"))

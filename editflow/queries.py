@@ -56,7 +56,7 @@ wx AS (
 win AS (
   SELECT wiki, page_title, window_start, window_end, any_value(page_id) AS page_id, count(*) AS edit_count, count(DISTINCT "user") AS unique_editors,
     count(*) FILTER (WHERE NOT is_bot) AS human_edits, count(*) FILTER (WHERE is_bot) AS bot_edits, count(*) FILTER (WHERE is_revert) AS revert_count,
-    CAST(sum(byte_length_delta) AS BIGINT) AS net_byte_delta, arg_max(revision_id, us) AS last_revision_id, arg_max(provenance_id, us) AS provenance_id,
+    CAST(sum(byte_length_delta) AS BIGINT) AS net_byte_delta, arg_max(revision_id, (us, event_id)) AS last_revision_id, arg_max(provenance_id, (us, event_id)) AS provenance_id,
     round(count(*) / 360.0, 4) AS edit_velocity
   FROM wx GROUP BY 1, 2, 3, 4),
 gaps AS (
@@ -86,7 +86,7 @@ totals AS (
   FROM wx GROUP BY 1, 2, 3, 4),
 wars AS (
   SELECT t.*, b.mutual_reverts AS mutual_revert_count, editor_a, editor_b,
-    round(b.mutual_reverts * 2.0 + CASE WHEN edit_burst_count >= 4 THEN edit_burst_count ELSE 0 END * 0.5, 4) AS conflict_score, true AS flag
+    round(b.mutual_reverts * CAST(2 AS DOUBLE) + CASE WHEN edit_burst_count >= 4 THEN edit_burst_count ELSE 0 END / CAST(2 AS DOUBLE), 4) AS conflict_score, true AS flag
   FROM totals t JOIN best b USING (wiki, page_title, window_start, window_end)),
 users AS (
   SELECT wiki, "user", is_bot, window_start, window_end, count(*) AS edit_count, count(*) FILTER (WHERE is_revert) AS revert_count, count(DISTINCT page_title) AS pages_touched

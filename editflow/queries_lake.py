@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from .operators import normalize, upsert, windows
 from .plans import reports
@@ -157,7 +158,7 @@ def _q(spark, d):
     return _first_wins(rows.where("edit_count % 2 = 0").drop("edit_count"), rows.drop("edit_count").withColumn("anomaly_type", F.lit("again")), WINDOW_KEY)
 
 
-@query("insert_edit_war_signals", f"SELECT wiki, page_title, {_W}, CASE WHEN total_reverts % 2 = 0 THEN conflict_score ELSE 0.0 END AS conflict_score FROM wars")
+@query("insert_edit_war_signals", f"SELECT wiki, page_title, {_W}, CASE WHEN total_reverts % 2 = 0 THEN conflict_score ELSE CAST(0 AS DOUBLE) END AS conflict_score FROM wars")
 def _q(spark, d):
     rows = _wars(spark, d).select(*WINDOW_KEY, "conflict_score", "total_reverts")
     return _first_wins(rows.where("total_reverts % 2 = 0").drop("total_reverts"), rows.drop("total_reverts").withColumn("conflict_score", F.lit(0.0)), WINDOW_KEY)
@@ -170,7 +171,7 @@ def _q(spark, d):
     return upsert.merge_update(rows, rows.where("edit_count > 1").withColumn("edit_count", F.col("edit_count") + 10), keys)
 
 
-@query("upsert_revision_scores", "SELECT wiki, revision_id, 'risk' AS model_name, CASE WHEN revision_id % 2 = 0 THEN 0.75 ELSE 0.25 END AS score, us + CASE WHEN revision_id % 2 = 0 THEN 1000000 ELSE 0 END AS fetched_at FROM edits")
+@query("upsert_revision_scores", "SELECT wiki, revision_id, 'risk' AS model_name, CAST(CASE WHEN revision_id % 2 = 0 THEN 0.75 ELSE 0.25 END AS DOUBLE) AS score, us + CASE WHEN revision_id % 2 = 0 THEN 1000000 ELSE 0 END AS fetched_at FROM edits")
 def _q(spark, d):
     rows = _edits(spark, d).select("wiki", "revision_id", F.lit("risk").alias("model_name"), F.lit(0.25).alias("score"), F.col("event_time").alias("fetched_at"))
     new = rows.where("revision_id % 2 = 0").withColumns({"score": F.lit(0.75), "fetched_at": F.col("fetched_at") + F.expr("INTERVAL 1 SECOND")})
@@ -192,28 +193,37 @@ _CLOSED = "(SELECT max(event_time) FROM edits) - INTERVAL 2 HOUR"
 _STREAM_COLS = ["event_id", "event_time", "wiki", "page_title", "page_id", "user", "is_bot", "is_revert", "revision_id", "revert_target_revision_id", "byte_length_delta", "provenance_id"]
 
 
-def _stream(spark, d):
-    """The edits as a stream of one file."""
+def _parts(spark, d):
+    """(folder, schema, earlier and later half of the edits): the second half arrives after the first has been processed."""
     rows = _edits(spark, d).select(*_STREAM_COLS)
-    path = new_folder(spark, "stream-in")
-    rows.coalesce(1).write.parquet(path)
-    return streams.table_reader(path, rows.schema)(spark)
+    middle = rows.agg(F.percentile_approx("event_time", 0.5)).first()[0]
+    return new_folder(spark, "stream-in"), rows.schema, [rows.where(F.col("event_time") <= F.lit(middle)), rows.where(F.col("event_time") > F.lit(middle))]
 
 
-def _ended(spark, stream, name, write=None):
-    out = new_folder(spark, name)
-    schema = stream.schema
-    streams.run_to_end(stream, new_folder(spark, "checkpoint"), write(out) if write else None, out)
-    return streams.table_or_empty(spark, out, schema) if write is None else spark.read.parquet(out)
+def _ended(spark, parts, name, operate=lambda stream: stream, write=None):
+    """What the operator has written once all parts have come, each one to a query that goes on from the checkpoint of the one before."""
+    path, schema, batches = parts
+    out, checkpoint = new_folder(spark, name), new_folder(spark, "checkpoint")
+    for batch in batches:
+        batch.write.mode("append").parquet(path)
+        stream = operate(streams.table_reader(path, schema)(spark))
+        streams.run_to_end(stream, checkpoint, write(out) if write else None, out)
+    try:
+        return spark.read.parquet(out) if write else streams.table_or_empty(spark, out, stream.schema)
+    except AnalysisException:  # a sink that was given no rows wrote none
+        return spark.createDataFrame([], stream.schema)
+
+
+def _windows_sink(out):
+    return streams.keyed_append(out, WINDOW_KEY, "window_start")
 
 
 @query("src_event_stream", 'SELECT event_id, "partition", "offset" FROM edits')
 def _q(spark, d):
     rows = _edits(spark, d)
     path = new_folder(spark, "topic")
-    rows.select(F.to_json(F.struct("event_id", "page_title")).alias("value"), F.col("partition").cast("int").alias("partition"), "offset").write.parquet(path)
-    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
-    got = _ended(spark, streams.table_reader(path, schema)(spark), "topic-out")
+    rows = rows.select(F.to_json(F.struct("event_id", "page_title")).alias("value"), F.col("partition").cast("int").alias("partition"), "offset")
+    got = _ended(spark, (path, rows.schema, [rows.where("partition = 0"), rows.where("partition <> 0")]), "topic-out")
     return got.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "partition", "offset")
 
 
@@ -222,23 +232,25 @@ def _q(spark, d):
     path = new_folder(spark, "lines")
     fixtures.raw_payloads(spark, d).select("value").write.text(path)
     routed = normalize.route(streams.line_reader(path)(spark)).select("route", "stage", "reason")
-    return _ended(spark, routed, "lines-out").groupBy("route").agg(F.count(F.lit(1)).alias("messages"))
+    out = new_folder(spark, "lines-out")
+    streams.run_to_end(routed, new_folder(spark, "checkpoint"), path=out)
+    return streams.table_or_empty(spark, out, routed.schema).groupBy("route").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query("stream_activity_windows", f"SELECT {_WIN} FROM win WHERE win.window_end <= {_CLOSED}")
 def _q(spark, d):
-    return _ended(spark, streams.closed_windows(_stream(spark, d), SLIDE, DELAY), "windows")
+    return _ended(spark, _parts(spark, d), "windows", lambda s: streams.closed_windows(s, SLIDE, DELAY))
 
 
 @query("stream_edit_wars", f"SELECT {_WAR} FROM wars WHERE wars.window_end <= {_CLOSED}")
 def _q(spark, d):
-    return _ended(spark, streams.window_records(_stream(spark, d), SLIDE, DELAY), "wars", streams.conflict_sink)
+    return _ended(spark, _parts(spark, d), "wars", lambda s: streams.window_records(s, SLIDE, DELAY), streams.conflict_sink)
 
 
 @query("stream_anomalies", f"SELECT wiki, page_title, {_W}, edit_count, anomaly_type, anomaly_score, threshold_used FROM anom WHERE anom.window_end <= {_CLOSED}")
 def _q(spark, d):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    got = _ended(spark, streams.stream_anomalies(_stream(spark, d), SLIDE, DELAY, DETECTOR), "anomalies")
+    got = _ended(spark, _parts(spark, d), "anomalies", lambda s: streams.stream_anomalies(s, SLIDE, DELAY, DETECTOR))
     return got.withColumn("anomaly_score", F.round("anomaly_score", 4))
 
 
@@ -246,26 +258,32 @@ def _q(spark, d):
 def _q(spark, d):
     rows = _edits(spark, d).select("event_id", "event_time")
     path = new_folder(spark, "replayed")
-    rows.unionByName(rows).coalesce(1).write.parquet(path)
-    return _ended(spark, streams.dedupe(streams.table_reader(path, rows.schema)(spark), DELAY), "deduped", lambda out: streams.keyed_append(out, EDIT_KEY))
+    # every edit twice, and the newest again in a batch of their own; the plain sink keeps what it is given
+    newest = rows.agg(F.max("event_time")).first()[0]
+    again = rows.where(F.col("event_time") >= F.lit(newest) - F.expr("INTERVAL 30 MINUTES"))
+    return _ended(spark, (path, rows.schema, [rows.unionByName(rows), again]), "deduped", lambda s: streams.dedupe(s, DELAY))
 
 
 @query("sink_raw_events", "SELECT event_id, us AS event_time, wiki FROM edits")
 def _q(spark, d):
-    return _ended(spark, _stream(spark, d), "raw", lambda out: streams.keyed_append(out, EDIT_KEY)).select("event_id", "event_time", "wiki")
+    path, schema, parts = _parts(spark, d)
+    # the second part is sent twice
+    return _ended(spark, (path, schema, [*parts, parts[1]]), "raw", write=lambda out: streams.keyed_append(out, EDIT_KEY, "event_time")).select("event_id", "event_time", "wiki")
 
 
-@query("sink_windowed", f"SELECT 'page_activity_windows' AS target, count(*) AS n FROM win WHERE window_end <= {_CLOSED} UNION ALL SELECT 'edit_war_signals', count(*) FROM wars WHERE window_end <= {_CLOSED}")
+@query("sink_windowed", f"SELECT 'page_activity_windows' AS target, count(*) AS n FROM win WHERE window_end <= {_CLOSED} UNION ALL SELECT 'edit_war_signals', count(*) FROM wars WHERE window_end <= {_CLOSED} UNION ALL SELECT 'anomaly_events', count(*) FROM anom WHERE window_end <= {_CLOSED}")
 def _q(spark, d):
-    activity = _ended(spark, streams.closed_windows(_stream(spark, d), SLIDE, DELAY), "windows", lambda out: streams.keyed_append(out, WINDOW_KEY))
-    wars = _ended(spark, streams.window_records(_stream(spark, d), SLIDE, DELAY), "wars", streams.conflict_sink)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    activity = _ended(spark, _parts(spark, d), "windows", lambda s: streams.closed_windows(s, SLIDE, DELAY), _windows_sink)
+    wars = _ended(spark, _parts(spark, d), "wars", lambda s: streams.window_records(s, SLIDE, DELAY), streams.conflict_sink)
+    found = _ended(spark, _parts(spark, d), "anomalies", lambda s: streams.stream_anomalies(s, SLIDE, DELAY, DETECTOR), _windows_sink)
     count = lambda df, name: df.agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("n"))
-    return count(activity, "page_activity_windows").unionByName(count(wars, "edit_war_signals"))
+    return count(activity, "page_activity_windows").unionByName(count(wars, "edit_war_signals")).unionByName(count(found, "anomaly_events"))
 
 
 @query("stream_metrics", 'SELECT CAST(count(*) AS BIGINT) AS rows, count(*) FILTER (WHERE "user" IS NULL) AS rejected, max(us) AS last_event_time FROM edits')
 def _q(spark, d):
-    got = _ended(spark, _stream(spark, d), "metrics", lambda out: streams.batch_metrics(out, ("event_id", "user")))
+    got = _ended(spark, _parts(spark, d), "metrics", write=lambda out: streams.batch_metrics(out, ("event_id", "user")))
     return got.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.max("last_event_time").alias("last_event_time"))
 
 

@@ -87,28 +87,60 @@ def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
-def keyed_append(path: str, keys: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that appends the rows whose keys the table lacks."""
+def keyed_append(path: str, keys: tuple[str, ...], time: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends the rows whose keys the table lacks.
+
+    With ``time``, a column of the key, only the part of the table in the
+    batch's range of times is read: statistics of its files exclude the rest.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         have = table_or_empty(batch.sparkSession, path, batch.schema)
-        insert_absent(have, batch, keys).write.mode("append").parquet(path)
+        if time is None:
+            insert_absent(have, batch, keys).write.mode("append").parquet(path)
+            return
+        batch = batch.persist()
+        span = batch.agg(F.min(time), F.max(time)).first()
+        if span[0] is not None:
+            insert_absent(have.where(F.col(time).between(*span)), batch, keys).write.mode("append").parquet(path)
+        batch.unpersist()
 
     return write
 
 
 def conflict_sink(path: str, rule: ConflictRule = ConflictRule()) -> Callable[[DataFrame, int], None]:
-    append = keyed_append(path, WINDOW_KEY)
+    append = keyed_append(path, WINDOW_KEY, "window_start")
     return lambda batch, batch_id: append(conflicts_of(batch, rule), batch_id)
 
 
+def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, **trigger: Any):
+    """The running query, in append mode, through foreachBatch or into Parquet files.
+
+    ``trigger`` is one of Spark's, such as processingTime="30 seconds" for a
+    service (the default) or availableNow=True; offsets and state are in checkpoint,
+    from which a query that is started again goes on.
+    """
+    out = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger or {"processingTime": "30 seconds"})
+    return (out.foreachBatch(write) if write else out.format("parquet").option("path", path)).start()
+
+
 def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None):
-    """Process what is there, in append mode, through foreachBatch or into Parquet files.  A service passes a processing-time trigger instead."""
-    out = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    query = (out.foreachBatch(write) if write else out.format("parquet").option("path", path)).start()
+    """Process what is there and end."""
+    query = start(stream, checkpoint, write, path, availableNow=True)
     query.awaitTermination()
     return query
 
 
+def progress_report(query) -> dict[str, float]:
+    """Of a query's batches so far: rows read and rows per second of the time they took; of its last one, the delay behind the newest event its watermark leaves, in seconds."""
+    batches = [p for p in query.recentProgress]
+    rows = sum(p["numInputRows"] for p in batches)
+    seconds = sum(p["durationMs"].get("triggerExecution", 0) for p in batches) / 1000
+    times = batches[-1].get("eventTime", {}) if batches else {}
+    stamp = lambda name: pd.Timestamp(times[name]).timestamp() if name in times else None
+    behind = stamp("max") - stamp("watermark") if stamp("max") is not None and stamp("watermark") is not None else None
+    return {"rows": rows, "batches": len(batches), "rows_per_second": rows / seconds if seconds else 0.0, "behind_seconds": behind}
+
+
 ANOMALY_SCHEMA = T.StructType([
     T.StructField("wiki", T.StringType()), T.StructField("page_title", T.StringType()), T.StructField("window_start", T.TimestampType()),
     T.StructField("window_end", T.TimestampType()), T.StructField("edit_count", T.LongType()), T.StructField("anomaly_type", T.StringType()),

@@ -9,8 +9,7 @@ import __spark_entry__ as entry
 
 D = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"lake_write_hierarchical", "lake_scan_columns", "lake_scan_partitioned", "lake_daily_counts", "lake_write_stats", "drain_closed_hours", "archived_days", "drain_before_drop", "sink_windowed"}
-NAMES = sorted(k for k in entry.library.SQL if k not in SLOW)
+NAMES = sorted(entry.library.SQL)
 
 
 def cell(x):
