@@ -434,8 +434,7 @@ def test_likelihood_sums_to_one_and_matches_the_plain_recursion():
     k, kinds = 3, 5
     share = rng.dirichlet(np.ones(kinds))
     emit = rng.dirichlet(np.ones(kinds), k).T
-    ratio = np.ones((hmm_lm.END_CLASS + 1, k))
-    ratio[:kinds] = emit / share[:, None]
+    ratio = emit / share[:, None]
     model = hmm_lm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), ratio)
     lengths = np.array([1, 2, 64, 65, 128, 300, 7])
     classes = rng.integers(0, kinds, lengths.sum())
@@ -455,19 +454,50 @@ def test_likelihood_sums_to_one_and_matches_the_plain_recursion():
     assert (10**both * share[pairs[:, 0]] * share[pairs[:, 1]]).sum() == pytest.approx(1)
 
 
+def test_expected_counts_match_the_plain_recursion(monkeypatch):
+    monkeypatch.setattr(hmm_lm, "WHOLE", 20)
+    monkeypatch.setattr(hmm_lm, "SEGMENT", 8)
+    rng = np.random.default_rng(6)
+    k, kinds = 3, 6
+    model = hmm_lm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.gamma(2, 1, (kinds, k)))
+    lengths = np.array([1, 5, 20, 21, 40, 33, 8, 100])
+    classes = rng.integers(0, kinds, lengths.sum())
+    emissions, moves, starts = np.zeros((kinds, k)), np.zeros((k, k)), np.zeros(k)
+    at = 0
+    for n in lengths:
+        r = model.ratio[classes[at : at + n]]
+        alpha, beta = np.zeros((n, k)), np.ones((n, k))
+        for t in range(n):
+            alpha[t] = (model.start if t == 0 else alpha[t - 1] @ model.move) * r[t]
+            alpha[t] /= alpha[t].sum()
+        for t in range(n - 2, -1, -1):
+            beta[t] = model.move @ (r[t + 1] * beta[t + 1])
+            beta[t] /= beta[t].sum()
+        gamma = alpha * beta
+        gamma /= gamma.sum(1, keepdims=True)
+        np.add.at(emissions, classes[at : at + n], gamma)
+        starts += gamma[0]
+        for t in range(n - 1):
+            xi = alpha[t][:, None] * model.move * (r[t + 1] * beta[t + 1])
+            moves += xi / xi.sum()
+        at += n
+    for mine, plain in zip(hmm_lm.expected_counts(model, classes, lengths), (emissions, moves, starts)):
+        assert mine == pytest.approx(plain, abs=1e-9)
+
+
 def test_expected_counts_raise_the_likelihood():
     rng = np.random.default_rng(2)
     segments = [rng.integers(0, 5, 40) + 10 * (i % 2) for i in range(60)]
     length = np.array([40] * 60)
-    flat, first = np.concatenate(segments), np.cumsum(length) - length
-    share = np.bincount(flat, minlength=hmm_lm.END_CLASS + 1) / len(flat)
-    model = hmm_lm.start_model(segments, 2, steps=1)
+    flat = np.concatenate(segments)
+    share = np.bincount(flat, minlength=15) / len(flat)
+    model = hmm_lm.start_model(segments, 2, 15, steps=1)
     before = -np.inf
     for _ in range(8):
         now = hmm_lm.log10_likelihood_ratio(model, flat, np.ones(len(flat), bool), length).sum()
         assert now >= before - 1e-6
         before = now
-        model = hmm_lm.maximise(*hmm_lm.expected_counts(model, flat, first, length, np.ones(60, bool)), share, 0.0)
+        model = hmm_lm.maximise(*hmm_lm.expected_counts(model, flat, length), share, 0.0)
 
 
 def test_language_model(spark, none):
