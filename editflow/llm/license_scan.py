@@ -4,8 +4,9 @@ All rolling word k-grams of a text are joined to the places of the same k-grams
 in license texts.  A hit votes for its diagonal, the place in the text less the
 place in the template: an untouched copy puts all its votes on one diagonal,
 an inserted or missing word moves the rest to a neighbouring one.  Diagonals
-close to each other are merged to spans, and a span counts if it has enough of
-the template's k-grams.  Votes are kept in chunks of 63 places of the template,
+close to each other are merged to spans, and a span is verified by alignment:
+of its runs of votes, those that stand in the same order in text and template
+must have enough of the template's k-grams.  Votes are kept in chunks of 63 places of the template,
 so a template may be a whole license.
 """
 
@@ -176,16 +177,15 @@ def _spans(found: DataFrame, templates: list[Template], max_shift: int, max_gap:
     gap = F.col("first") - F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     part = part.withColumn("__cut", F.when(~F.col("base") & (gap > max_gap * F.col("chunks")), 1).otherwise(0))
     part = part.withColumn("__span", F.sum("__cut").over(by_place))
-    span = ["id", "key", "template", "__group", "__span"]
-    # the bits of each chunk, then their sum
-    chunks = part.groupBy(*span, "chunk").agg(
-        F.first("label").alias("label"), F.first("base").alias("base"), F.first("t_k").alias("t_k"), F.first("grams").alias("grams"), F.min("first").alias("first"), F.max("last").alias("last"),
-        F.bit_count(F.bit_or("voted")).alias("voted"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
-    )
-    spans = chunks.groupBy(*span).agg(
+    # the aligned votes of a span: the chain of runs, forwards in the text and in the template, with most of them
+    run = F.struct("first", "last", (F.col("first") - F.col("diagonal")).alias("t_first"), (F.col("last") - F.col("diagonal")).alias("t_last"), F.bit_count("voted").cast("long").alias("votes"))
+    before = "coalesce(array_max(transform(filter(a, x -> x.last < r.first AND x.t_last < r.t_first), x -> x.best)), 0L)"
+    chain = f"array_max(transform(aggregate(sort_array(runs), cast(array() as array<struct<last:int,t_last:int,best:bigint>>), (a, r) -> array_append(a, named_struct('last', r.last, 't_last', r.t_last, 'best', r.votes + {before}))), x -> x.best))"
+    spans = part.groupBy("id", "key", "template", "__group", "__span").agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.min("first").alias("start"), (F.max("last") + F.first("t_k")).alias("end"),
-        (F.sum("voted") / F.first("grams")).alias("coverage"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
+        F.collect_list(run).alias("runs"), F.first("grams").alias("grams"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
     )
+    spans = spans.withColumn("coverage", F.expr(chain) / F.col("grams")).drop("runs", "grams")
     return spans.withColumn("verified", F.when(F.col("base"), F.col("coverage") == 1.0).otherwise(F.col("coverage") >= cover))
 
 

@@ -1,7 +1,7 @@
 """A quality classifier from positive and unlabelled texts.
 
-The learner sees trusted positives, unlabelled web text, and a class prior that
-is estimated from the labelled rows; it minimises the non-negative unbiased
+The learner sees trusted positives and unlabelled web text, and estimates the
+class prior from these two; labelled negatives are not used.  It minimises the non-negative unbiased
 risk of a logistic model over binned text statistics (Kiryo et al., 2017).  Its
 input is a bounded sample; the model is a few hundred weights, and scoring is
 one Spark expression over statistics of each whole text.
@@ -20,7 +20,7 @@ from .statistics import shares, text_statistics
 #: Bounds of the sample that the classifier is fitted on: trusted positives and unlabelled texts.
 MAX_POSITIVES = 20_000
 MAX_UNLABELLED = 20_000
-#: And of the labelled rows that the class prior is estimated from.
+#: And of the labelled rows whose share of positives stands in where nothing can be fitted.
 MAX_AUDITED = 100_000
 
 
@@ -80,14 +80,48 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
     return w, float(b)
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among the unlabelled, from both alone, by the best bin of a classifier's scores (Garg et al., 2021).
+
+    A classifier of positives against unlabelled is fitted on half of each.  On
+    the other half, positives among the unlabelled that score above a threshold
+    are at most all of them there, and as many as their share of all positives;
+    the ratio of both shares, with what chance may add, is smallest where hardly
+    a negative is left.
+    """
+    fit = lambda x: x[::2]
+    p, u = fit(positive), fit(unlabelled)
+    w, b = fit_logistic(np.concatenate([p, u]), np.repeat([1.0, 0.0], [len(p), len(u)]), np.repeat([0.5 / len(p), 0.5 / len(u)], [len(p), len(u)]))
+    p, u = np.sort(positive[1::2] @ w + b), np.sort(unlabelled[1::2] @ w + b)
+    if not len(p) or not len(u):
+        return 0.5
+    above = lambda x: 1 - np.searchsorted(x, p, "left") / len(x)
+    chance = np.sqrt(np.log(40) / 2 / len(u)) + np.sqrt(np.log(40) / 2 / len(p))
+    in_p, in_u = above(p), above(u)
+    best = int(np.argmin((in_u + chance) / in_p))
+    return float(in_u[best] / in_p[best])
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias of a weighted logistic regression."""
+    w, m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+    for t in range(1, steps + 1):
+        g = (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))) - y) * weight
+        grad = np.append(x.T @ g + decay * w[:-1], g.sum())
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return w[:-1], float(w[-1])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bins: int = 8) -> QualityModel:
     """Fit on labels with label_col = 1 as trusted positives and on texts of docs that labels doesn't name.
 
     The samples are the rows with the smallest hashes of their ids, at most
-    MAX_POSITIVES and MAX_UNLABELLED; the prior is the share of positives among
-    at most MAX_AUDITED labelled rows.  Without positives or unlabelled texts
-    every score is the prior.  Labels that are null count as absent; an id
-    labelled twice counts once for each label.
+    MAX_POSITIVES and MAX_UNLABELLED; estimate_prior takes the class prior from
+    them.  Without positives or unlabelled texts every score is the share of
+    positives among at most MAX_AUDITED labelled rows, 0.5 without any.  Labels
+    that are null count as absent; an id labelled twice counts once for each
+    label.  Rows that share an id are texts of their own with one label.
     """
     order = F.xxhash64(F.col(id_col).cast("string"))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, label_col)
@@ -108,7 +142,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         return QualityModel(prior, float(np.log(prior / (1 - prior))))
     both = np.concatenate([p, u])
     edges = [_bins(both[:, j], bins) for j in range(both.shape[1])]
-    w, b = fit_nnpu(_one_hot(p, edges), _one_hot(u, edges), prior)
+    p, u = _one_hot(p, edges), _one_hot(u, edges)
+    prior = min(max(estimate_prior(p, u), 0.05), 0.95)
+    w, b = fit_nnpu(p, u, prior)
     model, at = QualityModel(prior, b), 0
     for name, e in zip(features, edges):
         model.edges[name], model.weights[name] = e, [float(x) for x in w[at : at + len(e) + 1]]

@@ -41,9 +41,10 @@ KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _SYMBOLS = 28  # other, a-z, digit
 
+#: What the forest sees.
 FEATURES = (
-    "length", "digit_share", "upper_share", "hex_only", "digits_only", "letters_only", "distinct_share", "kind_switches", "case_switches",
-    "symbol_share", "transition", "dictionary", "path_depth", "path_sample", "named", "named_far", "assigned", "quoted", "word_before", "word_after",
+    "length", "digit_share", "upper_share", "hex_only", "distinct_share", "kind_switches", "case_switches", "symbol_share",
+    "transition", "dictionary", "path_depth", "path_sample", "named_far", "quoted", "word_before", "word_after",
 )
 
 
@@ -154,11 +155,14 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 def seed_labels(described: DataFrame) -> Column:
     """1 for findings in a known format or assigned to a secret's name, 0 for words and plain numbers, null for the rest.
 
-    A short number that is assigned is more often a count than a secret.
+    A short number that is assigned is more often a count than a secret.  What
+    these labels are made of, the name and the sign beside a finding and whether
+    it is all letters or all digits, is not among FEATURES, so that the forest
+    must tell secrets by their make-up, transitions, dictionary and place.
     """
     short_number = (F.col("length") < 16) & ~F.col("secret").rlike("[A-Za-z]")
     clear = F.col("secret").rlike(KNOWN_FORMATS) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0) & (F.col("path_sample") == 0) & ~short_number)
-    harmless = (F.col("letters_only") == 1) | (F.col("digits_only") == 1) | (F.col("dictionary") > 0.5)
+    harmless = (F.col("letters_only") == 1) | (F.col("digits_only") == 1)
     return F.when(clear, 1.0).when(harmless, 0.0)
 
 
@@ -201,7 +205,9 @@ def scan_secrets(docs: DataFrame, model: SecretModel | None = None, id_col: str
 
     start counts characters from 0.  Without a model one is trained on the seed
     labels of these findings.  Null and empty texts have no findings; repeated
-    rows give theirs each; the same string is judged at each of its places.
+    rows give theirs each, rows without an id too; the same string is judged at
+    each of its places.  Very long texts are searched whole; extra columns are
+    not read.
     """
     found = settle(find_candidates(docs, id_col, text_col, path_col), "candidates")
     words = settle(dictionary(docs, text_col), "dictionary")

@@ -326,6 +326,25 @@ def test_decision_lists_learn_and_stop():
     assert decision_list.learn_decision_list(x, rng.random(3000) < 0.05, np.arange(3000)) == []
 
 
+def test_nnpu_against_the_plain_risk_and_its_prior():
+    rng = np.random.default_rng(8)
+    for truth in (0.3, 0.6, 0.85):
+        good = (rng.random(4000) < truth)[:, None]
+        x = lambda g: (rng.random((len(g), 6)) < np.where(g, 0.75, 0.2)).astype(np.float32)
+        positive, unlabelled = x(np.ones((3000, 1), bool)), x(good)
+        prior = quality_pu.estimate_prior(positive, unlabelled)
+        assert prior == pytest.approx(truth, abs=0.08)
+        w, b = quality_pu.fit_nnpu(positive, unlabelled, prior)
+
+        def risk(w, b):
+            zp, zu = positive @ w + b, unlabelled @ w + b
+            return prior * np.logaddexp(0, -zp).mean() + max(0.0, np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+
+        # no small step in any direction lowers the risk by more than its weight decay explains
+        assert all(risk(w + d, b) > risk(w, b) - 0.01 for d in rng.normal(0, 0.3, (50, 6)))
+        assert (((unlabelled @ w + b) > 0) == good[:, 0]).mean() > 0.85
+
+
 def test_quality_scores_on_held_out_labels(spark, docs, none):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -368,6 +387,14 @@ def test_license_spans_join_neighbouring_diagonals(spark):
     assert [(r.doc_id, r.label, r.start, r.end) for r in spans] == [(1, "mit", 2, 2 + len(torn))]
 
 
+def test_license_words_in_another_order_are_no_license(spark):
+    template = license_scan.Template(tuple("licensed under the apache license version 2 0".split()), "apache", False)
+    texts = ["version 2 0 licensed under the apache license", "x licensed under the apache license version 2 0", "licensed under the very apache license version 2 0", "version 2 0 of it is licensed under what the apache license says"]
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[1]), (None, texts[0]), (7, texts[1]), (7, texts[1])], "doc_id long, text string")
+    found = license_scan.license_report(df.selectExpr("*", "1 AS template", "'k' AS key", "2 AS n_words"), [template]).collect()
+    assert sorted((str(r.doc_id), r.labels, r.n_words) for r in found) == sorted([("0", "", 8), ("1", "apache", 9), ("2", "apache", 9), ("3", "", 13), ("None", "apache", 9), ("None", "", 8), ("7", "apache", 9), ("7", "apache", 9)])
+
+
 def test_secrets(spark, docs, none):
     rng = random.Random(5)
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
@@ -385,6 +412,31 @@ def test_secrets(spark, docs, none):
     assert secret_scan.scan_secrets(none).count() == 0 and secret_scan.scan_secrets(docs).count() == 0
 
 
+def test_precision_and_recall_on_planted_findings(spark):
+    """Findings that no seed label names: bare keys in prose, and identifiers, paths and numbers with words in them."""
+    rng = random.Random(12)
+    vocabulary = ["release", "window", "harbour", "signal", "engine", "report", "garden", "letter", "number", "little", "planet", "winter"]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    key = lambda: "".join(rng.choice("0123456789abcdefABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz") for _ in range(rng.randrange(28, 44))) + "7x"
+    words = lambda: rng.choice(["-", "_", "/"]).join(rng.choice(vocabulary) for _ in range(4)) + rng.choice(["", "-2", "_31", "/v4"])
+    rows, planted = [], {}
+    for i in range(300):
+        kind = i % 4
+        if kind == 0:
+            text = f'{prose(6)}\napi_key = "{key()}"\n{prose(5)}'
+        elif kind == 1:
+            text = f"{prose(8)} {''.join(rng.choice(vocabulary) for _ in range(3))} {prose(5)}"
+        else:
+            item = key() if kind == 2 else words()
+            planted[i, item] = kind == 2
+            text = f"{prose(7)} {item} {prose(6)}"
+        rows.append((i, text, f"src/{i % 7}/file{i}.py"))
+    found = {(r.doc_id, r.secret): r.is_secret for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    judged = [(found.get(k, False), truth) for k, truth in planted.items()]
+    hits = sum(a and b for a, b in judged)
+    assert hits / sum(b for _, b in judged) > 0.9 and hits / max(sum(a for a, _ in judged), 1) > 0.9
+
+
 def test_dictionary_leaves_out_keys_and_copies(spark):
     key = "Qwzxkj/vbNhtgPlmrk+Zxqw"
     rows = [(i, f"plain words stand here {key} and there") for i in range(20)] + [(100 + i, f"plain words {i}") for i in range(3)] + [(200 + i, "copied rarity") for i in range(20)]
