@@ -246,9 +246,12 @@ def _q(spark, d):
     return _windows(spark, d).where(F.col("last_revision_id").isNotNull()).select(*WINDOW_KEY, F.col("last_revision_id").alias("revision_id"))
 
 
-@query("duplicate_windows", "SELECT CAST(0 AS BIGINT) AS duplicates FROM (SELECT count(*) FROM win)")
+@query("duplicate_windows", "SELECT CAST(count(*) FILTER (WHERE edit_count % 3 = 0) AS BIGINT) AS duplicates FROM win")
 def _q(spark, d):
-    return audit.duplicate_windows(_windows(spark, d))
+    """Every window whose count three divides is there twice."""
+    rows = _windows(spark, d)
+    rows = rows.unionByName(rows.where("edit_count % 3 = 0"))
+    return audit.duplicate_windows(rows)
 
 
 @query("keep_newest_duplicates", f"SELECT wiki, page_title, {_W}, edit_count + 1 AS edit_count FROM win")
@@ -358,13 +361,12 @@ def _q(spark, d):
     return rows.select("event_id", "event_time", "ingestion_time", "processing_time", "provenance_id", "is_bot", "is_minor", "is_revert", F.col("comment_length").cast("long").alias("comment_length"), "user_type")
 
 
-@query("sink_dead_letter", "SELECT event_id, stage, reason, '1704067200' AS failed_at FROM routed WHERE route = 'rejected'")
+@query("sink_dead_letter", "SELECT CASE event_id % 40 WHEN 0 THEN '{truncated json' WHEN 6 THEN '[1]' END AS payload, CASE WHEN event_id % 40 NOT IN (0, 6) THEN revision_id END AS revision_id, stage, reason, '1704067200' AS failed_at FROM routed WHERE route = 'rejected'")
 def _q(spark, d):
-    routed = _routed(spark, d)
-    letters = routed.where("route = 'rejected'").select("event_id", "value", "stage", "reason", "route")
-    out = normalize.dead_letters(letters.withColumn("value", F.col("event_id").cast("string")), F.lit(1704067200))
+    out = normalize.dead_letters(_routed(spark, d), F.lit(1704067200))
     text = lambda i: F.decode(F.col("headers")[i]["value"], "UTF-8")
-    return out.select(F.col("value").cast("long").alias("event_id"), text(1).alias("stage"), text(0).alias("reason"), text(2).alias("failed_at"))
+    revision = F.get_json_object("value", "$.revision.new").cast("long")
+    return out.select(F.when(revision.isNull(), F.col("value")).alias("payload"), revision.alias("revision_id"), text(1).alias("stage"), text(0).alias("reason"), text(2).alias("failed_at"))
 
 
 # ---- audit

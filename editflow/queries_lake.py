@@ -54,10 +54,18 @@ def _q(spark, d):
     return lake.daily_counts(lake.read_lake(spark, _lake(spark, d)), date(2024, 1, 5), date(2024, 1, 15))
 
 
-@query("lake_write_stats", "SELECT count(*) AS rows, true AS has_files, true AS has_bytes FROM edits")
+@query("lake_write_stats", "SELECT count(*) AS rows, count(*) AS footer_rows, true AS same_files, true AS sizes_agree, true AS ratio_agrees, CAST(sum(length(CAST(event_id AS VARCHAR)) + length(wiki) + 24) AS BIGINT) AS json_bytes FROM edits")
 def _q(spark, d):
-    stats = lake.write_stats(spark.read.option("basePath", p := _lake(spark, d)).parquet(p))
-    return stats.select("rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    path = _lake(spark, d)
+    stats, columns = lake.write_stats(lake.read_lake(spark, path)), lake.column_stats(spark, path)
+    columns = columns.withColumnsRenamed({"files": "footer_files", "rows": "footer_rows"})
+    saved = F.abs(F.col("saved_percent") - 100 * (1 - 1 / F.col("ratio"))) < 0.1
+    parts = stats.unionByName(columns, allowMissingColumns=True).unionByName(lake.json_reduction(lake.read_lake(spark, path, ["event_id", "wiki"])), allowMissingColumns=True)
+    both = parts.agg(*[F.max(c).alias(c) for c in parts.columns])  # one row of each
+    return both.select(
+        "rows", "footer_rows", "json_bytes", (F.col("files") == F.col("footer_files")).alias("same_files"), saved.alias("ratio_agrees"),
+        ((F.col("compressed_bytes") < F.col("bytes")) & (F.col("bytes") == F.col("file_bytes"))).alias("sizes_agree"),
+    )
 
 
 @query("table_scan_since", "SELECT event_id, wiki FROM recent")
@@ -84,6 +92,13 @@ def _q(spark, d):
     return lake.retention_split(rows, F.lit(reports.newest_time(rows) - timedelta(hours=72))).select("event_id", "kept")
 
 
+@query("retention_rewrite", "SELECT event_id, us AS event_time FROM edits, latest WHERE event_time >= as_of - INTERVAL 72 HOUR")
+def _q(spark, d):
+    path = _lake(spark, d)
+    lake.retain(spark, path, reports.newest_time(_edits(spark, d)) - timedelta(hours=72))
+    return lake.read_lake(spark, path, ["event_id", "event_time"])
+
+
 @query("expired_days", "SELECT DISTINCT strftime(event_time, '%Y-%m-%d') AS day FROM edits, latest WHERE date_trunc('day', event_time) + INTERVAL 1 DAY <= as_of - INTERVAL 72 HOUR")
 def _q(spark, d):
     rows = _edits(spark, d)

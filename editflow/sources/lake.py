@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Iterator, Sequence
+from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.upsert import insert_absent
+from .tables import stored
 
 HOURLY = ("wiki", "date", "hour")
 HIERARCHICAL = ("wiki", "year", "month", "day", "hour")
@@ -26,11 +29,11 @@ def write_lake(rows: DataFrame, path: str, layout: Sequence[str] = HOURLY, time_
 
     Rows are brought together by their folder and spread by a hash of time, so
     that a folder gets few files and a hot wiki more than one task.  No rows,
-    no files.
+    no files.  To overwrite replaces the folders that rows have, no others.
     """
     spread = F.pmod(F.hash(time_col), F.lit(8))
     out = _partitioned(rows, layout, time_col).repartition(*layout, spread)
-    out.write.mode(mode).partitionBy(*layout).option("compression", "snappy").parquet(path)
+    out.write.mode(mode).partitionBy(*layout).option("compression", "snappy").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str, columns: Sequence[str] = (), where: str | Column | None = None, schema: T.StructType | None = None) -> DataFrame:
@@ -72,6 +75,61 @@ def write_stats(lake: DataFrame) -> DataFrame:
     return per_file.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
 
+def column_stats(spark: SparkSession, path: str) -> DataFrame:
+    """One row of all files below path: files, rows, column bytes before and after compression, their ratio, and the share saved in percent.
+
+    Tasks read the footers; a file of the lake is as much as a task takes in at
+    once, and holds one folder's rows or a part of them.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("content")
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, raw, packed = [], [], []
+            for content in batch.column("content"):
+                meta = pq.read_metadata(pa.BufferReader(content.as_buffer()))
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+                chunks = [g.column(j) for g in groups for j in range(g.num_columns)]
+                rows.append(meta.num_rows)
+                raw.append(sum(c.total_uncompressed_size for c in chunks))
+                packed.append(sum(c.total_compressed_size for c in chunks))
+            yield pa.RecordBatch.from_pydict({"rows": pa.array(rows, pa.int64()), "raw": pa.array(raw, pa.int64()), "packed": pa.array(packed, pa.int64())})
+
+    each = files.mapInArrow(footers, "rows long, raw long, packed long")
+    total = each.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.sum("raw").alias("column_bytes"), F.sum("packed").alias("compressed_bytes"))
+    share = F.col("compressed_bytes") / F.nullif(F.col("column_bytes"), F.lit(0))
+    return total.withColumns({"ratio": F.round(1 / share, 3), "saved_percent": F.round(100 * (1 - share), 2)})
+
+
+def json_reduction(lake: DataFrame) -> DataFrame:
+    """One row: bytes of the rows as JSON lines, of the files that hold them, and by how many percent these are fewer."""
+    line = F.octet_length(F.to_json(F.struct(*lake.columns))) + 1
+    per_file = lake.groupBy("_metadata.file_path").agg(F.sum(line).alias("json"), F.first("_metadata.file_size").alias("bytes"))
+    total = per_file.agg(F.sum("json").alias("json_bytes"), F.sum("bytes").alias("file_bytes"))
+    return total.withColumn("reduction_percent", F.round(100 * (1 - F.col("file_bytes") / F.nullif(F.col("json_bytes"), F.lit(0))), 2))
+
+
+def retain(spark: SparkSession, path: str, cutoff: datetime, layout: Sequence[str] = HOURLY, time_col: str = "event_time") -> None:
+    """Remove what is before the cutoff, exact to the microsecond, from a lake folder.
+
+    Folders wholly before it are deleted; only those that it divides are
+    written anew, from a copy of the rows they keep.  Run again it finds
+    nothing to do; one cut off midway goes on where it stopped.
+    """
+    rows = read_lake(spark, path).withColumn("__folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
+    spans = rows.groupBy("__folder").agg(F.min(time_col).alias("first"), F.max(time_col).alias("last")).where(F.col("first") < F.lit(cutoff))
+    found = spans.withColumn("gone", F.col("last") < F.lit(cutoff)).select("__folder", "gone").collect()  # one row a folder
+    divided = [r["__folder"] for r in found if not r["gone"]]
+    if divided:
+        kept = stored(rows.where(F.col("__folder").isin(divided) & (F.col(time_col) >= F.lit(cutoff))).drop("__folder"), "kept")
+        write_lake(kept, path, layout, time_col, mode="overwrite")
+    for r in found:
+        if r["gone"]:
+            jvm = spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["__folder"]))  # file_path is encoded as a URI
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def retention_split(rows: DataFrame, cutoff: Column, time_col: str = "event_time") -> DataFrame:
     """The rows with `kept`: false for those before the cutoff, exact to the microsecond."""
     return rows.withColumn("kept", F.col(time_col) >= cutoff)
