@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from .tables import settle
 
-#: Longest word of the unigram model, in characters.
-MAX_WORD = 20
+#: Longest word of the unigram model: a label of a host has 63 octets at most, so no longer word lies in a valid one.
+MAX_WORD = 63
 #: Copies of a small side of a join, so that a hot key is spread over as many tasks.
 SALTS = 16
+#: A key with more than one in so many rows is hot.  There are fewer hot keys than this, whatever the input's size.
+HOT = 1_000
 
 # Words of hosts that nobody wants to train on; they label the urls that naive Bayes learns from.
 SEED_WORDS = "ads adult adware bet bets betting casino cheap dating escort free gambling jackpot loan loans lottery malware payday phishing pills poker porn sex slots spam torrent track tracker viagra warez win xxx".split()
@@ -128,11 +130,30 @@ def _copies(df: DataFrame) -> DataFrame:
     return df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
 
 
+def _spread_join(many: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """many joined with few, which has each value of on once.
+
+    Rows of hot keys are dealt to SALTS tasks, and their row of few goes to all
+    of these; the broadcast table has the hot keys only, fewer than HOT.  Rows
+    without a key match nothing and are dealt out too.
+    """
+    total = many.count()
+    counted = many.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(counted.where(F.col("__n") * HOT > total).select(F.col(on).alias("__hot")))
+    is_hot = F.col("__hot").isNotNull()
+    dealt = F.pmod(F.xxhash64(*[c for c in many.columns if c != on]), F.lit(SALTS))
+    left = many.join(hot, F.col(on) == F.col("__hot"), "left").withColumn("__salt", F.when(is_hot | F.col(on).isNull(), dealt).otherwise(0)).drop("__hot")
+    copies = F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0)).cast("array<bigint>")
+    right = few.join(hot, F.col(on) == F.col("__hot"), "left").withColumn("__salt", F.explode(copies)).drop("__hot")
+    return left.join(right, [on, "__salt"], how).drop("__salt")
+
+
 def url_tokens(urls: DataFrame, words: DataFrame) -> DataFrame:
     """Rows (url, tokens): the words of the host's names, marked h:, and the tokens of the path, marked p:."""
     hosts = urls.select("host").distinct()
     names = hosts.select("host", F.posexplode(F.filter(F.split("host", "[^a-z]+"), lambda x: x != "")).alias("i", "name"))
-    split = names.join(segment_names(names, words), "name")
+    names = settle(names, "host-names")
+    split = _spread_join(names, segment_names(names, words), "name")
     host_words = split.groupBy("host").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "words"))), lambda x: x["words"])).alias("words"))
     joined = _salted(urls, "host").join(_copies(host_words), ["host", "__salt"], "left")
     in_path = F.filter(F.split(F.lower("path"), "[^a-z]+"), lambda x: x != "")
@@ -170,8 +191,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     weights, prior = token_weights(tokens, F.arrays_overlap("tokens", marked))
     each = _salted(tokens.select("url", F.explode("tokens").alias("token")).groupBy("url", "token").agg(F.count(F.lit(1)).alias("n")), "token")
     scored = each.join(_copies(weights), ["token", "__salt"]).groupBy("url").agg((F.sum(F.col("n") * F.col("weight")) + prior).alias("log_odds"))
-    judged = tokens.join(scored, "url", "left").select(F.col("url").alias("__url"), F.coalesce("log_odds", F.lit(prior)).alias("log_odds"), F.col("tokens").alias("words"))
-    out = rows.join(judged, F.col("url") == F.col("__url"), "left")
+    judged = tokens.join(scored, "url", "left").select("url", F.coalesce("log_odds", F.lit(prior)).alias("log_odds"), F.col("tokens").alias("words"))
+    out = _spread_join(rows, judged, "url", "left")
     rule, verdict = longest_rule(rules, F.col("host"), F.col("path"))
     learnt = F.when(F.col("log_odds") > 0, "block").otherwise("allow")
     return out.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, learnt).alias("verdict"), "log_odds", "words")

@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -478,6 +479,84 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.where("false"), queries.URL_RULES).count() == 0
 
 
+def all_splits(name):
+    return [[name]] if len(name) == 1 else [x for rest in all_splits(name[1:]) for x in ([name[0], *rest], [name[0] + rest[0], *rest[1:]])]
+
+
+def split_cost(parts, cost, unknown):
+    return sum(cost.get(p, unknown * len(p)) for p in parts)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_splits_match_all_splits(seed):
+    r = random.Random(seed)
+    name = "".join(r.choices("abc", k=r.randint(1, 10)))
+    cost = {"".join(r.choices("abc", k=r.randint(2, 4))): r.uniform(-5, -0.1) for _ in range(12)}
+    arcs = [(i, j, cost[name[i:j]]) for i in range(len(name)) for j in range(i + 1, len(name) + 1) if name[i:j] in cost]
+    got = url_filter.best_split(name, arcs, -6.0)
+    assert "".join(got) == name
+    assert split_cost(got, cost, -6.0) == pytest.approx(max(split_cost(s, cost, -6.0) for s in all_splits(name)))
+
+
+@pytest.mark.parametrize("hot", [3, 1_000])
+def test_urls_match_plain_counts(spark, monkeypatch, hot):
+    """Unigram counts, the splits' likelihood and naive Bayes's log odds, recounted; one url and null have most rows."""
+    monkeypatch.setattr(url_filter, "HOT", hot)
+    r = random.Random(5)
+    vocabulary = ["cheap", "pills", "garden", "tool", "news", "river", "casino", "rivergardentoolnewsriverg"]
+    urls = ["http://" + "".join(r.choices(vocabulary, k=r.randint(1, 2))) + r.choice([".com/", ".org/"]) + "/".join(r.choices(vocabulary, k=2)) for _ in range(60)]
+    urls += ["http://rivergardentoolnewsrivergtool.com/en"] + ["http://www.casino.com/x"] * 150 + [None] * 100
+    rows = [(None if i % 7 == 0 else i, u, " ".join(r.choices(vocabulary, k=20)), "x") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, words string")
+    got = url_filter.judge_urls(df, []).collect()
+    assert sorted(map(str, (x.page_id for x in got))) == sorted(str(x[0]) for x in rows)
+    runs = Counter(w for x in rows for t in (x[1] or "", x[2]) for w in re.findall("[a-z]{2,}", t.lower()) if len(w) <= url_filter.MAX_WORD)
+    total = sum(runs.values())
+    cost = {w: math.log(n / total) for w, n in runs.items()}
+    tokens = {x[1]: y.words for x in rows if x[1] for y in got if url_parts_of(x[1]) == (y.host, y.path)}
+    for url, words in tokens.items():
+        host, path = url_parts_of(url)
+        split = [w[2:] for w in words if w.startswith("h:")]
+        names = re.findall("[a-z]+", host)
+        assert "".join(split) == "".join(names) and [w[2:] for w in words if w.startswith("p:")] == re.findall("[a-z]+", path)
+        unknown = math.log(0.01 / total)
+        assert split_cost(split, cost, unknown) == pytest.approx(sum(best_cost(n, cost, unknown) for n in names))
+    seeds = {"h:" + w for w in url_filter.SEED_WORDS}
+    bad = Counter(t for w in tokens.values() if seeds & set(w) for t in w)
+    good = Counter(t for w in tokens.values() if not seeds & set(w) for t in w)
+    kinds, n_bad = len(bad | good), sum(1 for w in tokens.values() if seeds & set(w))
+    prior = math.log((n_bad + 1) / (len(tokens) - n_bad + 1))
+    for x in got:
+        if x.host == "":
+            assert x.log_odds is None and x.words is None and x.verdict == "allow"
+            continue
+        odds = prior + sum(math.log((bad[t] + 1) / (bad.total() + kinds + 1)) - math.log((good[t] + 1) / (good.total() + kinds + 1)) for t in x.words)
+        assert x.log_odds == pytest.approx(odds) and x.verdict == ("block" if odds > 0 else "allow")
+    assert "h:rivergardentoolnewsriverg" in tokens["http://rivergardentoolnewsrivergtool.com/en"]
+
+
+def url_parts_of(url):
+    host, _, path = url.split("://", 1)[1].partition("/")
+    return host, "/" + path
+
+
+def best_cost(name, cost, unknown):
+    """Of all splits into known words and single letters, by the best of each beginning."""
+    best = [0.0]
+    for end in range(1, len(name) + 1):
+        best.append(max([best[end - 1] + unknown, *(best[i] + cost[name[i:end]] for i in range(end) if name[i:end] in cost)]))
+    return best[-1]
+
+
+def test_very_long_and_odd_urls(spark):
+    urls = ["http://" + "abcd" * 2_000 + ".com/" + "p/" * 5_000, "http://" + "a." * 2_000 + "com", "http://\u00e4\u00f6.example/\u00fc", "http://-._/", "http://123/4"]
+    rows = [(i, u) for i, u in enumerate(urls) for _ in range(2)]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), queries.URL_RULES, html_col=None).collect()
+    assert sorted(x.page_id for x in got) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+    assert all(x.verdict in ("allow", "block") and x.log_odds is not None for x in got)
+    assert next(x for x in got if x.page_id == 3).words == [] and len(next(x for x in got if x.page_id == 1).words) == 2_001
+
+
 # ---- language model
 
 
