@@ -346,6 +346,22 @@ def test_nnpu_against_the_plain_risk_and_its_prior():
         assert (((unlabelled @ w + b) > 0) == good[:, 0]).mean() > 0.85
 
 
+def test_sums_over_a_table_are_those_of_its_rows(spark, docs):
+    known = spark.createDataFrame([(0, True), (1, False), (1, True)], "doc_id long, positive boolean")
+    table = quality_pu._with_marks(docs.unionByName(docs.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))), known, "doc_id", "text").persist()
+    assert table.count() == 2 * docs.count() and table.where("positive is null").count() >= docs.count()
+    names = list(statistics.shares())
+    edges = [[0.1, 0.5]] * len(names)
+    rng = np.random.default_rng(2)
+    w, thresholds = rng.normal(0, 1, 3 * len(names) + 1), np.array([-3.0, 0.0, 2.0])
+    there = quality_pu.TableRows(table, edges)
+    here = quality_pu.Rows(quality_pu._one_hot(table.select(*names).toPandas().to_numpy(float), edges))
+    assert there.slope(w) == pytest.approx(here.slope(w)) and there.sums(w) == pytest.approx(here.sums(w))
+    assert there.reach(w, thresholds) == pytest.approx(here.reach(w, thresholds))
+    assert sum(h.slope(w)[0] for h in there.halves()) == len(here.x)
+    table.unpersist()
+
+
 def test_quality_scores_on_held_out_labels(spark, docs, none):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
