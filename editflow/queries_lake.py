@@ -71,8 +71,9 @@ def _q(spark, d):
 @query("table_scan_since", "SELECT event_id, wiki FROM recent")
 def _q(spark, d):
     rows = _edits(spark, d)
-    table = stored(rows, "edits")
-    return reports.apply_filters(streams.table_or_empty(spark, table.inputFiles()[0].rsplit("/", 1)[0], table.schema), reports.Filters(minutes=7 * 24 * 60), reports.newest_time(rows)).select("event_id", "wiki")
+    path = new_folder(spark, "edits")
+    rows.write.parquet(path)
+    return reports.apply_filters(streams.table_or_empty(spark, path, rows.schema), reports.Filters(minutes=7 * 24 * 60), reports.newest_time(rows)).select("event_id", "wiki")
 
 
 @query("drain_closed_hours", "SELECT event_id FROM edits, latest WHERE event_time < date_trunc('hour', as_of)")

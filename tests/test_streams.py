@@ -95,3 +95,37 @@ def test_a_kafka_reader_sets_its_options(monkeypatch):
 
     found = streams.kafka_reader("host:9092", "edits", "earliest", maxOffsetsPerTrigger="100")(Session()).set
     assert found == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "edits", "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "100"}
+
+
+def test_kafka_reader_sets_its_options():
+    """The connector isn't on the class path: a stand-in for the session notes what is asked of it."""
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def option(self, name, value):
+            asked[name] = value
+            return self
+
+        def options(self, **more):
+            asked.update(more)
+            return self
+
+        def load(self):
+            return self
+
+        def selectExpr(self, *columns):
+            asked["columns"] = columns
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    streams.kafka_reader("h1:9092,h2:9092", "edits", "earliest", maxOffsetsPerTrigger="500")(Session())
+    assert asked == {
+        "format": "kafka", "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "edits", "startingOffsets": "earliest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "500", "columns": ("CAST(value AS STRING) AS value", "partition", "offset"),
+    }
