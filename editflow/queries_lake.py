@@ -13,7 +13,7 @@ from .plans import reports
 from .queries import _W, _WAR, _WIN, DELAY, DETECTOR, QUERIES, SLIDE, SQL, _anomalies, _edits, _wars, _windows, query
 from .schemas import EDIT_KEY, WINDOW_KEY
 from .sources import fixtures, lake
-from .sources.tables import new_folder, stored
+from .sources.tables import new_folder
 from .streaming import streams
 
 _LAKE_COLS = ["event_id", "event_time", "wiki", "page_title", "is_bot", "byte_length_delta"]
