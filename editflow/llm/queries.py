@@ -1,4 +1,4 @@
-"""The queries of this subpackage, op1 to op10, and SQL for those that SQL can express."""
+"""The queries of this subpackage, op1 to op13, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
 from .secret_scan import scan_secrets
 from .url_filter import Rule, judge_urls
+from .window_packing import window_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +84,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, fit_rules(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+
+
 OP7_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
@@ -97,5 +102,5 @@ reach AS (SELECT doc_id AS id, doc_id AS r FROM s UNION SELECT reach.id, both_wa
 SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.id GROUP BY s.doc_id, grams
 """
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules, op11_window_packing)}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL}
