@@ -17,6 +17,7 @@ from .ngram_join import similar_components
 from .packing import best_fit_packing
 from .quality_pu import fit_quality, score_quality
 from .secret_scan import scan_secrets
+from .spelling_variants import spelling_variants
 from .url_filter import Rule, judge_urls
 from .window_packing import window_packing
 
@@ -88,6 +89,31 @@ def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_packing(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+#: The unsigned crc32 of the bytes of {0}, bit by bit.
+_CRC = "xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(octet_length(encode({0}))), lambda i: [CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"
+
+OP12_SQL = rf"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents),
+low AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS m FROM runs WHERE length(r) >= 7 GROUP BY 1, 2),
+hashed AS (SELECT w, m, {_CRC.format("s")} AS h FROM low),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, CAST(sum(m) AS BIGINT) AS n FROM hashed GROUP BY 1 HAVING sum(m) >= 2 AND length(word) >= 7),
+shorter AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+one_less AS (SELECT DISTINCT a.word AS long, a.n AS long_n, b.word AS short, b.n AS short_n FROM shorter a JOIN words b ON a.rest = b.word),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM one_less UNION ALL SELECT short, long, long_n FROM one_less),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY 1),
+first AS (SELECT near.word, min(other) AS other FROM near JOIN best ON near.word = best.word AND near.other_n = best.top GROUP BY 1),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * n THEN first.other END AS form, CASE WHEN top >= 10 * n THEN top END AS form_n FROM words LEFT JOIN best ON words.word = best.word LEFT JOIN first ON words.word = first.word),
+reach AS (SELECT word, form AS at FROM forms WHERE form IS NOT NULL UNION ALL SELECT reach.word, forms.form FROM reach JOIN forms ON reach.at = forms.word WHERE forms.form IS NOT NULL),
+ends AS (SELECT reach.word, reach.at AS root FROM reach JOIN forms ON reach.at = forms.word WHERE forms.form IS NULL)
+SELECT forms.word, form, coalesce(root, forms.word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends ON forms.word = ends.word
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
@@ -102,5 +128,5 @@ reach AS (SELECT doc_id AS id, doc_id AS r FROM s UNION SELECT reach.id, both_wa
 SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.id GROUP BY s.doc_id, grams
 """
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules, op11_window_packing)}
-SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules, op11_window_packing, op12_spelling_variants)}
+SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL, "op12_spelling_variants": OP12_SQL}
