@@ -31,7 +31,7 @@ from .text import blocks
 _encoders: dict[str, PieceIds] = {}
 
 
-def _byte_of() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The printable character that byte-level vocabularies write for each byte, inverted."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -48,7 +48,7 @@ def piece_encoder(path: str) -> PieceIds:
     if path not in _encoders:
         with open(path) as f:
             model = json.load(f)["model"]
-        vocab, byte_of = model["vocab"], _byte_of()
+        vocab, byte_of = model["vocab"], byte_characters()
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [vocab["".join(m)] for m in merges]
         ranked = made == sorted(made) and made[:1] == [256]

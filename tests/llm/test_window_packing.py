@@ -149,6 +149,21 @@ def test_long_texts_in_parts(spark, monkeypatch):
     assert ids.tolist() == library_ids([text])[0][:-1]
 
 
+def test_words_by_ranks_are_the_library_s():
+    """Letters of every kind below U+0250, signs, digits and contractions, joined at random, and what goes to the library."""
+    r = random.Random(5)
+    some = [chr(c) for c in range(33, 0x250) if not chr(c).isspace()]
+    words = ["".join(r.choice(some) for _ in range(r.randint(1, 9))) for _ in range(3000)]
+    words += ["".join(r.choice("abcdefghijklmnopqrstuvwxyzABC") for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    words += ["".join(r.choice(["'s", "'LL", "it", "n't", "7", "½", "²", "ª", "ß", "İ", "́", "中", "..", "'", "-"]) for _ in range(r.randint(1, 6))) for _ in range(3000)]
+    words = [w for w in dict.fromkeys(words) if w.strip()]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = W.word_spans(data, np.array([0, len(data)]))
+    ids, upto = W._word_ids(data, starts, ends, W.word_encoder(PATH))
+    upto = np.concatenate([[0], upto])
+    assert [ids[a:b].tolist() for a, b in zip(upto, upto[1:])] == [x[:-1] for x in library_ids([data[a:b].tobytes().decode() for a, b in zip(starts, ends)])]
+
+
 def test_bad_parameters(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError):
