@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
+from .conversation_trie import Graft, conversation_trie
 from .decision_list import fit_rules, judge
 from .exact_dedup import exact_dedup
 from .hmm_lm import score_texts
@@ -114,6 +115,33 @@ ends AS (SELECT reach.word, reach.at AS root FROM reach JOIN forms ON reach.at =
 SELECT forms.word, form, coalesce(root, forms.word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends ON forms.word = ends.word
 """
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"), Graft(block=20, most=4))
+
+
+OP13_SQL = rf"""
+WITH own AS (
+  SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_hash, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT conv_id, turn_hash, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_hash) AS p FROM own),
+convs AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+rebuilt AS (
+  SELECT convs.conv_id, p, turn_hash, words FROM convs JOIN placed ON placed.conv_id = convs.base AND p <= h
+  UNION ALL SELECT convs.conv_id, p, turn_hash, words FROM convs JOIN placed ON placed.conv_id = convs.conv_id AND p > h),
+paths AS (
+  SELECT convs.conv_id, coalesce(string_agg(turn_hash, '' ORDER BY p), '') AS path, coalesce(list(words ORDER BY p) FILTER (WHERE words IS NOT NULL), []) AS words
+  FROM convs LEFT JOIN rebuilt ON convs.conv_id = rebuilt.conv_id GROUP BY 1),
+members AS (SELECT conv_id, d, substr(path, 1, 64 * d) AS k, 64 * d = length(path) AS ended, coalesce(words[d], 0) AS w FROM (SELECT *, unnest(range(len(words) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT k, d, count(*) AS n, min(conv_id) AS conv_id, max(w) AS w, count(*) FILTER (WHERE ended) AS n_ends, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM members GROUP BY 1, 2),
+kids AS (SELECT substr(k, 1, 64 * (d - 1)) AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+above AS (SELECT substr(a.k, 1, 64 * a.up) AS k, kids.k IS NULL AS leaf, (n - 1) * w AS saved FROM (SELECT *, unnest(range(d + 1)) AS up FROM nodes) a LEFT JOIN kids ON a.k = kids.k),
+sums AS (SELECT k, count(*) FILTER (WHERE leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM above GROUP BY 1)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, CASE WHEN x.d > 0 THEN p.conv_id END AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256, x.n_ends
+FROM nodes x LEFT JOIN nodes p ON x.d > 0 AND p.k = substr(x.k, 1, 64 * (x.d - 1)) AND p.d = x.d - 1 LEFT JOIN kids ON x.k = kids.k JOIN sums ON x.k = sums.k
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
@@ -128,5 +156,5 @@ reach AS (SELECT doc_id AS id, doc_id AS r FROM s UNION SELECT reach.id, both_wa
 SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(r) AS component_id FROM s JOIN reach ON s.doc_id = reach.id GROUP BY s.doc_id, grams
 """
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules, op11_window_packing, op12_spelling_variants)}
-SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL, "op12_spelling_variants": OP12_SQL}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secret_scan, op2_best_fit_packing, op3_url_filter, op4_byte_bpe, op5_hmm_lm, op6_exact_dedup, op7_ngram_join, op8_quality_pu, op9_license_scan, op10_quality_rules, op11_window_packing, op12_spelling_variants, op13_conversation_trie)}
+SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op7_ngram_join": OP7_SQL, "op12_spelling_variants": OP12_SQL, "op13_conversation_trie": OP13_SQL}
