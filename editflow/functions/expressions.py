@@ -10,12 +10,16 @@ REVERT_TAGS = ["mw-revert", "mw-rollback", "mw-undo", "mw-manual-revert"]
 REVERT_COMMENT = r"(?i)\brevert(ed)?\b"
 UNDONE_REVISION = r"(?i)undid revision (\d+)"
 LARGE_JUMP = 100_000
-_OCTET = r"(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
-IPV4 = rf"^({_OCTET}\.){{3}}{_OCTET}$"
 #: Hexadecimal groups with colons, an optional dotted tail and zone; how many groups is checked beside it.
 IPV6_CHARACTERS = r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*((?<=:)\d{1,3}(\.\d{1,3}){3})?(%[^%]+)?$"
 
 
+def is_ipv4(text: Column) -> Column:
+    """Four numbers up to 255, of one to three digits."""
+    small = F.forall(F.split(text, r"\."), lambda part: part.try_cast("int") <= 255)
+    return text.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") & small
+
+
 def is_ipv6(text: Column) -> Column:
     """Eight groups of one to four hexadecimal digits, or fewer with one `::`; a dotted IPv4 tail stands for two groups."""
     bare = F.regexp_replace(text, "%.*$", "")
@@ -24,12 +28,12 @@ def is_ipv6(text: Column) -> Column:
     groups = F.regexp_count(whole, F.lit(r"[0-9A-Fa-f]{1,4}"))
     shape = whole.rlike(r"^([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?(::)?([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?$")
     zipped = F.contains(whole, F.lit("::"))
-    return text.rlike(IPV6_CHARACTERS) & shape & F.contains(whole, F.lit(":")) & ((tail == "") | tail.rlike(IPV4)) & F.when(zipped, groups <= 7).otherwise(groups == 8)
+    return text.rlike(IPV6_CHARACTERS) & shape & F.contains(whole, F.lit(":")) & ((tail == "") | is_ipv4(tail)) & F.when(zipped, groups <= 7).otherwise(groups == 8)
 
 
 def user_type(user: Column, is_bot: Column) -> Column:
     clean = F.trim(user)
-    anonymous = user.isNull() | (clean == "") | clean.rlike(IPV4) | is_ipv6(clean)
+    anonymous = user.isNull() | (clean == "") | is_ipv4(clean) | is_ipv6(clean)
     return F.when(F.coalesce(is_bot, F.lit(False)), "BOT").when(anonymous, "ANONYMOUS").otherwise("REGISTERED")
 
 

@@ -30,6 +30,7 @@ SQL: dict[str, str] = {}
 #: The fixture has an edit every few minutes, so its windows are longer than the defaults.
 SLIDE = Slide(6 * 3600, 3600)
 DELAY = 2 * 3600
+TRAILING = Slide(3600, 600)
 DETECTOR = Detector(ttl_seconds=None)
 TTL = Detector(ttl_seconds=7200)
 WEEK = 7 * 24 * 60
@@ -51,13 +52,13 @@ edits AS (
 latest AS (SELECT max(event_time) AS as_of FROM edits),
 recent AS (SELECT edits.* FROM edits, latest WHERE event_time >= as_of - INTERVAL 7 DAY),
 wx AS (
-  SELECT e.*, w AS window_start, w + INTERVAL 6 HOUR AS window_end
-  FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL 1 HOUR, event_time) - INTERVAL 5 HOUR, time_bucket(INTERVAL 1 HOUR, event_time), INTERVAL 1 HOUR)) AS w FROM edits) e),
+  SELECT e.*, w AS window_start, w + INTERVAL @SIZE MINUTE AS window_end
+  FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL @SLIDE MINUTE, event_time) - INTERVAL @BACK MINUTE, time_bucket(INTERVAL @SLIDE MINUTE, event_time), INTERVAL @SLIDE MINUTE)) AS w FROM edits) e),
 win AS (
   SELECT wiki, page_title, window_start, window_end, any_value(page_id) AS page_id, count(*) AS edit_count, count(DISTINCT "user") AS unique_editors,
     count(*) FILTER (WHERE NOT is_bot) AS human_edits, count(*) FILTER (WHERE is_bot) AS bot_edits, count(*) FILTER (WHERE is_revert) AS revert_count,
     CAST(sum(byte_length_delta) AS BIGINT) AS net_byte_delta, arg_max(revision_id, (us, event_id)) AS last_revision_id, arg_max(provenance_id, (us, event_id)) AS provenance_id,
-    round(count(*) / 360.0, 4) AS edit_velocity
+    round(count(*) / @SIZE.0, 4) AS edit_velocity
   FROM wx GROUP BY 1, 2, 3, 4),
 gaps AS (
   SELECT *, CASE WHEN epoch_us(window_start) - epoch_us(lag(window_start) OVER (PARTITION BY wiki, page_title ORDER BY window_start)) >= @TTL THEN 1 ELSE 0 END AS fresh FROM win),
@@ -101,7 +102,7 @@ raw AS (
 routed AS (
   SELECT *, CASE WHEN m IN (0, 6) THEN 'rejected' WHEN m IN (4, 5) THEN 'ignored' WHEN m IN (1, 2, 3, 8) THEN 'rejected' ELSE 'accepted' END AS route,
     CASE WHEN m = 0 THEN 'json_decode' WHEN m IN (1, 2, 3, 6, 8) THEN 'normalize' END AS stage,
-    CASE m WHEN 0 THEN 'invalid JSON' WHEN 6 THEN 'event is not a JSON object' WHEN 1 THEN 'missing required field: title' WHEN 2 THEN 'invalid timestamp: not-a-timestamp' WHEN 3 THEN 'missing required field: wiki' WHEN 8 THEN 'missing required field: type' END AS reason
+    CASE m WHEN 0 THEN 'invalid JSON' WHEN 6 THEN 'event is not a JSON object' WHEN 1 THEN 'missing required field: title' WHEN 2 THEN 'invalid timestamp: half past nine' WHEN 3 THEN 'missing required field: wiki' WHEN 8 THEN 'missing required field: type' END AS reason
   FROM raw),
 norm AS (
   SELECT CASE event_id % 3 WHEN 0 THEN 'm-' || event_id WHEN 1 THEN CAST(event_id AS VARCHAR) ELSE named || ':' || page_title || ':' || CAST(floor(us / 1e6) AS BIGINT) || '.0' END AS event_key,
@@ -112,15 +113,19 @@ norm AS (
     is_minor, length(comment) AS comment_length, coalesce(abs(new_length - old_length) > 100000, false) AS is_large_jump, "partition", "offset"
   FROM routed WHERE route = 'accepted'),
 metrics AS (
-  SELECT event_time AS recorded_at, ['ingestion', 'spark', 'liftwing'][CAST(event_id // 50 % 3 AS INT) + 1] AS component, event_id AS events_received, event_id - event_id % 7 AS events_parsed,
+  SELECT event_time AS recorded_at, ['ingestion', 'spark', 'liftwing'][CAST(event_id % 3 AS INT) + 1] AS component, event_id AS events_received, event_id - event_id % 7 AS events_parsed,
     event_id % 7 AS events_rejected, event_id % 11 AS error_count, CAST(byte_length_delta AS DOUBLE) + 50 AS processing_latency_ms, event_id % 13 + CAST(0.5 AS DOUBLE) AS throughput_per_sec,
     CASE WHEN event_id % 100 = 0 THEN event_id % 17 + CAST(0.25 AS DOUBLE) END AS e2e_p95, event_id
-  FROM edits WHERE event_id % 50 = 0)
+  FROM edits)
 """
 
 
-def _sql(body: str, ttl_us: int = 1 << 62) -> str:
-    return _CTES.replace("@TTL", str(ttl_us)) + body
+def _sql(body: str, ttl_us: int = 1 << 62, size_minutes: int = 360, slide_minutes: int = 60) -> str:
+    given = {"@TTL": ttl_us, "@SLIDE": slide_minutes, "@SIZE": size_minutes, "@BACK": size_minutes - slide_minutes}
+    out = _CTES
+    for name, value in given.items():
+        out = out.replace(name, str(value))
+    return out + body
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -137,11 +142,11 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None, ttl_us: int = 1 << 62) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, ttl_us: int = 1 << 62, size_minutes: int = 360, slide_minutes: int = 60) -> Callable[[Query], Query]:
     def keep(f: Query) -> Query:
         QUERIES[name] = lambda spark, sf_dir: _plain(f(spark, sf_dir))
         if sql is not None:
-            SQL[name] = _sql(sql, ttl_us)
+            SQL[name] = _sql(sql, ttl_us, size_minutes, slide_minutes)
         return f
 
     return keep
@@ -338,10 +343,6 @@ def _q(spark, d):
     return normalize.parse_canonical(wire.select(F.decode("key", "UTF-8").alias("key"), "value")).select("key", "event_id", "revision_id", "revert_target_revision_id", "user", "is_large_jump")
 
 
-QUERIES["sink_event_topic"] = QUERIES["encode_canonical"]
-SQL["sink_event_topic"] = SQL["encode_canonical"]
-
-
 @query("parse_canonical", 'SELECT event_key AS event_id, CAST(seconds * 1000000 AS BIGINT) AS event_time, wiki, page_title, user_type FROM norm')
 def _q(spark, d):
     return normalize.parse_canonical(stored(normalize.encode(_events(spark, d)), "wire")).select("event_id", "event_time", "wiki", "page_title", "user_type")
@@ -361,7 +362,7 @@ def _q(spark, d):
     return rows.select("event_id", "event_time", "ingestion_time", "processing_time", "provenance_id", "is_bot", "is_minor", "is_revert", F.col("comment_length").cast("long").alias("comment_length"), "user_type")
 
 
-@query("sink_dead_letter", "SELECT CASE event_id % 40 WHEN 0 THEN '{truncated json' WHEN 6 THEN '[1]' END AS payload, CASE WHEN event_id % 40 NOT IN (0, 6) THEN revision_id END AS revision_id, stage, reason, '1704067200' AS failed_at FROM routed WHERE route = 'rejected'")
+@query("sink_dead_letter", "SELECT CASE event_id % 40 WHEN 0 THEN 'title=half of a pa' WHEN 6 THEN '[1]' END AS payload, CASE WHEN event_id % 40 NOT IN (0, 6) THEN revision_id END AS revision_id, stage, reason, '1704067200' AS failed_at FROM routed WHERE route = 'rejected'")
 def _q(spark, d):
     out = normalize.dead_letters(_routed(spark, d), F.lit(1704067200))
     text = lambda i: F.decode(F.col("headers")[i]["value"], "UTF-8")
@@ -421,7 +422,7 @@ def _q(spark, d):
     return audit.summarize(rows, (F.col("stored_us") - F.unix_micros("window_end")) / 1000)
 
 
-@query("throughput_between_reports", "SELECT component, epoch_us(recorded_at) AS recorded_at, round((events_parsed - lag(events_parsed) OVER w) / nullif((epoch_us(recorded_at) - lag(epoch_us(recorded_at)) OVER w) / 1e6, 0), 6) AS throughput FROM metrics WINDOW w AS (PARTITION BY component ORDER BY recorded_at)")
+@query("throughput_between_reports", "SELECT component, epoch_us(recorded_at) AS recorded_at, round((events_parsed - lag(events_parsed) OVER w) / nullif((epoch_us(recorded_at) - lag(epoch_us(recorded_at)) OVER w) / 1e6, 0), 6) AS throughput FROM metrics WINDOW w AS (PARTITION BY component ORDER BY recorded_at, events_parsed)")
 def _q(spark, d):
     return audit.throughput_between_reports(fixtures.metrics(spark, d)).select("component", "recorded_at", "throughput")
 
@@ -444,9 +445,6 @@ def _q(spark, d):
     return audit.late_events(arrivals, 7200).select("event_id", "late")
 
 
-QUERIES["stream_late_policy"], SQL["stream_late_policy"] = QUERIES["late_events"], SQL["late_events"]
-
-
 @query("state_ttl_pages", "SELECT wiki, page_title, max(us) AS last_edit, (SELECT max(us) FROM edits) - max(us) >= 3600000000 AS evicted FROM edits GROUP BY 1, 2")
 def _q(spark, d):
     rows = _edits(spark, d)
@@ -572,9 +570,9 @@ def _q(spark, d):
     return reports.latest_page_velocity(rows, since=since, filter_first=False).select(*WINDOW_KEY, "edit_velocity")
 
 
-@query("latest_component_metrics", "SELECT component, epoch_us(recorded_at) AS recorded_at, events_received, events_parsed, error_count, throughput_per_sec FROM metrics QUALIFY row_number() OVER (PARTITION BY component ORDER BY metrics.recorded_at DESC) = 1")
+@query("latest_component_metrics", "SELECT component, epoch_us(recorded_at) AS recorded_at, events_received, events_parsed, error_count, throughput_per_sec FROM metrics QUALIFY row_number() OVER (PARTITION BY component ORDER BY metrics.recorded_at DESC, events_received DESC) = 1")
 def _q(spark, d):
-    return reports.latest(fixtures.metrics(spark, d), ["component"], F.desc("recorded_at")).select("component", "recorded_at", "events_received", "events_parsed", "error_count", "throughput_per_sec")
+    return reports.latest(fixtures.metrics(spark, d), ["component"], F.desc("recorded_at"), F.desc("events_received")).select("component", "recorded_at", "events_received", "events_parsed", "error_count", "throughput_per_sec")
 
 
 @query("recent_anomalies", f"SELECT {_ANOM} FROM anom ORDER BY anom.window_start DESC, wiki, page_title LIMIT 50")

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from .operators import normalize, upsert, windows
+from .operators import normalize, trailing, upsert, windows
+from .operators.anomaly import Detector
 from .plans import reports
-from .queries import _W, _WAR, _WIN, DELAY, DETECTOR, QUERIES, SLIDE, SQL, _anomalies, _edits, _wars, _windows, query
+from .queries import _W, _WAR, _WIN, DELAY, DETECTOR, QUERIES, SLIDE, SQL, TRAILING, _anomalies, _edits, _events, _wars, _windows, query
 from .schemas import EDIT_KEY, WINDOW_KEY
 from .sources import fixtures, lake
-from .sources.tables import new_folder
-from .streaming import streams
+from .sources.tables import new_folder, stored
+from .sources.versioned import VersionedTable
+from .streaming import monitor, progress, sinks, streams
 
 _LAKE_COLS = ["event_id", "event_time", "wiki", "page_title", "is_bot", "byte_length_delta"]
 
@@ -54,18 +57,24 @@ def _q(spark, d):
     return lake.daily_counts(lake.read_lake(spark, _lake(spark, d)), date(2024, 1, 5), date(2024, 1, 15))
 
 
-@query("lake_write_stats", "SELECT count(*) AS rows, count(*) AS footer_rows, true AS same_files, true AS sizes_agree, true AS ratio_agrees, CAST(sum(length(CAST(event_id AS VARCHAR)) + length(wiki) + 24) AS BIGINT) AS json_bytes FROM edits")
+@query("lake_write_stats", """SELECT count(*) AS rows, count(*) AS footer_rows, count(DISTINCT (wiki, CAST(event_time AS DATE), hour(event_time))) AS folders, min(event_id) AS least_id, max(event_id) AS greatest_id, min(byte_length_delta) AS least_delta,
+  max(byte_length_delta) AS greatest_delta, CAST(0 AS BIGINT) AS nulls, CAST(sum(length(CAST(event_id AS VARCHAR)) + length(wiki) + 24) AS BIGINT) AS json_bytes, true AS sizes_agree FROM edits""")
 def _q(spark, d):
     path = _lake(spark, d)
     stats, columns = lake.write_stats(lake.read_lake(spark, path)), lake.column_stats(spark, path)
     columns = columns.withColumnsRenamed({"files": "footer_files", "rows": "footer_rows"})
-    saved = F.abs(F.col("saved_percent") - 100 * (1 - 1 / F.col("ratio"))) < 0.1
-    parts = stats.unionByName(columns, allowMissingColumns=True).unionByName(lake.json_reduction(lake.read_lake(spark, path, ["event_id", "wiki"])), allowMissingColumns=True)
+    folders = lake.lake_files(spark, path).agg(F.countDistinct("folder").alias("folders"))
+    of = lambda name, c: F.max(F.when(F.col("column") == name, F.col(c)))
+    ranges = lake.column_ranges(spark, path, ["event_id", "byte_length_delta"]).agg(
+        of("event_id", "least").alias("least_id"), of("event_id", "greatest").alias("greatest_id"), of("byte_length_delta", "least").alias("least_delta"), of("byte_length_delta", "greatest").alias("greatest_delta"), F.sum("nulls").alias("nulls")
+    )
+    parts = stats
+    for more in (columns, folders, ranges, lake.json_reduction(lake.read_lake(spark, path, ["event_id", "wiki"]))):
+        parts = parts.unionByName(more, allowMissingColumns=True)
     both = parts.agg(*[F.max(c).alias(c) for c in parts.columns])  # one row of each
-    return both.select(
-        "rows", "footer_rows", "json_bytes", (F.col("files") == F.col("footer_files")).alias("same_files"), saved.alias("ratio_agrees"),
-        ((F.col("compressed_bytes") < F.col("bytes")) & (F.col("bytes") == F.col("file_bytes"))).alias("sizes_agree"),
-    )
+    saved = F.abs(F.col("saved_percent") - 100 * (1 - 1 / F.col("ratio"))) < 0.1
+    agree = saved & (F.col("files") == F.col("footer_files")) & (F.col("compressed_bytes") < F.col("bytes")) & (F.col("bytes") == F.col("file_bytes"))
+    return both.select("rows", "footer_rows", "folders", "least_id", "greatest_id", "least_delta", "greatest_delta", "nulls", "json_bytes", agree.alias("sizes_agree"))
 
 
 @query("table_scan_since", "SELECT event_id, wiki FROM recent")
@@ -143,6 +152,10 @@ def _q(spark, d):
 # ---- keyed writes
 
 
+def _versioned(spark, name, keys, part):
+    return VersionedTable(spark, new_folder(spark, name), keys, part)
+
+
 def _first_wins(target, rows, keys):
     return target.unionByName(upsert.insert_absent(target, rows, keys))
 
@@ -162,10 +175,18 @@ def _q(spark, d):
     cols = [*WINDOW_KEY, "page_id", "edit_count", "provenance_id"]
     rows = _windows(spark, d).select(*cols)
     new = rows.where("edit_count % 3 <> 0").withColumns({"page_id": F.col("page_id") + 1, "provenance_id": F.when(F.col("edit_count") % 2 == 1, "new"), "edit_count": F.col("edit_count") + 100})
-    return upsert.merge_update(rows.where("edit_count % 3 = 0 OR edit_count % 5 <> 0"), new, WINDOW_KEY, keep_old=["page_id"], fill=["provenance_id"])
+    table = _versioned(spark, "windows", WINDOW_KEY, F.to_date("window_start"))
+    table.merge(rows.where("edit_count % 3 = 0 OR edit_count % 5 <> 0"))
+    table.merge(new, keep_old=["page_id"], fill=["provenance_id"])
+    return table.read()
 
 
-QUERIES["merge_update"], SQL["merge_update"] = QUERIES["upsert_activity_windows"], SQL["upsert_activity_windows"]
+@query("merge_update", "SELECT event_id, us AS event_time, wiki, CASE WHEN event_id % 10 = 0 THEN 'merged' ELSE page_title END AS page_title, event_id % 10 = 0 OR event_id % 3 = 0 AS is_bot FROM edits WHERE event_id % 5 = 0 OR event_id % 3 = 0")
+def _q(spark, d):
+    """The plain merge over two frames: every fifth edit wins over every third, and keeps what it doesn't know."""
+    rows = _edits(spark, d).select("event_id", "event_time", "wiki", "page_title", F.lit(True).alias("is_bot"))
+    new = rows.where("event_id % 5 = 0").withColumns({"page_title": F.when(F.col("event_id") % 10 == 0, "merged").otherwise(F.when(F.col("event_id") % 3 != 0, F.col("page_title"))), "is_bot": F.col("event_id") % 10 == 0})
+    return upsert.merge_update(rows.where("event_id % 3 = 0"), new, EDIT_KEY, keep_old=["is_bot"], fill=["page_title"])
 
 
 @query("insert_anomaly_events", f"SELECT wiki, page_title, {_W}, CASE WHEN edit_count % 2 = 0 THEN anomaly_type ELSE 'again' END AS anomaly_type FROM anom")
@@ -184,14 +205,20 @@ def _q(spark, d):
 def _q(spark, d):
     keys = ["wiki", "user", "is_bot", "window_start", "window_end"]
     rows = windows.user_activity(_edits(spark, d), SLIDE).select(*keys, "edit_count")
-    return upsert.merge_update(rows, rows.where("edit_count > 1").withColumn("edit_count", F.col("edit_count") + 10), keys)
+    table = _versioned(spark, "users", keys, F.to_date("window_start"))
+    table.merge(rows)
+    table.merge(rows.where("edit_count > 1").withColumn("edit_count", F.col("edit_count") + 10))
+    return table.read()
 
 
 @query("upsert_revision_scores", "SELECT wiki, revision_id, 'risk' AS model_name, CAST(CASE WHEN revision_id % 2 = 0 THEN 0.75 ELSE 0.25 END AS DOUBLE) AS score, us + CASE WHEN revision_id % 2 = 0 THEN 1000000 ELSE 0 END AS fetched_at FROM edits")
 def _q(spark, d):
     rows = _edits(spark, d).select("wiki", "revision_id", F.lit("risk").alias("model_name"), F.lit(0.25).alias("score"), F.col("event_time").alias("fetched_at"))
     new = rows.where("revision_id % 2 = 0").withColumns({"score": F.lit(0.75), "fetched_at": F.col("fetched_at") + F.expr("INTERVAL 1 SECOND")})
-    return upsert.merge_update(rows, new, ["wiki", "revision_id", "model_name"])
+    table = _versioned(spark, "scores", ["wiki", "revision_id", "model_name"], F.floor(F.col("revision_id") / 4000))  # revisions' numbers grow with time
+    table.merge(rows)
+    table.merge(new)
+    return table.read()
 
 
 @query("append_pipeline_metrics", "SELECT component, epoch_us(recorded_at) AS recorded_at, events_received, CASE WHEN event_id % 3 = 0 THEN 'json_decode' WHEN event_id % 3 = 1 THEN 'normalize' ELSE 'publish' END AS stage FROM metrics")
@@ -216,22 +243,25 @@ def _parts(spark, d):
     return new_folder(spark, "stream-in"), rows.schema, [rows.where(F.col("event_time") <= F.lit(middle)), rows.where(F.col("event_time") > F.lit(middle))]
 
 
-def _ended(spark, parts, name, operate=lambda stream: stream, write=None):
+def _ended(spark, parts, name, operate=lambda stream: stream, write=None, checkpoint=None, query_name=None):
     """What the operator has written once all parts have come, each one to a query that goes on from the checkpoint of the one before."""
     path, schema, batches = parts
-    out, checkpoint = new_folder(spark, name), new_folder(spark, "checkpoint")
+    out, checkpoint = new_folder(spark, name), checkpoint or new_folder(spark, "checkpoint")
     for batch in batches:
         batch.write.mode("append").parquet(path)
         stream = operate(streams.table_reader(path, schema)(spark))
-        streams.run_to_end(stream, checkpoint, write(out) if write else None, out)
+        streams.run_to_end(stream, checkpoint, write(out) if write else None, out, query_name)
     try:
         return spark.read.parquet(out) if write else streams.table_or_empty(spark, out, stream.schema)
     except AnalysisException:  # a sink that was given no rows wrote none
         return spark.createDataFrame([], stream.schema)
 
 
-def _windows_sink(out):
-    return streams.keyed_append(out, WINDOW_KEY, "window_start")
+def _committed(spark, parts, name, operate, tables):
+    """The folder of tables that a stream's batches have committed."""
+    root = new_folder(spark, name)
+    _ended(spark, parts, name, operate, write=lambda _: sinks.tables_sink(root, tables))
+    return root
 
 
 @query("src_event_stream", 'SELECT event_id, "partition", "offset" FROM edits')
@@ -258,16 +288,62 @@ def _q(spark, d):
     return _ended(spark, _parts(spark, d), "windows", lambda s: streams.closed_windows(s, SLIDE, DELAY))
 
 
+def _monitored(name, of, slide=SLIDE, delay=DELAY):
+    """What a page monitor's stream reports of one kind, once all parts have come."""
+    return lambda spark, d: _ended(spark, _parts(spark, d), name, lambda s: of(monitor.monitor(s, slide, delay, DETECTOR)))
+
+
 @query("stream_edit_wars", f"SELECT {_WAR} FROM wars WHERE wars.window_end <= {_CLOSED}")
 def _q(spark, d):
-    return _ended(spark, _parts(spark, d), "wars", lambda s: streams.window_records(s, SLIDE, DELAY), streams.conflict_sink)
+    return _monitored("wars", monitor.wars)(spark, d)
 
 
 @query("stream_anomalies", f"SELECT wiki, page_title, {_W}, edit_count, anomaly_type, anomaly_score, threshold_used FROM anom WHERE anom.window_end <= {_CLOSED}")
 def _q(spark, d):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    got = _ended(spark, _parts(spark, d), "anomalies", lambda s: streams.stream_anomalies(s, SLIDE, DELAY, DETECTOR))
-    return got.withColumn("anomaly_score", F.round("anomaly_score", 4))
+    return _monitored("anomalies", monitor.anomalies)(spark, d).withColumn("anomaly_score", F.round("anomaly_score", 4))
+
+
+_TRAIL = "judged.wiki, judged.page_title, epoch_us(judged.window_start) AS window_start, epoch_us(judged.window_end) AS window_end, judged.edit_count, history_size, anomaly_type, anomaly_score, coalesce(mutual_revert_count, 0) AS mutual_revert_count, editor_a, editor_b, round(coalesce(mutual_revert_count, 0) * CAST(2 AS DOUBLE) + CASE WHEN bursts >= 4 THEN bursts ELSE 0 END / CAST(2 AS DOUBLE), 4) AS conflict_score"
+_TRAIL_FROM = "FROM judged JOIN (SELECT wiki AS w, page_title AS t, window_start AS s, edit_burst_count AS bursts FROM totals) ON w = wiki AND t = page_title AND s = window_start LEFT JOIN (SELECT wiki AS w2, page_title AS t2, window_start AS s2, mutual_revert_count, editor_a, editor_b FROM wars) ON w2 = wiki AND t2 = page_title AND s2 = window_start"
+_TRAIL_COLS = [*WINDOW_KEY, "edit_count", "history_size", "anomaly_type", "anomaly_score", "mutual_revert_count", "editor_a", "editor_b", "conflict_score"]
+
+
+@query("trailing_evaluation", f"SELECT {_TRAIL} {_TRAIL_FROM}", size_minutes=60, slide_minutes=10)
+def _q(spark, d):
+    return trailing.trailing_evaluation(_edits(spark, d), TRAILING, DETECTOR).select(*_TRAIL_COLS)
+
+
+@query("stream_trailing_evaluation", f"SELECT {_TRAIL} {_TRAIL_FROM} WHERE judged.window_end <= (SELECT max(event_time) FROM edits) - INTERVAL 10 MINUTE", size_minutes=60, slide_minutes=10)
+def _q(spark, d):
+    """A timer at each tick: every page's last hour, every ten minutes."""
+    reports = _monitored("trailing", lambda r: r.where("kind = 'window'").select(*_TRAIL_COLS), TRAILING, 600)(spark, d)
+    return reports.withColumn("anomaly_score", F.round("anomaly_score", 4))
+
+
+@query("stream_late_policy", 'SELECT event_id, us AS event_time, coalesce(us < max(us) OVER (PARTITION BY "partition" ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 7200000000, false) AS late FROM (SELECT *, "offset" + CASE WHEN event_id % 10 = 0 THEN 200 ELSE 0 END AS o FROM edits)')
+def _q(spark, d):
+    """Every tenth edit comes 200 offsets behind its time, in batches by offset; what is late goes to a table of its own."""
+    rows = _edits(spark, d).select("event_id", "event_time", F.col("partition").cast("int").alias("partition"), F.expr("offset + CASE WHEN event_id % 10 = 0 THEN 200 ELSE 0 END").alias("offset"))
+    middle = rows.agg(F.percentile_approx("offset", 0.5)).first()[0]
+    parts = new_folder(spark, "arrivals"), rows.schema, [rows.where(F.col("offset") <= middle), rows.where(F.col("offset") > middle)]
+    tables = {"in_time": lambda b: b.where("NOT late").drop("late"), "late": lambda b: b.where("late").drop("late")}
+    root = _committed(spark, parts, "routed", lambda s: monitor.mark_late(s, 7200), tables)
+    got = [sinks.read_committed(spark, root, name, rows.schema).withColumn("late", F.lit(name == "late")) for name in tables]
+    return got[0].unionByName(got[1]).select("event_id", "event_time", "late")
+
+
+_IDLE = Detector(ttl_seconds=SLIDE.size + DELAY)
+
+
+@query("stream_state_ttl", f"""SELECT wiki, page_title, max(us) AS last_edit, time_bucket(INTERVAL 1 HOUR, max(event_time)) + INTERVAL 14 HOUR <= {_CLOSED} AS evicted FROM (SELECT wiki, page_title || ' of ' || strftime(event_time, '%Y-%m-%d') AS page_title, us, event_time FROM edits) GROUP BY 1, 2""")
+def _q(spark, d):
+    """Pages that live for a day: those that the monitor says it evicted, and those that its checkpoint still has."""
+    path, schema, parts = _parts(spark, d)
+    daily = [p.withColumn("page_title", F.concat("page_title", F.lit(" of "), F.date_format("event_time", "yyyy-MM-dd"))) for p in parts]
+    checkpoint = new_folder(spark, "checkpoint")
+    gone = _ended(spark, (path, schema, daily), "evicted", lambda s: monitor.monitor(s, SLIDE, DELAY, _IDLE).where("kind = 'evicted'").select("wiki", "page_title", F.col("event_time").alias("last_edit")), checkpoint=checkpoint)
+    kept = monitor.pages_in_state(spark, checkpoint)
+    return kept.withColumn("evicted", F.lit(False)).unionByName(gone.withColumn("evicted", F.lit(True)))
 
 
 @query("dedupe_stream", "SELECT event_id, us AS event_time FROM edits")
@@ -287,24 +363,64 @@ def _q(spark, d):
     return _ended(spark, (path, schema, [*parts, parts[1]]), "raw", write=lambda out: streams.keyed_append(out, EDIT_KEY, "event_time")).select("event_id", "event_time", "wiki")
 
 
-@query("sink_windowed", f"SELECT 'page_activity_windows' AS target, count(*) AS n FROM win WHERE window_end <= {_CLOSED} UNION ALL SELECT 'edit_war_signals', count(*) FROM wars WHERE window_end <= {_CLOSED} UNION ALL SELECT 'anomaly_events', count(*) FROM anom WHERE window_end <= {_CLOSED}")
-def _q(spark, d):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    activity = _ended(spark, _parts(spark, d), "windows", lambda s: streams.closed_windows(s, SLIDE, DELAY), _windows_sink)
-    wars = _ended(spark, _parts(spark, d), "wars", lambda s: streams.window_records(s, SLIDE, DELAY), streams.conflict_sink)
-    found = _ended(spark, _parts(spark, d), "anomalies", lambda s: streams.stream_anomalies(s, SLIDE, DELAY, DETECTOR), _windows_sink)
-    count = lambda df, name: df.agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("n"))
-    return count(activity, "page_activity_windows").unionByName(count(wars, "edit_war_signals")).unionByName(count(found, "anomaly_events"))
-
-
-@query("stream_metrics", 'SELECT CAST(count(*) AS BIGINT) AS rows, count(*) FILTER (WHERE "user" IS NULL) AS rejected, max(us) AS last_event_time FROM edits')
-def _q(spark, d):
-    got = _ended(spark, _parts(spark, d), "metrics", write=lambda out: streams.batch_metrics(out, ("event_id", "user")))
-    return got.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.max("last_event_time").alias("last_event_time"))
-
-
-@query("ttl_guard", "SELECT wiki, max(us) AS last_edit FROM edits GROUP BY 1")
-def _q(spark, d):
-    """History that outlives window and watermark is accepted; see the tests for what is refused."""
-    streams.check_ttl(SLIDE, DELAY, SLIDE.size + DELAY)
-    return _edits(spark, d).groupBy("wiki").agg(F.max("event_time").alias("last_edit"))
+_THREE = f"""SELECT 'page_activity_windows' AS target, wiki, page_title, {_W}, provenance_id AS label, CAST(edit_count AS DOUBLE) AS amount, CAST(net_byte_delta AS DOUBLE) AS more FROM win WHERE win.window_end <= {_CLOSED}
+  UNION ALL SELECT 'edit_war_signals', wiki, page_title, {_W}, editor_a || '/' || editor_b, conflict_score, CAST(mutual_revert_count AS DOUBLE) FROM wars WHERE wars.window_end <= {_CLOSED}
+  UNION ALL SELECT 'anomaly_events', wiki, page_title, {_W}, anomaly_type, anomaly_score, threshold_used FROM anom WHERE anom.window_end <= {_CLOSED}"""
+
+
+@query("sink_windowed", _THREE)
+def _q(spark, d):
+    """One stream whose every batch feeds three tables under one commit."""
+    tables = {"page_activity_windows": monitor.activity, "edit_war_signals": monitor.wars, "anomaly_events": monitor.anomalies}
+    parts = _parts(spark, d)
+    root = _committed(spark, parts, "windowed", lambda s: monitor.monitor(s, SLIDE, DELAY, DETECTOR), tables)
+    empty = monitor.monitor(streams.table_reader(parts[0], parts[1])(spark), SLIDE, DELAY, DETECTOR)
+    read = {name: sinks.read_committed(spark, root, name, of(empty).schema) for name, of in tables.items()}
+    shaped = lambda name, label, amount, more: read[name].select(F.lit(name).alias("target"), *WINDOW_KEY, label.alias("label"), F.col(amount).cast("double").alias("amount"), F.col(more).cast("double").alias("more"))
+    rows = shaped("page_activity_windows", F.col("provenance_id"), "edit_count", "net_byte_delta").unionByName(shaped("edit_war_signals", F.concat("editor_a", F.lit("/"), "editor_b"), "conflict_score", "mutual_revert_count"))
+    return rows.unionByName(shaped("anomaly_events", F.col("anomaly_type"), "anomaly_score", "threshold_used").withColumn("amount", F.round("amount", 4)))
+
+
+@query("sink_event_topic", 'SELECT page_title AS "key", revision_id, event_key AS event_id, row_number() OVER (PARTITION BY page_title ORDER BY revision_id % 2, seconds, revision_id) AS place FROM norm')
+def _q(spark, d):
+    """Canonical events on an ordered topic: even revisions come in the first batch, odd ones in the second; ``place`` counts a key's messages by offset."""
+    events = _events(spark, d)
+    wire = normalize.encode(events).select("*", F.get_json_object("value", "$.timestamp").cast("double").alias("at"), F.get_json_object("value", "$.revision_id").cast("long").alias("revision"))
+    wire = stored(wire, "wire")
+    root = new_folder(spark, "topic")
+    _ended(spark, (new_folder(spark, "outgoing"), wire.schema, [wire.where("revision % 2 = 0"), wire.where("revision % 2 = 1")]), "topic", write=lambda _: sinks.topic_sink(root, 6, ("at", "revision")))
+    topic = sinks.read_topic(spark, root)
+    # a key has one partition, in which offsets count without gaps
+    place = F.row_number().over(Window.partitionBy("key").orderBy("offset"))
+    found = topic.withColumn("place", place).select(F.decode("key", "UTF-8").alias("key"), "value", "place", "partition", "offset")
+    sound = found.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"), F.countDistinct("offset").alias("distinct")).where("n <> last + 1 OR n <> distinct")
+    found = found.join(sound, "partition", "left_anti")  # rows of a partition with gaps would be missed
+    return found.select("key", F.get_json_object("value", "$.revision_id").cast("long").alias("revision_id"), F.get_json_object("value", "$.event_id").alias("event_id"), "place")
+
+
+@query("stream_metrics", """SELECT event_id % 3 <> 0 AS second_batch, count(*) AS rows, count(*) FILTER (WHERE route = 'accepted') AS accepted, count(*) FILTER (WHERE route = 'ignored') AS ignored, count(*) FILTER (WHERE stage = 'json_decode') AS not_json,
+  count(*) FILTER (WHERE stage = 'normalize') AS not_normal, count(*) FILTER (WHERE reason LIKE 'missing%') AS missing_field, count(*) FILTER (WHERE reason LIKE 'invalid timestamp%') AS bad_time, true AS timed, CAST(0 AS BIGINT) AS behind FROM routed GROUP BY 1""")
+def _q(spark, d):
+    """What a stream of raw messages observed of its batches, as its listener logged it."""
+    rows = fixtures.raw_payloads(spark, d)
+    counts = {
+        "accepted": F.col("route") == "accepted", "ignored": F.col("route") == "ignored", "not_json": F.col("stage") == "json_decode", "not_normal": F.col("stage") == "normalize",
+        "missing_field": F.col("reason").startswith("missing"), "bad_time": F.col("reason").startswith("invalid timestamp"),
+    }
+    path, name = new_folder(spark, "metrics"), f"ingest-{uuid.uuid4().hex}"
+    operate = lambda s: progress.observe_counts(normalize.route(s).select("event_id", "route", "stage", "reason"), "ingestion", **counts)
+    with progress.MetricsLog(spark, path, name):
+        _ended(spark, (new_folder(spark, "messages"), rows.schema, [rows.where("event_id % 3 = 0"), rows.where("event_id % 3 <> 0")]), "routed", operate, query_name=name)
+    log = spark.read.schema(progress.METRICS).parquet(path)
+    observed = [F.col("observed")[f"ingestion.{c}"].cast("long").alias(c) for c in counts]
+    timed = (F.col("rows_per_second") > 0) & (F.col("duration_ms") > 0) & F.col("recorded_at").isNotNull() & (F.col("observed")["ingestion.rows"].cast("long") == F.col("rows"))
+    return log.select((F.col("batch_id") > 0).alias("second_batch"), "rows", *observed, timed.alias("timed"), F.coalesce("behind", F.lit(0)).alias("behind"))
+
+
+@query("ttl_guard", f"SELECT wiki, page_title, CAST(epoch_us(max(gap)) / 1e6 AS BIGINT) AS ttl, epoch_us(max(gap)) >= 28800 * 1e6 AS allowed FROM (SELECT wiki, page_title, window_start - lag(window_start) OVER (PARTITION BY wiki, page_title ORDER BY window_start) + INTERVAL 7 HOUR AS gap FROM win) GROUP BY 1, 2")
+def _q(spark, d):
+    """For each page the longest pause between its windows, and seven hours, as a proposed ttl: allowed if history then outlives window and watermark."""
+    by_page = Window.partitionBy("wiki", "page_title").orderBy("window_start")
+    gaps = _windows(spark, d).withColumn("gap", F.unix_seconds("window_start") - F.unix_seconds(F.lag("window_start").over(by_page)))
+    proposed = gaps.groupBy("wiki", "page_title").agg((F.max("gap") + 7 * 3600).alias("ttl"))
+    return proposed.withColumn("allowed", F.col("ttl") >= monitor.least_ttl(SLIDE, DELAY))

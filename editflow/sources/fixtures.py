@@ -41,7 +41,7 @@ def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             'wiki', CASE WHEN {m} NOT IN (3, 7) THEN wiki END,
             'server_name', CASE WHEN {m} = 7 THEN concat(wiki, '.example.org') END,
             'title', CASE WHEN {m} <> 1 THEN page_title END,
-            'timestamp', CASE WHEN {m} = 2 THEN 'not-a-timestamp' ELSE cast(unix_seconds(event_time) AS string) END,
+            'timestamp', CASE WHEN {m} = 2 THEN 'half past nine' ELSE cast(unix_seconds(event_time) AS string) END,
             'namespace', CASE WHEN {m} = 5 THEN 3 WHEN {m} <> 9 THEN 0 END,
             'user', CASE WHEN event_id % 11 = 0 THEN concat('10.0.0.', event_id % 256) WHEN event_id % 13 = 0 THEN concat('2001:db8::', event_id % 10) WHEN event_id % 29 = 0 THEN '  ' ELSE user END,
             'userid', user_id, 'bot', is_bot, 'minor', is_minor,
@@ -51,14 +51,14 @@ def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             'tags', CASE WHEN is_revert AND event_id % 2 = 1 THEN array('mobile edit', 'mw-rollback') ELSE array() END,
             'page_id', page_id)) AS good""",
     )
-    value = F.expr(f"CASE WHEN {m} = 0 THEN '{{truncated json' WHEN {m} = 6 THEN '[1]' ELSE good END")
+    value = F.expr(f"CASE WHEN {m} = 0 THEN 'title=half of a pa' WHEN {m} = 6 THEN '[1]' ELSE good END")
     return rows.select("event_id", value.alias("value"), "partition", "offset")
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A metrics log: every 50th event reports for one of three components."""
-    return edits(spark, sf_dir).where("event_id % 50 = 0").selectExpr(
-        "event_time AS recorded_at", "element_at(array('ingestion', 'spark', 'liftwing'), cast(event_id DIV 50 % 3 AS int) + 1) AS component",
+    """A metrics log: every event reports for one of three components."""
+    return edits(spark, sf_dir).selectExpr(
+        "event_time AS recorded_at", "element_at(array('ingestion', 'spark', 'liftwing'), cast(event_id % 3 AS int) + 1) AS component",
         "event_id AS events_received", "event_id - event_id % 7 AS events_parsed", "event_id % 7 AS events_rejected", "event_id % 11 AS error_count",
         "cast(byte_length_delta AS double) + 50 AS processing_latency_ms", "event_id % 13 + 0.5D AS throughput_per_sec",
         "to_json(named_struct('e2e', CASE WHEN event_id % 100 = 0 THEN named_struct('p95', event_id % 17 + 0.25D) END, 'stage', element_at(array('json_decode', 'normalize', 'publish'), cast(event_id % 3 AS int) + 1))) AS details",

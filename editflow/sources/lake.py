@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date, datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -17,6 +19,7 @@ from .tables import stored
 
 HOURLY = ("wiki", "date", "hour")
 HIERARCHICAL = ("wiki", "year", "month", "day", "hour")
+_FORMATS = {"date": "%Y-%m-%d", "hour": "%H", "year": "%Y", "month": "%m", "day": "%d"}
 
 
 def _partitioned(rows: DataFrame, layout: Sequence[str], time_col: str) -> DataFrame:
@@ -101,6 +104,29 @@ def column_stats(spark: SparkSession, path: str) -> DataFrame:
     return total.withColumns({"ratio": F.round(1 / share, 3), "saved_percent": F.round(100 * (1 - share), 2)})
 
 
+def column_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, least, greatest, nulls) of whole-number columns, from the statistics in the footers of all files below path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("content")
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for content in batch.column("content"):
+                meta = pq.read_metadata(pa.BufferReader(content.as_buffer()))
+                for i in range(meta.num_row_groups):
+                    group = meta.row_group(i)
+                    for j in range(group.num_columns):
+                        chunk = group.column(j)
+                        if chunk.path_in_schema in columns and chunk.statistics is not None:
+                            s = chunk.statistics
+                            found.append((chunk.path_in_schema, s.min if s.has_min_max else None, s.max if s.has_min_max else None, s.null_count))
+            names = ("column", "least", "greatest", "nulls")
+            yield pa.RecordBatch.from_pydict({n: pa.array([x[i] for x in found], pa.string() if i == 0 else pa.int64()) for i, n in enumerate(names)})
+
+    each = files.mapInArrow(footers, "column string, least long, greatest long, nulls long")
+    return each.groupBy("column").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"), F.sum("nulls").alias("nulls"))
+
+
 def json_reduction(lake: DataFrame) -> DataFrame:
     """One row: bytes of the rows as JSON lines, of the files that hold them, and by how many percent these are fewer."""
     line = F.octet_length(F.to_json(F.struct(*lake.columns))) + 1
@@ -109,25 +135,66 @@ def json_reduction(lake: DataFrame) -> DataFrame:
     return total.withColumn("reduction_percent", F.round(100 * (1 - F.col("file_bytes") / F.nullif(F.col("json_bytes"), F.lit(0))), 2))
 
 
+def _slot(time: datetime, layout: Sequence[str]) -> tuple:
+    """The values of the layout's time columns for a time, as numbers and as an ISO date, in the order of time."""
+    parts = {"date": time.strftime("%Y-%m-%d"), "year": time.year, "month": time.month, "day": time.day, "hour": time.hour}
+    return tuple(parts[c] for c in layout if c in parts)
+
+
+def _slot_columns(layout: Sequence[str], value: Callable[[str], Column]) -> Column:
+    return F.struct(*[value(c).cast("string" if c == "date" else "int").alias(c) for c in layout if c in ("date", "year", "month", "day", "hour")])
+
+
+def lake_files(spark: SparkSession, path: str, layout: Sequence[str] = HOURLY) -> DataFrame:
+    """Rows (path, folder, slot): the files of a lake with the time columns of their folders, by name; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    named = lambda c: F.regexp_extract("path", f"/{c}=([^/]+)/", 1)
+    return files.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), _slot_columns(layout, named).alias("slot"))
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    local = re.match(r"file:/*(/.*)", path)
+    return (fs.LocalFileSystem(), local[1]) if local else fs.FileSystem.from_uri(path)
+
+
+def _delete_folders(rows: Iterator[Row]) -> None:
+    for r in rows:
+        system, folder = _file_system(r[0])
+        if system.get_file_info(folder).type == fs.FileType.Directory:
+            system.delete_dir(folder)
+
+
+def _delete_files(rows: Iterator[Row]) -> None:
+    for r in rows:
+        system, file = _file_system(r[0])
+        if system.get_file_info(file).type == fs.FileType.File:
+            system.delete_file(file)
+
+
 def retain(spark: SparkSession, path: str, cutoff: datetime, layout: Sequence[str] = HOURLY, time_col: str = "event_time") -> None:
     """Remove what is before the cutoff, exact to the microsecond, from a lake folder.
 
-    Folders wholly before it are deleted; only those that it divides are
-    written anew, from a copy of the rows they keep.  Run again it finds
-    nothing to do; one cut off midway goes on where it stopped.
+    Folders of earlier hours are known by their names, and tasks delete them;
+    only those of the cutoff's own hour are read, and written anew from a copy of
+    the rows they keep.  Run again it finds nothing to do; one cut off midway
+    goes on where it stopped.  Tasks reach the store through Arrow's file systems
+    (local, HDFS, S3, GCS, Azure).
     """
-    rows = read_lake(spark, path).withColumn("__folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
-    spans = rows.groupBy("__folder").agg(F.min(time_col).alias("first"), F.max(time_col).alias("last")).where(F.col("first") < F.lit(cutoff))
-    found = spans.withColumn("gone", F.col("last") < F.lit(cutoff)).select("__folder", "gone").collect()  # one row a folder
-    divided = [r["__folder"] for r in found if not r["gone"]]
-    if divided:
-        kept = stored(rows.where(F.col("__folder").isin(divided) & (F.col(time_col) >= F.lit(cutoff))).drop("__folder"), "kept")
-        write_lake(kept, path, layout, time_col, mode="overwrite")
-    for r in found:
-        if r["gone"]:
-            jvm = spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["__folder"]))  # file_path is encoded as a URI
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    at = F.struct(*[F.lit(x) for x in _slot(cutoff, layout)])
+    files = stored(lake_files(spark, path, layout).where(F.col("slot") <= at), "files")  # as they are before anything changes
+    divided = files.where(F.col("slot") == at).select("path")
+    if not divided.isEmpty():
+        rows = spark.read.option("basePath", path).parquet(f"{path}/{_slot_glob(cutoff, layout)}")
+        if not rows.where(F.col(time_col) < F.lit(cutoff)).isEmpty():
+            kept = stored(rows.where(F.col(time_col) >= F.lit(cutoff)), "kept")
+            write_lake(kept, path, layout, time_col, mode="overwrite")
+            divided.foreachPartition(_delete_files)  # those of folders that keep nothing are still there
+    files.where(F.col("slot") < at).select("folder").distinct().foreachPartition(_delete_folders)
+
+
+def _slot_glob(time: datetime, layout: Sequence[str]) -> str:
+    """The folders of a time, as a pattern."""
+    return "/".join(f"{c}={time.strftime(_FORMATS[c])}" if c in _FORMATS else f"{c}=*" for c in layout)
 
 
 def retention_split(rows: DataFrame, cutoff: Column, time_col: str = "event_time") -> DataFrame:

@@ -1,26 +1,21 @@
-"""The same operators over Structured Streaming: sources, closed windows, keyed history, keyed sinks.
+"""The same operators over Structured Streaming: sources, closed windows, duplicates, keyed sinks, and running queries.
 
-Replayed batches do no harm: every sink goes through a keyed insert.
+Replayed batches do no harm: every sink goes through a keyed insert, or through a folder of its batch (see sinks).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.anomaly import Detector
-from ..operators.conflict import ConflictRule, judge_windows
 from ..operators.upsert import insert_absent
 from ..operators.windows import Slide, page_activity
-from ..schemas import EDIT_KEY, WINDOW_KEY
+from ..schemas import EDIT_KEY
 
 Reader = Callable[[SparkSession], DataFrame]
 
@@ -51,30 +46,11 @@ def table_reader(path: str, schema: T.StructType, max_files: int | None = None)
     return read
 
 
-def check_ttl(slide: Slide, watermark_seconds: int, ttl_seconds: int) -> None:
-    """History must outlive a window and its watermark, else a live page could lose it."""
-    if ttl_seconds < slide.size + watermark_seconds:
-        raise ValueError(f"history ttl of {ttl_seconds} s is shorter than window plus watermark, {slide.size + watermark_seconds} s")
-
-
 def closed_windows(events: DataFrame, slide: Slide, watermark_seconds: int) -> DataFrame:
     """Each window once, when the watermark has passed its end (append mode)."""
     return page_activity(events.withWatermark("event_time", f"{watermark_seconds} seconds"), slide)
 
 
-def window_records(events: DataFrame, slide: Slide, watermark_seconds: int) -> DataFrame:
-    """Closed windows with their events, for conflicts: state holds what a window's page has."""
-    fields = ["event_id", "event_time", "page_id", "user", "is_revert", "revision_id", "revert_target_revision_id", "byte_length_delta"]
-    timed = events.withWatermark("event_time", f"{watermark_seconds} seconds")
-    grouped = timed.groupBy(slide.column().alias("window"), "wiki", "page_title").agg(F.collect_list(F.struct(*fields)).alias("records"))
-    return grouped.select("wiki", "page_title", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "records")
-
-
-def conflicts_of(closed: DataFrame, rule: ConflictRule = ConflictRule()) -> DataFrame:
-    """Edit wars of a batch of window_records."""
-    return judge_windows(closed.select(*WINDOW_KEY, F.inline("records")), rule)
-
-
 def dedupe(events: DataFrame, watermark_seconds: int) -> DataFrame:
     """Replayed events go, as far back as the watermark."""
     return events.withWatermark("event_time", f"{watermark_seconds} seconds").dropDuplicatesWithinWatermark(list(EDIT_KEY))
@@ -107,12 +83,7 @@ def keyed_append(path: str, keys: tuple[str, ...], time: str | None = None) -> C
     return write
 
 
-def conflict_sink(path: str, rule: ConflictRule = ConflictRule()) -> Callable[[DataFrame, int], None]:
-    append = keyed_append(path, WINDOW_KEY, "window_start")
-    return lambda batch, batch_id: append(conflicts_of(batch, rule), batch_id)
-
-
-def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, **trigger: Any):
+def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None, **trigger: Any):
     """The running query, in append mode, through foreachBatch or into Parquet files.
 
     ``trigger`` is one of Spark's, such as processingTime="30 seconds" for a
@@ -120,86 +91,12 @@ def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int],
     from which a query that is started again goes on.
     """
     out = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger or {"processingTime": "30 seconds"})
+    out = out.queryName(name) if name else out
     return (out.foreachBatch(write) if write else out.format("parquet").option("path", path)).start()
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None):
+def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None):
     """Process what is there and end."""
-    query = start(stream, checkpoint, write, path, availableNow=True)
+    query = start(stream, checkpoint, write, path, name, availableNow=True)
     query.awaitTermination()
     return query
-
-
-def progress_report(query) -> dict[str, float]:
-    """Of a query's batches so far: rows read and rows per second of the time they took; of its last one, the delay behind the newest event its watermark leaves, in seconds."""
-    batches = [p for p in query.recentProgress]
-    rows = sum(p["numInputRows"] for p in batches)
-    seconds = sum(p["durationMs"].get("triggerExecution", 0) for p in batches) / 1000
-    times = batches[-1].get("eventTime", {}) if batches else {}
-    stamp = lambda name: pd.Timestamp(times[name]).timestamp() if name in times else None
-    behind = stamp("max") - stamp("watermark") if stamp("max") is not None and stamp("watermark") is not None else None
-    return {"rows": rows, "batches": len(batches), "rows_per_second": rows / seconds if seconds else 0.0, "behind_seconds": behind}
-
-
-ANOMALY_SCHEMA = T.StructType([
-    T.StructField("wiki", T.StringType()), T.StructField("page_title", T.StringType()), T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()), T.StructField("edit_count", T.LongType()), T.StructField("anomaly_type", T.StringType()),
-    T.StructField("anomaly_score", T.DoubleType()), T.StructField("threshold_used", T.DoubleType()),
-])
-
-
-class PageHistory(StatefulProcessor):
-    """A page's last window counts; windows of one batch are taken in the order of time.
-
-    A gap of at least the detector's ttl between window starts empties it.  State is a few hundred bytes a page.
-    """
-
-    def __init__(self, detector: Detector):
-        self.detector = detector
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("history", "counts array<double>, last long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        d = self.detector
-        found = self.state.get() if self.state.exists() else None
-        counts, last = (list(found[0]), found[1]) if found else ([], None)
-        windows = pd.concat(list(rows)).sort_values("window_start")
-        out = []
-        for w in windows.itertuples(index=False):
-            at = int(pd.Timestamp(w.window_start).timestamp())
-            if d.ttl_seconds is not None and last is not None and at - last >= d.ttl_seconds:
-                counts = []
-            n = float(w.edit_count)
-            if len(counts) < d.min_history:
-                kind, score, limit = ("count_fallback" if n >= d.fallback_count else "none"), n, float(d.fallback_count)
-            else:
-                median = float(np.median(counts))
-                score = 0.6745 * (n - median) / max(float(np.median(np.abs(np.array(counts) - median))), d.mad_floor)
-                kind, limit = ("median_mad" if score >= d.threshold else "none"), d.threshold
-            if kind != "none":
-                out.append((key[0], key[1], w.window_start, w.window_end, int(n), kind, score, limit))
-            counts, last = [*counts, n][-d.history :], at
-        self.state.update((counts, last))
-        yield pd.DataFrame(out, columns=ANOMALY_SCHEMA.names)
-
-    def close(self) -> None:
-        pass
-
-
-def stream_anomalies(events: DataFrame, slide: Slide, watermark_seconds: int, detector: Detector) -> DataFrame:
-    """Anomalies of closed windows.  Needs the RocksDB state store."""
-    if detector.ttl_seconds is not None:
-        check_ttl(slide, watermark_seconds, detector.ttl_seconds)
-    windows = closed_windows(events, slide, watermark_seconds).select("wiki", "page_title", "window_start", "window_end", "edit_count")
-    return windows.groupBy("wiki", "page_title").transformWithStateInPandas(PageHistory(detector), ANOMALY_SCHEMA, "Append", "None")
-
-
-def batch_metrics(path: str, required: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that appends one row of counts per batch, keyed by its id."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        bad = F.count_if(F.greatest(*[F.col(c).isNull() for c in required]))
-        row = batch.agg(F.count(F.lit(1)).alias("rows"), bad.alias("rejected"), F.max("event_time").alias("last_event_time")).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        keyed_append(path, ("batch_id",))(row, batch_id)
-
-    return write

@@ -9,7 +9,7 @@ from editflow.operators.conflict import ConflictRule
 from editflow.operators.windows import Slide
 from editflow.plans import audit, reports
 from editflow.plans.reports import Filters
-from editflow.streaming import streams
+from editflow.streaming import monitor
 
 T0 = datetime(2024, 1, 1)
 EDIT = "event_id long, event_time timestamp, wiki string, page_title string, page_id long, user string, is_bot boolean, is_revert boolean, revision_id long, revert_target_revision_id long, byte_length_delta long, provenance_id string"
@@ -65,8 +65,10 @@ def test_false_anomalies_collapse_with_the_floor(spark):
 
 def test_mutual_reverts(spark):
     one = Slide(300, 300)
-    row = conflict.edit_wars(edits(spark, [(1, "A", 100, None, 5), (2, "B", 101, 100, -5), (3, "A", 102, 101, 5)]), one).collect()
-    assert [(r.mutual_revert_count, r.editor_a, r.editor_b, r.total_reverts, r.flag) for r in row] == [(2, "A", "B", 2, True)]
+    # three editors: mia and leo undo each other, once over an edit of neither, and zoe undoes leo alone
+    course = [(3, "leo", 41, None, 12), (20, "kim", 42, None, 3), (31, "mia", 43, 41, -12), (50, "zoe", 44, None, 9), (64, "leo", 45, 43, 12), (71, "zoe", 46, 45, -12), (90, "mia", 47, 45, -1)]
+    row = conflict.edit_wars(edits(spark, course), one).collect()
+    assert [(r.mutual_revert_count, r.editor_a, r.editor_b, r.total_reverts, r.flag) for r in row] == [(3, "leo", "mia", 4, True)]
     for rows in ([(1, "A", 100, None, 0), (2, "B", 101, 100, 0), (3, "B", 102, 100, 0)], [(1, "A", 100, None, 0), (2, "A", 101, 100, 0)], [(2, "B", 101, 999, 0)]):
         assert conflict.edit_wars(edits(spark, rows), one).count() == 0
     burst = conflict.edit_wars(edits(spark, [(i, f"u{i}", i, None, -1) for i in range(8)]), one, keep_all=True).first()
@@ -107,9 +109,9 @@ def test_upserts(spark):
 
 
 def test_ttl_guard():
-    streams.check_ttl(Slide(300, 60), 120, 420)
+    monitor.check_ttl(Slide(300, 60), 120, 420)
     with pytest.raises(ValueError):
-        streams.check_ttl(Slide(300, 60), 120, 419)
+        monitor.check_ttl(Slide(300, 60), 120, 419)
 
 
 def test_half_the_slide_makes_twice_the_windows(spark):

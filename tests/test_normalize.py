@@ -25,7 +25,7 @@ def routes(spark, *payloads, **options):
 
 def test_routes(spark):
     without = lambda *names: {k: v for k, v in GOOD.items() if k not in names}
-    got = routes(spark, GOOD, "{truncated", "[1]", without("type"), without("wiki"), without("wiki", "server_name"), without("title"), without("timestamp"), GOOD | {"timestamp": "not-a-timestamp"}, GOOD | {"type": "log"}, GOOD | {"namespace": 3}, None, "")
+    got = routes(spark, GOOD, "title=half", "[1]", without("type"), without("wiki"), without("wiki", "server_name"), without("title"), without("timestamp"), GOOD | {"timestamp": "half past nine"}, GOOD | {"type": "log"}, GOOD | {"namespace": 3}, None, "")
     assert got[0] == ("accepted", None, None)
     assert got[1][:2] == ("rejected", "json_decode")
     assert got[2][:2] == ("rejected", "normalize")

@@ -48,10 +48,8 @@ def test_replays_change_nothing(spark, feed, tmp_path):
 def test_duplicates_go_within_the_watermark_without_a_keyed_sink(spark, feed, tmp_path):
     out = str(tmp_path / "out")
     for rows in ([(1, 10), (1, 10), (2, 20)], [(2, 20), (3, 30)]):
-        query = feed(rows, lambda s: streams.dedupe(s, 600), out=out)
+        feed(rows, lambda s: streams.dedupe(s, 600), out=out)
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
-    report = streams.progress_report(query)
-    assert report["rows"] == 2 and report["batches"] >= 1 and report["rows_per_second"] > 0
 
 
 def test_triggers(spark, tmp_path):
@@ -67,36 +65,6 @@ def test_triggers(spark, tmp_path):
         query.stop()
 
 
-def test_a_kafka_reader_sets_its_options(monkeypatch):
-    class Rows:
-        def __init__(self):
-            self.set = {}
-
-        def format(self, name):
-            self.set["format"] = name
-            return self
-
-        def option(self, name, value):
-            self.set[name] = value
-            return self
-
-        def options(self, **more):
-            self.set |= more
-            return self
-
-        def load(self):
-            return self
-
-        def selectExpr(self, *columns):
-            return self
-
-    class Session:
-        readStream = Rows()
-
-    found = streams.kafka_reader("host:9092", "edits", "earliest", maxOffsetsPerTrigger="100")(Session()).set
-    assert found == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "edits", "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "100"}
-
-
 def test_kafka_reader_sets_its_options():
     """The connector isn't on the class path: a stand-in for the session notes what is asked of it."""
     asked = {}
