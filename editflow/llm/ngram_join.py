@@ -497,3 +497,40 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = sets.select("id", F.col("n").alias("n_shingles"))
     out = named.join(final, "id", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of the texts that links join, those of the one row with the smallest id.
+
+    Rows are told apart by id and text together.  A row whose id is its own goes by
+    it; rows that share an id, or have none, are numbered behind the largest id by a
+    hash of id and text, so that a text like no other stays whatever its id.  A row
+    with an id comes before one without; of rows with one id the smallest number
+    stays.  Rows that agree in both are one text and stay together.  Null and empty
+    texts link with nothing and stay.
+    """
+    names = docs.columns
+    ids = docs.select(F.col(id_col).cast("long").alias("__shared")).groupBy("__shared").agg(F.count(F.lit(1)).alias("__n"))
+    bounds = ids.agg(F.count_if((F.col("__n") > 1) | F.col("__shared").isNull()).alias("shared"), F.coalesce(F.max("__shared"), F.lit(0)).alias("top")).first()
+    own = F.col(id_col).cast("long")
+    if bounds["shared"]:
+        behind = max(bounds["top"], 0) + 1
+        room = (1 << 63) - 1 - behind
+        if room < 1 << 61:
+            raise ValueError("ids leave no room for numbers of rows that share one")
+        shared = settle(ids.where((F.col("__n") > 1) & F.col("__shared").isNotNull()).select("__shared"), "shared-ids")
+        number = F.lit(behind) + F.pmod(F.xxhash64(id_col, text_col), F.lit(room))
+        docs = docs.join(shared, F.col(id_col).cast("long") == F.col("__shared"), "left").withColumn("__row", F.when(F.col("__shared").isNotNull() | F.col(id_col).isNull(), number).otherwise(own))
+        # the rows' texts are read in several jobs: by their new numbers from one table
+        docs = settle(docs.drop("__shared"), "numbered")
+    else:
+        docs = docs.withColumn("__row", own)
+    found = similar_components(docs, "__row", text_col, k, percent)
+    if bounds["shared"]:
+        order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"))
+        rows = docs.select("__row", order.alias("o")).distinct().join(found.distinct(), "__row")
+        first = rows.groupBy("component_id").agg(F.min("o").alias("first"))
+        gone = rows.join(first, "component_id").where(F.col("o.row") != F.col("first.row")).select(F.col("__row").alias("__gone"))
+    else:
+        gone = found.where(F.col("__row") != F.col("component_id")).select(F.col("__row").alias("__gone"))
+    return docs.join(gone.hint("shuffle_hash"), docs["__row"] == F.col("__gone"), "left_anti").select(*names)
