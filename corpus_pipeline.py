@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.llm.exact_dedup import drop_exact_copies
-from editflow.llm.ngram_join import similar_components
+from editflow.llm.ngram_join import drop_near_copies
 from editflow.llm.packing import best_fit_packing
 from editflow.llm.quality_pu import fit_quality, keep_quality
 from editflow.llm.secret_scan import redact, scan_secrets
@@ -19,29 +19,28 @@ from editflow.llm.tables import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that score below 0.7 go."""
+    """Texts that score below 0.7 go, null and empty ones by the score of an empty text.  Each row is judged by its own text, whatever its id; repeated rows alike."""
     return keep_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.7)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
+    """Of equal texts, null and empty ones among them, the one with the smallest id stays; of rows that agree in both, one."""
     return drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays; rows without an id stay."""
-    found = similar_components(docs, k=5, percent=80)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("__gone"), "left_anti")
+    """Of texts linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays; rows that share an id, or have none, are judged each by its text."""
+    return drop_near_copies(docs, k=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in their texts; every row stays."""
-    return redact(docs, scan_secrets(docs))
+    """Secrets are replaced in the texts they were found in; every row stays.  Rows are known by id and text together, so that rows that share an id keep apart."""
+    row = F.xxhash64("doc_id", "text")
+    return redact(docs.withColumn("__row", row), scan_secrets(docs.withColumn("__row", row), id_col="__row"), id_col="__row").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens, each with its sequence and its place there."""
+    """Pieces of at most 2048 tokens, each with its sequence and its place there; rows are packed each, whatever their ids, null and empty texts as their end token."""
     return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
