@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from .tables import free_names
+
 #: Tasks that the rows of one group are spread over at least.
 SALTS = 16
 #: White space as the contract defines it.
@@ -73,9 +75,10 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     norm = normalised(F.col(text_col))
     hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
-    added = {"__hash": content_hash(norm), "__sha256": F.sha2(F.encode(norm, "UTF-8"), 256), "__id": F.struct(F.col(id_col).alias("id")), "__order": F.xxhash64(*hashed)}
+    digest, sha256, own, order, copy = free_names(docs, "__hash", "__sha256", "__id", "__order", "__copy")
+    added = {digest: content_hash(norm), sha256: F.sha2(F.encode(norm, "UTF-8"), 256), own: F.struct(F.col(id_col).alias("id")), order: F.xxhash64(*hashed)}
     rows = docs.withColumns(added)
-    once = rows.withColumn("__copy", F.row_number().over(Window.partitionBy("__hash", "__sha256", "__id").orderBy("__order"))).where("__copy = 1")
+    once = rows.withColumn(copy, F.row_number().over(Window.partitionBy(digest, sha256, own).orderBy(order))).where(F.col(copy) == 1)
     # a struct, since a null id inside it equals another
-    kept = exact_groups(docs, id_col, text_col).select(F.col("hash").alias("__hash"), F.col("text_sha256").alias("__sha256"), F.struct(F.col("keep_id").alias("id")).alias("__id"))
-    return once.join(kept.hint("shuffle_hash"), ["__hash", "__sha256", "__id"], "left_semi").select(*docs.columns)
+    kept = exact_groups(docs, id_col, text_col).select(F.col("hash").alias(digest), F.col("text_sha256").alias(sha256), F.struct(F.col("keep_id").alias("id")).alias(own))
+    return once.join(kept.hint("shuffle_hash"), [digest, sha256, own], "left_semi").select(*docs.columns)

@@ -177,10 +177,13 @@ def _spans(found: DataFrame, templates: list[Template], max_shift: int, max_gap:
     gap = F.col("first") - F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     part = part.withColumn("__cut", F.when(~F.col("base") & (gap > max_gap * F.col("chunks")), 1).otherwise(0))
     part = part.withColumn("__span", F.sum("__cut").over(by_place))
-    # the aligned votes of a span: the chain of runs, forwards in the text and in the template, with most of them
+    # the aligned votes of a span: the chain of runs, forwards in the text and in the template, with most of them.
+    # A chain that another one equals, ending no later in either, leads nowhere further and is let go, so that a notice
+    # which stands in a row a thousand times keeps as few chains as one
     run = F.struct("first", "last", (F.col("first") - F.col("diagonal")).alias("t_first"), (F.col("last") - F.col("diagonal")).alias("t_last"), F.bit_count("voted").cast("long").alias("votes"))
-    before = "coalesce(array_max(transform(filter(a, x -> x.last < r.first AND x.t_last < r.t_first), x -> x.best)), 0L)"
-    chain = f"array_max(transform(aggregate(sort_array(runs), cast(array() as array<struct<last:int,t_last:int,best:bigint>>), (a, r) -> array_append(a, named_struct('last', r.last, 't_last', r.t_last, 'best', r.votes + {before}))), x -> x.best))"
+    best = "r.votes + coalesce(array_max(transform(filter(a, x -> x.last < r.first AND x.t_last < r.t_first), x -> x.best)), 0L)"
+    kept = "if(exists(a, x -> x.last <= r.last AND x.t_last <= r.t_last AND x.best >= b), a, array_append(a, named_struct('last', r.last, 't_last', r.t_last, 'best', b)))"
+    chain = f"array_max(transform(aggregate(sort_array(runs), cast(array() as array<struct<last:int,t_last:int,best:bigint>>), (a, r) -> transform(array({best}), b -> {kept})[0]), x -> x.best))"
     spans = part.groupBy("id", "key", "template", "__group", "__span").agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.min("first").alias("start"), (F.max("last") + F.first("t_k")).alias("end"),
         F.collect_list(run).alias("runs"), F.first("grams").alias("grams"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .tables import forget, settle
+from .tables import forget, free_names, settle
 from .text import LOWER, Block, binary_column, blocks, mix, shingle_hashes, span_hashes, word_spans
 
 _U = np.uint64
@@ -510,27 +510,28 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts link with nothing and stay.
     """
     names = docs.columns
-    ids = docs.select(F.col(id_col).cast("long").alias("__shared")).groupBy("__shared").agg(F.count(F.lit(1)).alias("__n"))
-    bounds = ids.agg(F.count_if((F.col("__n") > 1) | F.col("__shared").isNull()).alias("shared"), F.coalesce(F.max("__shared"), F.lit(0)).alias("top")).first()
+    row, shared_id, gone_row = free_names(docs, "__row", "__shared", "__gone")
     own = F.col(id_col).cast("long")
+    ids = docs.select(own.alias(shared_id)).groupBy(shared_id).agg(F.count(F.lit(1)).alias("n"))
+    bounds = ids.agg(F.count_if((F.col("n") > 1) | F.col(shared_id).isNull()).alias("shared"), F.coalesce(F.max(shared_id), F.lit(0)).alias("top")).first()
     if bounds["shared"]:
         behind = max(bounds["top"], 0) + 1
         room = (1 << 63) - 1 - behind
         if room < 1 << 61:
             raise ValueError("ids leave no room for numbers of rows that share one")
-        shared = settle(ids.where((F.col("__n") > 1) & F.col("__shared").isNotNull()).select("__shared"), "shared-ids")
+        shared = settle(ids.where((F.col("n") > 1) & F.col(shared_id).isNotNull()).select(shared_id), "shared-ids")
         number = F.lit(behind) + F.pmod(F.xxhash64(id_col, text_col), F.lit(room))
-        docs = docs.join(shared, F.col(id_col).cast("long") == F.col("__shared"), "left").withColumn("__row", F.when(F.col("__shared").isNotNull() | F.col(id_col).isNull(), number).otherwise(own))
+        docs = docs.join(shared, own == F.col(shared_id), "left").withColumn(row, F.when(F.col(shared_id).isNotNull() | F.col(id_col).isNull(), number).otherwise(own))
         # the rows' texts are read in several jobs: by their new numbers from one table
-        docs = settle(docs.drop("__shared"), "numbered")
+        docs = settle(docs.drop(shared_id), "numbered")
     else:
-        docs = docs.withColumn("__row", own)
-    found = similar_components(docs, "__row", text_col, k, percent)
+        docs = docs.withColumn(row, own)
+    found = similar_components(docs, row, text_col, k, percent).withColumnRenamed(row, "row")
     if bounds["shared"]:
-        order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"))
-        rows = docs.select("__row", order.alias("o")).distinct().join(found.distinct(), "__row")
+        order = F.struct(F.col(id_col).isNull().alias("none"), own.alias("id"), F.col(row).alias("row"))
+        rows = docs.select(F.col(row).alias("row"), order.alias("o")).distinct().join(found.distinct(), "row")
         first = rows.groupBy("component_id").agg(F.min("o").alias("first"))
-        gone = rows.join(first, "component_id").where(F.col("o.row") != F.col("first.row")).select(F.col("__row").alias("__gone"))
+        gone = rows.join(first, "component_id").where(F.col("o.row") != F.col("first.row")).select(F.col("row").alias(gone_row))
     else:
-        gone = found.where(F.col("__row") != F.col("component_id")).select(F.col("__row").alias("__gone"))
-    return docs.join(gone.hint("shuffle_hash"), docs["__row"] == F.col("__gone"), "left_anti").select(*names)
+        gone = found.where(F.col("row") != F.col("component_id")).select(F.col("row").alias(gone_row))
+    return docs.join(gone.hint("shuffle_hash"), F.col(row) == F.col(gone_row), "left_anti").select(*names)

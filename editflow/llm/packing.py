@@ -375,7 +375,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_
     key_of = lambda length, rank: length << 44 | rank
     slots = spark.sparkContext.broadcast((key_of(table[:, 0], table[:, 1]), table))
 
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    # pieces without an id, or of one that many rows share, are spread by their contents
+    more = [c for c in ("start", "ids_crc32") if c in pieces.columns]
+    bucket = F.pmod(F.xxhash64(*keys, *more), F.lit(buckets)).cast("int")
     rows = pieces.withColumn("__bucket", bucket)
     before = rows.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = before.select(F.col("length").alias("__length"), F.col("__bucket").alias("__b"), (F.sum("__n").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("__n")).alias("__before"))

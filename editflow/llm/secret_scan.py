@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import settle
+from .tables import free_names, settle
 
 #: Bound of the labelled findings that the forest is trained on.
 MAX_LABELLED = 20_000
@@ -41,45 +41,66 @@ KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _SYMBOLS = 28  # other, a-z, digit
 
-#: What the forest sees.
-FEATURES = (
-    "length", "digit_share", "upper_share", "hex_only", "distinct_share", "kind_switches", "case_switches", "symbol_share",
-    "transition", "dictionary", "path_depth", "path_sample", "named_far", "quoted", "word_before", "word_after",
-)
+#: What the forest sees: length, make-up, transitions, dictionary, path and neighbouring words.
+FEATURES = ("length", "distinct_share", "case_switches", "symbol_share", "transition", "dictionary", "path_depth", "path_sample", "word_before", "word_after")
+#: Characters before and after a candidate that are looked at.
+_BEFORE, _AFTER = 60, 40
+#: Pieces of a text, matches and what lies between them, that hold so many characters: no match is shorter than five.
+_NEAR = 26
 
 
-def _placed(matches: str) -> Column:
-    """Array of (secret, at) for a column of the matches of one pattern, with their places in text from 1.
+def _placed(pattern: str) -> Column:
+    """Array of (secret, at, before, after): the matches of a pattern in column text, with their places from 1 and what stands beside them.
 
-    Matches don't overlap, so each is the first place of its string behind the one before.
+    The text is split once at the matches.  A place is the sum of the lengths
+    before it: of whole blocks of pieces, and of the pieces of its own block, so
+    that a text with very many matches takes little more than linear time.
     """
-    step = "(a, c) -> named_struct('p', locate(c, text, a.p) + length(c), 'o', array_append(a.o, named_struct('secret', c, 'at', locate(c, text, a.p))))"
-    return F.expr(f"aggregate({matches}, named_struct('p', 1, 'o', cast(array() as array<struct<secret:string,at:int>>)), {step}, a -> a.o)")
+    quoted = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    block = 256
+    # each step binds its arrays once, as the one element of an array
+    pieces = f"""transform(array(struct(split(text, {quoted}, -1) AS gaps, regexp_extract_all(text, {quoted}, 0) AS matches)),
+        s -> flatten(transform(s.gaps, (g, i) -> if(i < size(s.matches), array(g, s.matches[i]), array(g)))))"""
+    sized = f"transform({pieces}, p -> struct(p AS p, transform(p, x -> length(x)) AS l, transform(p, x -> right(x, {_BEFORE})) AS ends, transform(p, x -> left(x, {_AFTER})) AS starts))"
+    sums = f"transform(sequence(0, (size(s.l) - 1) div {block}), b -> aggregate(slice(s.l, {block} * b + 1, {block}), 0, (t, x) -> t + x))"
+    before = "aggregate(s.sums, array(0), (a, x) -> array_append(a, element_at(a, -1) + x))"
+    blocked = f"transform(transform({sized}, s -> struct(s.p, s.l, s.ends, s.starts, {sums} AS sums)), s -> struct(s.p, s.l, s.ends, s.starts, {before} AS sums))"
+    piece = f"""transform(filter(sequence(0, size(s.p) - 1), k -> k % 2 = 1), k -> struct(s.p[k] AS secret,
+        1 + s.sums[k div {block}] + aggregate(slice(s.l, {block} * (k div {block}) + 1, k % {block}), 0, (t, x) -> t + x) AS at,
+        right(array_join(slice(s.ends, greatest(1, k - {_NEAR - 1}), least({_NEAR}, k)), ''), {_BEFORE}) AS before,
+        left(array_join(slice(s.starts, k + 2, {_NEAR}), ''), {_AFTER}) AS after))"""
+    return F.expr(f"transform({blocked}, s -> {piece})[0]")
 
 
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """Rows (id, path, start, secret, before, after): every candidate of every whole text, start in characters from 0.
+    """Rows (id, text_hash, path, start, secret, before, after): every candidate of every whole text, start in characters from 0.
 
-    A candidate inside another one is a row too; what two patterns find alike is one.
+    A candidate inside another one is a row too; what two patterns find alike is
+    one.  text_hash tells texts of one id apart.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    patterns = {"__runs": CANDIDATE, "__dotted": DOTTED, "__named": NAMED}
     text = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"))
-    found = text.withColumns({name: F.regexp_extract_all(F.col("text"), F.lit(p), F.lit(0)) for name, p in patterns.items()})
-    found = found.where((F.size("__runs") > 0) | (F.size("__dotted") > 0) | (F.size("__named") > 0))
+    found = text.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED) | F.col("text").rlike(DOTTED))
+    found = found.select("id", F.xxhash64("text").alias("text_hash"), "path", _placed(CANDIDATE).alias("__runs"), _placed(DOTTED).alias("__dotted"), _placed(NAMED).alias("__named"))
 
     def value(m: Column) -> Column:
         """The value of an assignment without its quotes; what is left out before it moves its place."""
         raw = F.regexp_replace(m["secret"], "^" + _ASSIGN, "")
         bare = F.regexp_replace(raw, r"""^(["'`])(.*)\1$""", "$2")
-        quote = F.when(F.length(bare) < F.length(raw), 1).otherwise(0)
-        return F.struct(bare.alias("secret"), (m["at"] + F.length(m["secret"]) - F.length(raw) + quote).alias("at"))
-
-    every = F.array_distinct(F.concat(_placed("__runs"), _placed("__dotted"), F.transform(_placed("__named"), value)))
-    each = found.select("id", "path", "text", F.explode(every).alias("x"))
-    at, secret = F.col("x.at"), F.col("x.secret")
-    before = F.substring(F.col("text"), F.greatest(at - 60, F.lit(1)), F.least(at - 1, F.lit(60)))
-    return each.select("id", "path", (at - 1).cast("long").alias("start"), secret.alias("secret"), before.alias("before"), F.substring(F.col("text"), at + F.length(secret), F.lit(40)).alias("after"))
+        skipped = F.length(m["secret"]) - F.length(raw) + F.when(F.length(bare) < F.length(raw), 1).otherwise(0)
+        before = F.right(F.concat(m["before"], F.left(m["secret"], skipped)), F.lit(_BEFORE))
+        after = F.left(F.concat(F.substr(m["secret"], skipped + F.length(bare) + 1), m["after"]), F.lit(_AFTER))
+        return F.struct(bare.alias("secret"), (m["at"] + skipped).alias("at"), before.alias("before"), after.alias("after"))
+
+    # as texts, equal ones are found by their hashes: place, lengths, and the three strings
+    packed = lambda m: F.concat(F.concat_ws(" ", m["at"].cast("string"), F.length(m["secret"]).cast("string"), F.length(m["before"]).cast("string")), F.lit(" "), m["secret"], m["before"], m["after"])
+    every = F.array_distinct(F.concat(F.transform("__runs", packed), F.transform("__dotted", packed), F.transform(F.transform("__named", value), packed)))
+    each = found.select("id", "text_hash", "path", F.explode(every).alias("x"))
+    number = lambda i: F.split_part("x", F.lit(" "), F.lit(i)).cast("int")
+    each = each.select("id", "text_hash", "path", number(1).alias("at"), number(2).alias("n"), number(3).alias("b"), F.substr("x", F.length(F.substring_index("x", " ", 3)) + 2).alias("x"))
+    return each.select(
+        "id", "text_hash", "path", (F.col("at") - 1).cast("long").alias("start"), F.left("x", F.col("n")).alias("secret"), F.substr("x", F.col("n") + 1, F.col("b")).alias("before"), F.substr("x", F.col("n") + F.col("b") + 1).alias("after")
+    )
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -127,22 +148,16 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     last_word = F.regexp_extract("before", r"([A-Za-z_\-]+)\W*$", 1)
     rows = found.withColumns({
         "length": n,
-        "digit_share": share("[0-9]"),
-        "upper_share": share("[A-Z]"),
-        "hex_only": secret.rlike("^[0-9a-fA-F]+$").cast("double"),
         "digits_only": secret.rlike("^[0-9_/+-]+$").cast("double"),
         "letters_only": secret.rlike("^[A-Za-z_/+-]+$").cast("double"),
         "symbol_share": share("[^A-Za-z0-9]"),
         "distinct_share": F.size(F.array_distinct(F.split(secret, ""))) / n,
-        "kind_switches": share("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"),
         "case_switches": share("[a-z](?=[A-Z])"),
         "transition": F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0))) / n,
         "path_depth": F.regexp_count("path", F.lit("/")).cast("double"),
         "path_sample": F.col("path").rlike(SAMPLE_PATHS).cast("double"),
         "named": last_word.rlike(SECRET_NAMES).cast("double"),
-        "named_far": F.col("before").rlike(SECRET_NAMES).cast("double"),
         "assigned": F.col("before").rlike(r"""[=:]>?\s*(?i:(?:bearer|basic)\s+)?["'`]?$""").cast("double"),
-        "quoted": F.col("before").rlike(r"""["'`]$""").cast("double"),
         "word_before": F.length(last_word).cast("double"),
         "word_after": F.length(F.regexp_extract("after", r"^\W*([A-Za-z]+)", 1)).cast("double"),
     })
@@ -155,13 +170,14 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 def seed_labels(described: DataFrame) -> Column:
     """1 for findings in a known format or assigned to a secret's name, 0 for words and plain numbers, null for the rest.
 
-    A short number that is assigned is more often a count than a secret.  What
-    these labels are made of, the name and the sign beside a finding and whether
-    it is all letters or all digits, is not among FEATURES, so that the forest
-    must tell secrets by their make-up, transitions, dictionary and place.
+    A short number that is assigned is more often a count than a secret.  The
+    names and signs that these labels go by, quotes, and shares and switches of
+    digits, letters and cases to digits are not among FEATURES: the forest must tell
+    secrets by length, make-up, transitions, dictionary and place.  What it can't be
+    kept from is that transitions of a secret with digits cost more.
     """
     short_number = (F.col("length") < 16) & ~F.col("secret").rlike("[A-Za-z]")
-    clear = F.col("secret").rlike(KNOWN_FORMATS) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0) & (F.col("path_sample") == 0) & ~short_number)
+    clear = F.col("secret").rlike(KNOWN_FORMATS) | ((F.col("named") == 1) & (F.col("assigned") == 1) & F.col("secret").rlike("[0-9]") & ~short_number)
     harmless = (F.col("letters_only") == 1) | (F.col("digits_only") == 1)
     return F.when(clear, 1.0).when(harmless, 0.0)
 
@@ -201,7 +217,7 @@ def fit_forest(described: DataFrame, label: Column, trees: int = 24, depth: int
 
 
 def scan_secrets(docs: DataFrame, model: SecretModel | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
-    """Rows (id_col, start, secret, path, probability, is_secret): every candidate of docs, judged.
+    """Rows (id_col, start, secret, path, probability, is_secret, text_hash): every candidate of docs, judged.
 
     start counts characters from 0.  Without a model one is trained on the seed
     labels of these findings.  Null and empty texts have no findings; repeated
@@ -216,26 +232,33 @@ def scan_secrets(docs: DataFrame, model: SecretModel | None = None, id_col: str
         described = settle(described, "findings")
         model = fit_forest(described, seed_labels(described))
     judged = model.probability(described)
-    return judged.select(F.col("id").alias(id_col), "start", "secret", "path", "probability", (F.col("probability") >= threshold).alias("is_secret"))
+    return judged.select(F.col("id").alias(id_col), "start", "secret", "path", "probability", (F.col("probability") >= threshold).alias("is_secret"), "text_hash")
 
 
 def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars", mark: str = "[secret]") -> DataFrame:
     """The rows of docs, all of them, with each secret of their findings replaced in the text by mark.
 
-    Secrets of 16 characters and more go wherever they stand, shorter ones where
+    A row's findings are those of its id and, where findings have text_hash, its
+    text: rows that share an id, or have none, keep apart, and repeated rows are
+    changed alike.  Null and empty texts stay as they are; of secrets that overlap
+    the longer goes first.  Secrets of 16 characters and more go wherever they stand, shorter ones where
     they are assigned to a secret's name, since they may be words elsewhere.
     count_col, if docs has it, is set to the new length of changed texts.
     """
-    per_doc = findings.where("is_secret").groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("secret").alias("__secrets"))
-    joined = docs.join(per_doc.hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("__id")), "left")
-    longest_first = F.sort_array(F.transform("__secrets", lambda s: F.struct((-F.length(s)).alias("k"), s.alias("s"))))
+    by_text = "text_hash" in findings.columns
+    of_id, of_text, secrets = free_names(docs, "__id", "__of", "__secrets")
+    keys = [F.col(id_col).alias(of_id), *([F.col("text_hash").alias(of_text)] if by_text else [])]
+    per_doc = findings.where("is_secret").groupBy(*keys).agg(F.collect_set("secret").alias(secrets))
+    same = F.col(id_col).eqNullSafe(F.col(of_id))
+    joined = docs.join(per_doc.hint("shuffle_hash"), same & (F.xxhash64(F.col(text_col)) == F.col(of_text)) if by_text else same, "left")
+    longest_first = F.sort_array(F.transform(secrets, lambda s: F.struct((-F.length(s)).alias("k"), s.alias("s"))))
     literal = lambda s: F.concat(F.lit(r"\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     assigned = lambda s: F.concat(F.lit("(" + _ASSIGN + """["'`]?)"""), literal(s), F.lit("""(?=["'`]|""" + _CLOSING + ")"))
     in_place = "$1" + mark.replace("\\", "\\\\").replace("$", "\\$")
     without = lambda t, s: F.when(F.length(s["s"]) >= 16, F.replace(t, s["s"], F.lit(mark))).otherwise(F.regexp_replace(t, assigned(s["s"]), F.lit(in_place)))
-    text = F.when(F.col("__secrets").isNull(), F.col(text_col)).otherwise(F.aggregate(longest_first, F.col(text_col), without))
+    text = F.when(F.col(secrets).isNull(), F.col(text_col)).otherwise(F.aggregate(longest_first, F.col(text_col), without))
     columns = {text_col: text}
     out = joined.withColumns(columns)
     if count_col and count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("__secrets").isNull(), F.col(count_col)).otherwise(F.length(text_col)).cast(docs.schema[count_col].dataType))
+        out = out.withColumn(count_col, F.when(F.col(secrets).isNull(), F.col(count_col)).otherwise(F.length(text_col)).cast(docs.schema[count_col].dataType))
     return out.select(*docs.columns)

@@ -17,6 +17,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it none of df's columns, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and return a reader of it.
 

@@ -703,3 +703,56 @@ def test_license_rows_that_share_an_id(spark):
     assert got == sorted(map(str, expected))
     spans = license_scan.license_spans(df, template).collect()
     assert sorted(str(r.doc_id) for r in spans) == ["2", "2", "4", "4", "None", "None"]
+
+
+def test_a_notice_that_stands_in_a_row(spark):
+    """The places of every repeat are found, and the work grows with their number and not with its square."""
+    words, n = "licensed under the apache license version 2 0 ", 20_000
+    r = license_scan.license_report(spark.createDataFrame([(1, words * n)], "doc_id long, text string")).first()
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.labels, r.score) == (8 * n, n, 3, 8 * n - 5, "apache", 1.0)
+
+
+def test_very_many_candidates_in_one_text(spark):
+    n = 30_000
+    text = " ".join(f"key{i:013d}Ab" for i in range(n)) + " pwd: q1"
+    found = secret_scan.find_candidates(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")).collect()
+    assert len(found) == n + 1 and all(text[r.start : r.start + len(r.secret)] == r.secret for r in found)
+    assert all(text[max(0, r.start - 60) : r.start] == r.before and text[r.start + len(r.secret) :][:40] == r.after for r in found[::97])
+
+
+def test_the_features_of_candidates_counted_plainly(spark):
+    """Length, make-up, transitions and dictionary coverage of every candidate, from the words of all texts."""
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    found, words = secret_scan.find_candidates(docs), secret_scan.dictionary(docs)
+    texts = {r.text for r in docs.select("text").collect() if r.text}
+    counts = {}
+    for t in texts:
+        bare = t
+        for pattern in (secret_scan.NAMED, secret_scan.DOTTED, secret_scan.CANDIDATE):
+            bare = re.sub(pattern, " ", bare)
+        for w in {w for w in re.split("[^a-z]+", bare.lower()) if len(w) >= 3}:
+            counts[w] = counts.get(w, 0) + 1
+    assert {r.word: r.n for r in words.collect()} == counts
+    of_size = {}
+    for w, n in counts.items():
+        of_size[len(w)] = of_size.get(len(w), 0) + n
+    known = {w for w, n in counts.items() if n > 1 and n > secret_scan.ABOVE_CHANCE * of_size[len(w)] / 26 ** len(w)}
+    assert {r.word for r in words.where("known").collect()} == known
+    pairs, starts = {}, {}
+    for w, n in counts.items():
+        for a, b in zip(w, w[1:]):
+            pairs[a, b] = pairs.get((a, b), 0) + n
+            starts[a] = starts.get(a, 0) + n
+
+    def kind(c):
+        return c if "a" <= c <= "z" else "0" if c.isdigit() else ""
+
+    rows = secret_scan.describe(found, words).collect()
+    assert len(rows) > 20
+    for r in rows:
+        s, low = r.secret, [kind(c) for c in r.secret.lower()]
+        cost = sum(-math.log2((pairs.get((a, b), 0) + 0.5) / (starts.get(a, 0) + 14)) for a, b in zip(low, low[1:]))
+        covered = sum(len(w) for w in re.split("[^a-z]+", s.lower()) if w in known)
+        want = (len(s), len(set(s)) / len(s), len(re.findall("[a-z](?=[A-Z])", s)) / len(s), len(re.findall("[^A-Za-z0-9]", s)) / len(s), cost / len(s), covered / len(s))
+        assert np.allclose([r.length, r.distinct_share, r.case_switches, r.symbol_share, r.transition, r.dictionary], want)
