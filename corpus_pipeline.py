@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from editflow.llm.exact_dedup import drop_exact_copies
 from editflow.llm.ngram_join import drop_near_copies
@@ -34,9 +33,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts they were found in; every row stays.  Rows are known by id and text together, so that rows that share an id keep apart."""
-    row = F.xxhash64("doc_id", "text")
-    return redact(docs.withColumn("__row", row), scan_secrets(docs.withColumn("__row", row), id_col="__row"), id_col="__row").select(*docs.columns)
+    """Secrets are replaced in the texts they were found in; every row stays.  Findings are known by id and text together, so that rows that share an id keep apart."""
+    return redact(docs, scan_secrets(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
