@@ -356,6 +356,21 @@ def _q(spark, d):
     return _ended(spark, (path, rows.schema, [rows.unionByName(rows), again]), "deduped", lambda s: streams.dedupe(s, DELAY))
 
 
+@query("stream_resume", "SELECT event_id, us AS event_time FROM edits")
+def _q(spark, d):
+    """A service with a trigger, stopped and started again: the plain sink has every edit once if the second query goes on from the first one's checkpoint."""
+    path, schema, parts = _parts(spark, d)
+    out, checkpoint = new_folder(spark, "resumed"), new_folder(spark, "checkpoint")
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        service = streams.start(streams.table_reader(path, schema, max_files=2)(spark), checkpoint, path=out, processingTime="100 milliseconds")
+        try:
+            service.processAllAvailable()
+        finally:
+            service.stop()
+    return streams.table_or_empty(spark, out, schema).select("event_id", "event_time")
+
+
 @query("sink_raw_events", "SELECT event_id, us AS event_time, wiki FROM edits")
 def _q(spark, d):
     path, schema, parts = _parts(spark, d)

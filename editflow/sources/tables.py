@@ -12,6 +12,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder of spark.checkpoint.dir; only where that is unset (tests), in a temporary one.  It goes when the session's file system closes."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

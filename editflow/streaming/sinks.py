@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 _COMMITS = "_commits"
 
@@ -21,15 +20,25 @@ def _folder(root: str, name: str, batch_id: int) -> str:
     return f"{root}/{name}/batch={batch_id}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def _commit(spark: SparkSession, root: str, batch_id: int) -> None:
-    spark.range(1).select(F.current_timestamp().alias("committed_at")).coalesce(1).write.mode("overwrite").parquet(_folder(root, _COMMITS, batch_id))
+    """Note that a batch is whole.  Batches come one after the other, so the newest note stands for all before it."""
+    system, where = _file_system(spark, f"{root}/{_COMMITS}/{batch_id}")
+    system.create(where, True).close()
+    for status in system.listStatus(where.getParent()):
+        if status.getPath().getName().isdigit() and int(status.getPath().getName()) < batch_id:
+            system.delete(status.getPath(), False)
 
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.option("basePath", f"{root}/{_COMMITS}").parquet(f"{root}/{_COMMITS}/batch=*").select(F.col("batch").cast("long").alias("batch"))
-    except AnalysisException:
-        return None
+def last_committed(spark: SparkSession, root: str) -> int | None:
+    """The newest batch that is whole, or None before the first."""
+    system, where = _file_system(spark, f"{root}/{_COMMITS}")
+    names = [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
+    return max((int(n) for n in names if n.isdigit()), default=None)
 
 
 def tables_sink(root: str, tables: dict[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
@@ -49,12 +58,12 @@ def tables_sink(root: str, tables: dict[str, Callable[[DataFrame], DataFrame]])
 
 def read_committed(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
     """A table's rows of committed batches, with their batch; without any, no rows."""
-    commits = _commits(spark, root)
+    last = last_committed(spark, root)
     whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    if commits is None:
+    if last is None:
         return spark.createDataFrame([], whole)
     rows = spark.read.schema(whole).option("basePath", f"{root}/{name}").parquet(f"{root}/{name}/batch=*")
-    return rows.join(commits, "batch", "left_semi").select(*whole.names)
+    return rows.where(F.col("batch") <= last)  # folders of other batches aren't read
 
 
 def topic_sink(root: str, partitions: int, order: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
@@ -69,17 +78,32 @@ def topic_sink(root: str, partitions: int, order: tuple[str, ...]) -> Callable[[
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         partition = F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int")
-        have = read_topic(spark, root).where(F.col("batch") < batch_id)
-        ends = have.groupBy("partition").agg(F.max("offset").alias("__end"))  # a row a partition
+        ends = _ends_before(spark, root, batch_id)
         in_order = Window.partitionBy("partition").orderBy(*order, "value")
         placed = batch.withColumn("partition", partition).withColumn("__n", F.row_number().over(in_order))
-        rows = placed.join(F.broadcast(ends.limit(partitions)), "partition", "left").withColumn("offset", F.coalesce(F.col("__end") + 1, F.lit(0)) + F.col("__n") - 1)
+        rows = placed.join(F.broadcast(ends.limit(partitions)), "partition", "left").withColumn("offset", F.coalesce("end", F.lit(0)) + F.col("__n") - 1)
         rows.select("partition", F.col("offset").cast("long").alias("offset"), "key", "value").sortWithinPartitions("partition", "offset").write.mode("overwrite").partitionBy("partition").parquet(_folder(root, "topic", batch_id))
+        new = spark.read.schema("partition int, offset long").parquet(_folder(root, "topic", batch_id)).select("partition", (F.col("offset") + 1).alias("end"))
+        new.unionByName(ends).groupBy("partition").agg(F.max("end").alias("end")).coalesce(1).write.mode("overwrite").parquet(_folder(root, "_ends", batch_id))
         _commit(spark, root, batch_id)
 
     return write
 
 
+def _ends_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """Rows (partition, end): the offset that each partition's next message takes, as the batch before has left it; a row a partition."""
+    system, where = _file_system(spark, f"{root}/_ends")
+    have = [int(s.getPath().getName().removeprefix("batch=")) for s in system.listStatus(where)] if system.exists(where) else []
+    last = last_committed(spark, root)
+    before = max((b for b in have if b < batch_id and last is not None and b <= last), default=None)
+    if before is None:
+        return spark.createDataFrame([], "partition int, end long")
+    for old in sorted(have):
+        if old < before - 1:  # a replay needs those of the batch before its own
+            system.delete(_file_system(spark, _folder(root, "_ends", old))[1], True)
+    return spark.read.schema("partition int, end long").parquet(_folder(root, "_ends", before))
+
+
 def read_topic(spark: SparkSession, root: str) -> DataFrame:
     """The committed messages of a topic: partition, offset, key, value and their batch."""
     fields = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("value", T.StringType())]
