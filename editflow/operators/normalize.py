@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expressions as X
 from ..schemas import CANONICAL, RAW, REQUIRED
 
 IGNORED_TYPES = ["log", "categorize"]
+_CORRUPT = "__corrupt"
 
 
 def _filled(c: Column) -> Column:
@@ -16,9 +18,18 @@ def _filled(c: Column) -> Column:
 
 
 def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """The rows of messages with `raw`, `is_json` and `is_object`."""
+    """The rows of messages with `raw`, `is_json` and `is_object`.
+
+    A message that parses as an object of the expected fields is parsed once;
+    what is wrong with others is found by looking at them again.
+    """
     value = F.col(value_col)
-    return messages.withColumns({"raw": F.from_json(value, RAW), "is_json": F.try_parse_json(value).isNotNull(), "is_object": F.json_object_keys(value).isNotNull()})
+    schema = T.StructType([*RAW.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(value, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    sound = F.coalesce(F.col("raw").isNotNull() & F.col(f"raw.{_CORRUPT}").isNull() & F.startswith(F.ltrim(value), F.lit("{")), F.lit(False))
+    rows = messages.withColumn("raw", parsed)
+    rows = rows.withColumns({"is_json": sound | F.when(~sound, F.try_parse_json(value).isNotNull()), "is_object": sound | F.when(~sound, F.json_object_keys(value).isNotNull())})
+    return rows.withColumn("raw", F.col("raw").dropFields(_CORRUPT))
 
 
 def ignored(raw: Column, wikis: list[str] | None = None) -> Column:

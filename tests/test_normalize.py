@@ -90,3 +90,20 @@ def test_probability(spark):
     texts = ['{"output": {"probability": {"true": 0.9, "false": 0.1}}}', '{"output": {"probability": {"b": 0.2, "a": 0.4}}}', '{"output": {}}', "x", None]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(X.probability(F.col("t")).alias("p")).collect()
     assert [r.p for r in got] == [0.9, 0.4, None, None, None]
+
+
+def test_what_is_json_and_what_is_an_object(spark):
+    """As a full parse of each message says, whatever its form."""
+    values = [
+        '{"title": "A"}', '  {"title": "A"}', '\n{"title": 5}', '[{"title": "A"}]', "[]", "[1, 2]", "null", "7", '"text"', "true", "", "   ", None, "{", '{"title": }', '{"title": "A"} tail',
+        '{"namespace": "many"}', '{"namespace": 1.5}', '{"length": 3}', '{"length": {"old": "x"}}', '{"tags": "a"}', '{"meta": []}', "{}", '{"a": {"b": [1]}}',
+    ]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    got = {r.i: (r.is_json, r.is_object) for r in normalize.decode(rows).collect()}
+    plain = rows.select("i", F.try_parse_json("value").isNotNull().alias("json"), F.json_object_keys("value").isNotNull().alias("object"))
+    assert got == {r.i: (r.json, r.object) for r in plain.collect()}
+    raw = {r.i: r.raw for r in normalize.decode(rows).collect()}
+    assert raw[0].title == raw[1].title == "A" and raw[2].title == "5" and raw[16].namespace is None
+    # of fields of one name the last counts
+    twice = normalize.decode(spark.createDataFrame([('{"title": "A", "title": "B"}',)], "value string")).first()
+    assert (twice.is_json, twice.is_object, twice.raw.title) == (True, True, "B")
