@@ -14,8 +14,9 @@ among the pieces of their length.
 from __future__ import annotations
 
 import json
+import logging
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,8 @@ from .pretokens import PieceIds, encode_block
 from .tables import settle
 from .text import blocks
 
+#: Steps of the search for a plan, some seconds.
+WORK = 4_000_000
 _encoders: dict[str, PieceIds] = {}
 
 
@@ -309,7 +312,7 @@ def _scaled(have: dict[int, int], capacity: int, factor: int, work: int) -> tupl
     return [Filling(f.times * factor, f.lengths) for f in few.fillings] + rest.fillings, few.sequences * factor + rest.sequences
 
 
-def plan_packing(counts: dict[int, int], capacity: int, work: int = 4_000_000) -> Plan:
+def plan_packing(counts: dict[int, int], capacity: int, work: int = WORK) -> Plan:
     """The fewest sequences that hold every length as often as counts says.
 
     Best-fit plans come first, one that repeats a filling as long as it lasts
@@ -344,18 +347,29 @@ def plan_packing(counts: dict[int, int], capacity: int, work: int = 4_000_000) -
     return Plan(best, size, least, proven)
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_id", "piece"), rows_per_bucket: int = 4096) -> DataFrame:
+def _log_gap(plan: Plan) -> None:
+    if plan.sequences > plan.least and not plan.proven:
+        logging.getLogger(__name__).warning("%d sequences, where there are %d at least: not proven to be the fewest", plan.sequences, plan.least)
+
+
+def pack(
+    pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_id", "piece"), rows_per_bucket: int = 4096, work: int = WORK, report: Callable[[Plan], None] = _log_gap
+) -> DataFrame:
     """The rows of pieces with sequence_id and offset: whole sequences of at most capacity tokens, without gaps.
 
     ``length`` says how long a piece is.  Pieces are numbered within their
     length in buckets by a hash of ``keys``, so that a length that most pieces
     have is spread over many tasks; what reaches the driver is the number of
     pieces by length and, for each bucket, nothing.  Rows that agree in keys
-    are pieces like any others.
+    are pieces like any others.  ``work`` bounds the search for a plan, and
+    ``report`` gets the plan: how many sequences it has, how many there are at
+    least, and whether it is proven to be the best; by default a gap is logged.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    plan = plan_packing(counts, capacity).fillings
+    found = plan_packing(counts, capacity, work)
+    report(found)
+    plan = found.fillings
     buckets = max(1, sum(counts.values()) // rows_per_bucket)
 
     # for each length, the ranges of ranks that a filling takes: key, first rank, per sequence, first sequence, place
@@ -401,12 +415,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, keys: tuple[str, ...] = ("doc_
     return ranked.mapInArrow(place_rows, schema)
 
 
-def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Tokenise docs, cut, and pack: token_pieces with sequence_id and offset.
+def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, work: int = WORK, report: Callable[[Plan], None] = _log_gap) -> DataFrame:
+    """Tokenise docs, cut, and pack: token_pieces with sequence_id and offset; see pack for work and report.
 
     Null and empty texts are packed as their end token.  Repeated rows are
     packed each.  Extra columns are not read.  An empty table gives no rows.
     Texts are tokenised once, into a table that planning and placing read.
     """
     pieces = settle(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), "pieces")
-    return pack(pieces, capacity, (id_col, "piece"))
+    return pack(pieces, capacity, (id_col, "piece"), work=work, report=report)

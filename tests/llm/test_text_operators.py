@@ -756,3 +756,27 @@ def test_the_features_of_candidates_counted_plainly(spark):
         covered = sum(len(w) for w in re.split("[^a-z]+", s.lower()) if w in known)
         want = (len(s), len(set(s)) / len(s), len(re.findall("[a-z](?=[A-Z])", s)) / len(s), len(re.findall("[^A-Za-z0-9]", s)) / len(s), cost / len(s), covered / len(s))
         assert np.allclose([r.length, r.distinct_share, r.case_switches, r.symbol_share, r.transition, r.dictionary], want)
+
+
+def test_a_plan_reports_its_gap(spark, caplog):
+    """Six thirds and more of a sequence leave gaps that no search closes; without work the plan is unproven, and says so."""
+    sizes = [340, 341, 343, 347, 353, 359, 367, 373, 379, 383, 389, 397, 401, 409]
+    rows = spark.createDataFrame([(i, 0, n) for i, n in enumerate(sizes * 3)], "doc_id long, piece int, length long")
+    plans = []
+    packed = packing.pack(rows, 1000, report=plans.append)
+    assert packed.select("sequence_id").distinct().count() == plans[0].sequences >= plans[0].least
+    with caplog.at_level("WARNING"):
+        packing.pack(rows, 1000, work=1)
+    lazy = packing.plan_packing({n: 3 for n in sizes}, 1000, 1)
+    assert ("not proven" in caplog.text) == (lazy.sequences > lazy.least and not lazy.proven)
+
+
+def test_pieces_without_an_id_are_packed_each(spark):
+    docs = spark.createDataFrame([(None, "one two three")] * 5 + [(None, None), (1, "a"), (1, "a"), (1, "b")], "doc_id long, text string").withColumns({"sequence_id": F.lit(1), "length": F.lit("x"), "__bucket": F.lit(2)})
+    got = packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=16, end_id=0).collect()
+    assert len(got) == 9 and sorted((r.doc_id is None, r.length) for r in got) == sorted([(True, 4)] * 5 + [(True, 1)] + [(False, 2)] * 3)
+    rooms = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert rooms.get(r.sequence_id, 0) == r.offset
+        rooms[r.sequence_id] = r.offset + r.length
+    assert max(rooms.values()) <= 16 and len(rooms) == 2
