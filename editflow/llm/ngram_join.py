@@ -48,12 +48,14 @@ _CELLS_A_ROW = 1 << 12
 ID_BITS = 23
 #: Classes of tokens by hash.  Two sets share at most the sum of the smaller counts of each class.
 BARS = 256
-#: Texts of a block; a leader with more members is spread over several.
-BLOCK_TEXTS = 500
-#: Lists of up to so many texts are paired off.
-SMALL_LIST = 32
+#: Texts of a block, and their tokens; a leader with more members is spread over several.
+BLOCK_TEXTS, BLOCK_TOKENS = 500, 1 << 21
+#: Lists of up to so many texts are paired off, so that they make at most half as many times more pairs than they have rows.
+SMALL_LIST = 8
 #: Texts of a group that are compared with PART_TEXTS others in one task; larger groups are dealt to several.
 REST_TEXTS, PART_TEXTS = 512, 2048
+#: The same in tokens, which cut groups of long texts sooner.
+REST_TOKENS, PART_TOKENS = 1 << 20, 1 << 22
 #: Columns of the matrices that first tokens are compared by.  Two tokens in one column cost a comparison, no result.
 _COLUMNS = 2048
 _PROFILE = ("bars", "second", "third", "print")
@@ -257,14 +259,14 @@ def _named(docs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _within_bound(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows (a, b, lead, same): the pairs whose profiles allow a link.
+    """Rows (a, b, lead, same, n_a, n_b): the pairs whose profiles allow a link, with the sizes of their sets.
 
     They have enough tokens in common by bars, and a first token in common under
     each of the other orders; same says that the sets are equal.
     """
-    profiles = _named(profiles.select("id", *_PROFILE), pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    profiles = _named(profiles.select("id", "n", *_PROFILE), pairs.select(F.explode(F.array("a", "b")).alias("id")))
     for side in ("a", "b"):
-        mine = profiles.select(F.col("id").alias(f"__{side}"), *(F.col(f).alias(f"{f}_{side}") for f in _PROFILE))
+        mine = profiles.select(F.col("id").alias(f"__{side}"), *(F.col(f).alias(f"{f}_{side}") for f in ("n", *_PROFILE)))
         pairs = pairs.join(mine, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
 
     def may_link(x: list[np.ndarray], y: list[np.ndarray]) -> bool:
@@ -279,19 +281,26 @@ def _within_bound(pairs: DataFrame, profiles: DataFrame, num: int, den: int) ->
             sides = [[[np.frombuffer(v, kind) for v in batch.column(f"{f}_{s}").to_pylist()] for f, kind in zip(_PROFILE, (np.uint8, "<u2", "<u2"))] for s in ("a", "b")]
             keep = pa.array([may_link([c[i] for c in sides[0]], [c[i] for c in sides[1]]) for i in range(batch.num_rows)], pa.bool_())
             same = pc.equal(batch.column("print_a"), batch.column("print_b"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "lead")), same], names=["a", "b", "lead", "same"]).filter(keep)
+            a, b, lead, n_a, n_b = (batch.column(c) for c in ("a", "b", "lead", "n_a", "n_b"))
+            yield pa.RecordBatch.from_arrays([a, b, lead, same, n_a, n_b], names=["a", "b", "lead", "same", "n_a", "n_b"]).filter(keep)
 
-    return pairs.mapInArrow(bound, "a long, b long, lead long, same boolean").distinct()
+    return pairs.mapInArrow(bound, "a long, b long, lead long, same boolean, n_a long, n_b long").distinct()
+
+
+def _loads(texts: int, tokens: int | None) -> int:
+    """How many blocks of BLOCK_TEXTS and BLOCK_TOKENS there are to be, at least one."""
+    return max(1, texts // BLOCK_TEXTS, (tokens or 0) // BLOCK_TOKENS)
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Rows (u, v): the pairs (a, b, lead) that link.  Unless their sets are equal they are compared in blocks that get each of their texts once."""
     able = settle(_within_bound(pairs, profiles, num, den), "pairs")
     pairs = able.where(~F.col("same"))
-    members = settle(pairs.select("lead", F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
-    total = members.count()
-    parts = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("g")).where(F.col("g") > 1)
-    buckets = F.lit(max(1, total // BLOCK_TEXTS))
+    ends = F.explode(F.array(*(F.struct(F.col(s).alias("id"), F.col(f"n_{s}").alias("n")) for s in ("a", "b"))))
+    members = settle(pairs.select("lead", ends.alias("end")).select("lead", "end.*").distinct(), "members")
+    total = members.agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("tokens")).first()
+    parts = members.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_TOKENS)).alias("g")).where(F.col("g") > 1)
+    buckets = F.lit(_loads(*total))
     half = lambda side: F.pmod(F.xxhash64(side), F.coalesce("g", F.lit(1)))
     placed = pairs.join(parts, "lead", "left").select("a", "b", F.pmod(F.xxhash64("lead", half("a"), half("b")), buckets).cast("int").alias("block"))
     placed = settle(placed, "placed")
@@ -316,8 +325,21 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, k: int, nu
     return links
 
 
+def _short_pairs(short: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (a, b, lead): of short lists, rows (m1, m2, id, n, room, component, group), the texts in different components that may link.
+
+    m1 and m2 are sums of hashes of a list's ids.  Texts that share one rare
+    token mostly share many, so lists with the same sums are paired off once;
+    the most room that one of them leaves a text keeps the filter exact.
+    """
+    once = short.groupBy("m1", "m2", "id").agg(F.min("n").alias("n"), F.max("room").alias("room"), F.min("component").alias("c"), F.min("group").alias("lead"))
+    side = lambda i, s: once.select("m1", "m2", F.col("id").alias(i), *(F.col(c).alias(f"{c}{s}") for c in ("n", "room", "c", "lead")))
+    pairs = side("a", 1).join(side("b", 2), ["m1", "m2"]).where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
+    return pairs.select("a", "b", F.col("lead1").alias("lead"))
+
+
 def _left_open(postings: DataFrame, components: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """What the leaders left: of lists whose texts lie in several components, pairs (a, b, lead) and groups (lead, id, component).
+    """What the leaders left: of lists whose texts lie in several components, pairs (a, b, lead) and groups (lead, id, n, component).
 
     Lists of up to SMALL_LIST texts that may still link give pairs, so a text
     has no more than that many in a list.  Longer lists that share a leader are
@@ -327,18 +349,17 @@ def _left_open(postings: DataFrame, components: DataFrame, num: int, den: int) -
     member = postings.where(~F.col("closed")).select("token", "id", "n", "room", "lead").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def several(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group"), F.count(F.lit(1)).alias("size")).where(F.col("c1") < F.col("c2"))
+        # null where they overflow, which SMALL_LIST of them don't
+        sums = [F.try_sum(F.shiftrightunsigned(F.xxhash64("id", F.lit(i)), 8)).alias(f"m{i}") for i in (1, 2)]
+        return rows.groupBy("token").agg(*sums, F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least"), F.min("lead").alias("group"), F.count(F.lit(1)).alias("size")).where(F.col("c1") < F.col("c2"))
 
     lists = several(member).select("token", "least", "group")
     # the smallest text of a list is its easiest partner
     able = member.join(lists, "token").where(_may_link(F.col("n"), F.col("room"), F.col("least"), F.col("room"), num, den)).drop("least")
     able = settle(able, "able")
-    still = settle(able.join(several(able).select("token", "size"), "token"), "open-lists")
-    short = still.where(F.col("size") <= SMALL_LIST)
-    side = lambda i, s: short.select("token", F.col("id").alias(i), F.col("n").alias(f"n{s}"), F.col("room").alias(f"room{s}"), F.col("component").alias(f"c{s}"), F.col("group").alias(f"lead{s}"))
-    pairs = side("a", 1).join(side("b", 2), "token").where((F.col("c1") < F.col("c2")) & _may_link(F.col("n1"), F.col("room1"), F.col("n2"), F.col("room2"), num, den))
-    pairs = settle(pairs.groupBy("a", "b").agg(F.min("lead1").alias("lead")), "open-pairs")
-    groups = settle(still.where(F.col("size") > SMALL_LIST).select(F.col("group").alias("lead"), "id", "component").distinct(), "open-groups")
+    still = settle(able.join(several(able).select("token", "size", "m1", "m2"), "token"), "open-lists")
+    pairs = settle(_short_pairs(still.where(F.col("size") <= SMALL_LIST), num, den).groupBy("a", "b").agg(F.min("lead").alias("lead")), "open-pairs")
+    groups = settle(still.where(F.col("size") > SMALL_LIST).groupBy(F.col("group").alias("lead"), "id", "component").agg(F.max("n").alias("n")), "open-groups")
     forget(able, still)
     return pairs, groups
 
@@ -419,20 +440,24 @@ class _Texts:
 
 
 def _links_within(groups: DataFrame, docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """Rows (u, v): links between different components of a group (lead, id, component), enough of them to join all components that link.
+    """Rows (u, v): links between different components of a group (lead, id, n, component), enough of them to join all components that link.
 
     Texts outside a group's largest component are compared with all of the
     group.  A cell is up to about REST_TEXTS of the former and PART_TEXTS of the
-    latter; small groups are one cell, and blocks have several.
+    latter, and fewer where these have more than REST_TOKENS and PART_TOKENS;
+    small groups are one cell, and blocks have several.
     """
     level_of = docs.sparkSession.sparkContext.broadcast(levels)
-    by_component = groups.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("c"))
-    sizes = by_component.groupBy("lead").agg(F.max_by("component", F.struct("c", "component")).alias("most"), F.sum("c").alias("m"), (F.sum("c") - F.max("c")).alias("rest")).where(F.col("rest") > 0)
-    dealt = groups.join(sizes, "lead").withColumns({"r": F.ceil(F.col("rest") / REST_TEXTS), "g": F.ceil(F.col("m") / PART_TEXTS)})
+    by_component = groups.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"))
+    largest = F.max(F.struct("c", "component", "t"))
+    sizes = by_component.groupBy("lead").agg(largest.alias("most"), F.sum("c").alias("m"), F.sum("t").alias("t"))
+    sizes = sizes.select("lead", "m", "t", F.col("most.component").alias("most"), (F.col("m") - F.col("most.c")).alias("rest"), (F.col("t") - F.col("most.t")).alias("rest_t")).where(F.col("rest") > 0)
+    cut = lambda texts, size, tokens, bound: F.ceil(F.greatest(F.col(texts) / size, F.col(tokens) / bound))
+    dealt = groups.join(sizes, "lead").withColumns({"r": cut("rest", REST_TEXTS, "rest_t", REST_TOKENS), "g": cut("m", PART_TEXTS, "t", PART_TOKENS)})
     every = dealt.select("lead", "id", "component", F.lit(False).alias("outside"), F.pmod(F.xxhash64("id"), "g").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("r") - 1)).alias("i"))
     outside = dealt.where("component != most").select("lead", "id", "component", F.lit(True).alias("outside"), F.pmod(F.xxhash64("id", F.lit(1)), "r").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
     cells = every.unionByName(outside).select(F.xxhash64("lead", "i", "j").alias("cell"), "id", "component", "outside")
-    buckets = max(1, groups.count() // BLOCK_TEXTS)
+    buckets = _loads(*groups.agg(F.count(F.lit(1)), F.sum("n")).first())
     placed = settle(cells.withColumn("block", F.pmod(F.xxhash64("cell"), F.lit(buckets)).cast("int")), "cells")
     needed = placed.select(F.col("block").alias("of_block"), F.col("id").alias("of_id")).distinct()
     texts = needed.join(_named(docs, groups.select("id")), F.col("of_id") == F.col("id")).select("of_block", "of_id", "text")

@@ -94,9 +94,19 @@ def test_connected_components(spark):
     assert got == {x: find(x) for x in root}
 
 
-def test_a_large_family_just_below_the_threshold(spark, monkeypatch):
-    """Variants that share rare words: some link, most don't quite; groups are dealt to several cells."""
-    for name, value in {"SMALL_LIST": 4, "REST_TEXTS": 16, "PART_TEXTS": 40, "BLOCK_TEXTS": 50}.items():
+def test_lists_of_the_same_texts_are_paired_off_once(spark):
+    """Three lists of texts 1, 2 and 3, which leave different room, and one of 1 and 4."""
+    rows = [(7, 70, i, 100, room, i, 1) for room in (40, 90, 60) for i in (1, 2, 3)] + [(8, 80, 1, 100, 95, 1, 1), (8, 80, 4, 100, 95, 1, 1), (9, 90, 2, 100, 10, 2, 2), (9, 90, 5, 100, 99, 5, 2)]
+    short = spark.createDataFrame(rows, "m1 long, m2 long, id long, n int, room int, component long, group long")
+    got = sorted(map(tuple, ngram_join._short_pairs(short, 80, 100).collect()))
+    # 1 and 4 lie in one component; of 2 and 5 too little is left
+    assert got == [(1, 2, 1), (1, 3, 1), (2, 3, 1)]
+
+
+@pytest.mark.parametrize("sizes", [{"REST_TEXTS": 16, "PART_TEXTS": 40, "BLOCK_TEXTS": 50}, {"REST_TOKENS": 1500, "PART_TOKENS": 4000, "BLOCK_TOKENS": 5000}])
+def test_a_large_family_just_below_the_threshold(spark, monkeypatch, sizes):
+    """Variants that share rare words: some link, most don't quite; groups are dealt to several cells, by texts or by tokens."""
+    for name, value in {"SMALL_LIST": 4, **sizes}.items():
         monkeypatch.setattr(ngram_join, name, value)
     rng = random.Random(9)
     words = [f"w{i}" for i in range(120)]
