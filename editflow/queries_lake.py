@@ -405,12 +405,18 @@ def _q(spark, d):
     root = new_folder(spark, "topic")
     _ended(spark, (new_folder(spark, "outgoing"), wire.schema, [wire.where("revision % 2 = 0"), wire.where("revision % 2 = 1")]), "topic", write=lambda _: sinks.topic_sink(root, 6, ("at", "revision")))
     topic = sinks.read_topic(spark, root)
-    # a key has one partition, in which offsets count without gaps
-    place = F.row_number().over(Window.partitionBy("key").orderBy("offset"))
-    found = topic.withColumn("place", place).select(F.decode("key", "UTF-8").alias("key"), "value", "place", "partition", "offset")
-    sound = found.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"), F.countDistinct("offset").alias("distinct")).where("n <> last + 1 OR n <> distinct")
+    # a key has one partition, in which offsets count without gaps; its messages are counted by runs of offsets, so that a key is not one task's
+    found = topic.select(
+        F.decode("key", "UTF-8").alias("key"), F.get_json_object("value", "$.revision_id").cast("long").alias("revision_id"), F.get_json_object("value", "$.event_id").alias("event_id"), "partition", "offset",
+        F.floor(F.col("offset") / (1 << 16)).alias("run"),
+    )
+    runs = topic.groupBy(F.decode("key", "UTF-8").alias("key"), F.floor(F.col("offset") / (1 << 16)).alias("run")).agg(F.count(F.lit(1)).alias("size"))
+    runs = runs.select("key", "run", (F.sum("size").over(Window.partitionBy("key").orderBy("run")) - F.col("size")).alias("before"))
+    within = F.row_number().over(Window.partitionBy("key", "run").orderBy("offset"))
+    found = found.withColumn("within", within).join(runs, ["key", "run"]).withColumn("place", F.col("before") + F.col("within"))
+    sound = topic.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"), F.countDistinct("offset").alias("distinct")).where("n <> last + 1 OR n <> distinct")
     found = found.join(sound, "partition", "left_anti")  # rows of a partition with gaps would be missed
-    return found.select("key", F.get_json_object("value", "$.revision_id").cast("long").alias("revision_id"), F.get_json_object("value", "$.event_id").alias("event_id"), "place")
+    return found.select("key", "revision_id", "event_id", "place")
 
 
 @query("stream_metrics", """SELECT event_id % 3 <> 0 AS second_batch, count(*) AS rows, count(*) FILTER (WHERE route = 'accepted') AS accepted, count(*) FILTER (WHERE route = 'ignored') AS ignored, count(*) FILTER (WHERE stage = 'json_decode') AS not_json,

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COMMITS = "_commits"
+#: Runs of a topic partition's batch at most; beyond them runs grow.
+MOST_RUNS = 1 << 10
 
 
 def _folder(root: str, name: str, batch_id: int) -> str:
@@ -66,22 +68,33 @@ def read_committed(spark: SparkSession, root: str, name: str, schema: T.StructTy
     return rows.where(F.col("batch") <= last)  # folders of other batches aren't read
 
 
-def topic_sink(root: str, partitions: int, order: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
+def topic_sink(root: str, partitions: int, order: tuple[str, ...], run: int = 1 << 17) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends rows (key, value, ...) to an ordered topic.
 
     A key's hash names its partition, so a key's messages are all in one; within
     a batch they lie in the order of ``order``, which decides ties by value, and
     offsets count on from batch to batch without gaps.  A replayed batch takes
-    the offsets that it had.
+    the offsets that it had.  Runs of some ``run`` messages, cut by the first
+    column of the order (a number or a time), are put in order by a task each;
+    how many messages there are before a run is known from counts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         partition = F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int")
         ends = _ends_before(spark, root, batch_id)
-        in_order = Window.partitionBy("partition").orderBy(*order, "value")
-        placed = batch.withColumn("partition", partition).withColumn("__n", F.row_number().over(in_order))
-        rows = placed.join(F.broadcast(ends.limit(partitions)), "partition", "left").withColumn("offset", F.coalesce("end", F.lit(0)) + F.col("__n") - 1)
+        first = F.col(order[0])
+        pieces = min(MOST_RUNS, -(-batch.count() // (run * partitions)))
+        cuts = batch.agg(F.percentile_approx(first, [i / pieces for i in range(1, pieces)])).first()[0] if pieces > 1 else None
+        # how many cuts are below a message: none, if it lacks the column, as nulls come first
+        of_run = F.size(F.filter(F.lit(cuts), lambda cut: cut < first)) if cuts else F.lit(0)
+        parted = batch.withColumns({"partition": partition, "__run": of_run})
+        counts = parted.groupBy("partition", "__run").agg(F.count(F.lit(1)).alias("__size"))
+        until = F.sum("__size").over(Window.partitionBy("partition").orderBy("__run")) - F.col("__size")
+        begins = counts.join(F.broadcast(ends.limit(partitions)), "partition", "left").select("partition", "__run", (F.coalesce("end", F.lit(0)) + until).alias("__begin"))
+        in_order = Window.partitionBy("partition", "__run").orderBy(*order, "value")
+        placed = parted.withColumn("__n", F.row_number().over(in_order))
+        rows = placed.join(begins, ["partition", "__run"]).withColumn("offset", F.col("__begin") + F.col("__n") - 1)
         rows.select("partition", F.col("offset").cast("long").alias("offset"), "key", "value").sortWithinPartitions("partition", "offset").write.mode("overwrite").partitionBy("partition").parquet(_folder(root, "topic", batch_id))
         new = spark.read.schema("partition int, offset long").parquet(_folder(root, "topic", batch_id)).select("partition", (F.col("offset") + 1).alias("end"))
         new.unionByName(ends).groupBy("partition").agg(F.max("end").alias("end")).coalesce(1).write.mode("overwrite").parquet(_folder(root, "_ends", batch_id))

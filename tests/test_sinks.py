@@ -60,6 +60,25 @@ def test_a_topic_keeps_the_order_of_keys(spark, tmp_path):
     assert all(len({r.partition for r in rows if r.key == k}) == 1 for k in {r.key for r in rows})
 
 
+def test_runs_of_a_topic_follow_each_other(spark, tmp_path):
+    root = str(tmp_path / "topic")
+    write = sinks.topic_sink(root, 2, ("at", "n"), run=8)
+    n = 300
+    rows = [(f"k{i % 5}", f"v{i:03}", None if i % 50 == 0 else i * 37 % 91, -i) for i in range(n)]
+    batch = spark.createDataFrame(rows, "key string, value string, at int, n int").select(F.encode("key", "UTF-8").alias("key"), "value", "at", "n")
+    write(batch, 0)
+    write(batch, 1)
+    got = sorted(((r.batch, r.partition, r.offset, r.value) for r in sinks.read_topic(spark, root).collect()))
+    assert len(got) == 2 * n
+    value = {v: (at is not None, at or 0, m) for _, v, at, m in rows}
+    for p in (0, 1):
+        mine = [g for g in got if g[1] == p]
+        assert [g[2] for g in mine] == list(range(len(mine)))
+        for b in (0, 1):
+            found = [g[3] for g in mine if g[0] == b]
+            assert found == sorted(found, key=value.get)
+
+
 def test_metrics_of_a_running_stream(spark, tmp_path):
     path, log = str(tmp_path / "in"), str(tmp_path / "log")
     spark.range(10).write.parquet(path)
