@@ -236,11 +236,23 @@ _CLOSED = "(SELECT max(event_time) FROM edits) - INTERVAL 2 HOUR"
 _STREAM_COLS = ["event_id", "event_time", "wiki", "page_title", "page_id", "user", "is_bot", "is_revert", "revision_id", "revert_target_revision_id", "byte_length_delta", "provenance_id"]
 
 
-def _parts(spark, d):
-    """(folder, schema, earlier and later half of the edits): the second half arrives after the first has been processed."""
+#: Rows of a part that a Python state holds at a time; more rows are more parts.
+PART_ROWS = 1 << 21
+
+
+def _in_turn(rows, by, most=None):
+    """rows in two parts or, if they are to have some ``most`` rows at most, in more, each before the next by a column; stored, so that parts aren't worked out one by one."""
+    rows = stored(rows.repartitionByRange(by), "arriving")
+    n = 2 if most is None else max(2, -(-rows.count() // most))
+    cuts = [F.lit(c) for c in rows.agg(F.percentile_approx(by, [i / n for i in range(1, n)])).first()[0] or [None]]
+    at = F.col(by)
+    return [rows.where(at <= cuts[0]), *(rows.where((at > a) & (at <= b)) for a, b in zip(cuts, cuts[1:])), rows.where(at > cuts[-1])]
+
+
+def _parts(spark, d, most=None):
+    """(folder, schema, earlier and later parts of the edits, halves by default): each arrives after those before it have been processed."""
     rows = _edits(spark, d, True).select(*_STREAM_COLS)
-    middle = rows.agg(F.percentile_approx("event_time", 0.5)).first()[0]
-    return new_folder(spark, "stream-in"), rows.schema, [rows.where(F.col("event_time") <= F.lit(middle)), rows.where(F.col("event_time") > F.lit(middle))]
+    return new_folder(spark, "stream-in"), rows.schema, _in_turn(rows, "event_time", most)
 
 
 def _ended(spark, parts, name, operate=lambda stream: stream, write=None, checkpoint=None, query_name=None):
@@ -290,7 +302,7 @@ def _q(spark, d):
 
 def _monitored(name, of, slide=SLIDE, delay=DELAY):
     """What a page monitor's stream reports of one kind, once all parts have come."""
-    return lambda spark, d: _ended(spark, _parts(spark, d), name, lambda s: of(monitor.monitor(s, slide, delay, DETECTOR)))
+    return lambda spark, d: _ended(spark, _parts(spark, d, PART_ROWS), name, lambda s: of(monitor.monitor(s, slide, delay, DETECTOR)))
 
 
 @query("stream_edit_wars", f"SELECT {_WAR} FROM wars WHERE wars.window_end <= {_CLOSED}")
@@ -324,8 +336,7 @@ def _q(spark, d):
 def _q(spark, d):
     """Every tenth edit comes 200 offsets behind its time, in batches by offset; what is late goes to a table of its own."""
     rows = _edits(spark, d).select("event_id", "event_time", F.col("partition").cast("int").alias("partition"), F.expr("offset + CASE WHEN event_id % 10 = 0 THEN 200 ELSE 0 END").alias("offset"))
-    middle = rows.agg(F.percentile_approx("offset", 0.5)).first()[0]
-    parts = new_folder(spark, "arrivals"), rows.schema, [rows.where(F.col("offset") <= middle), rows.where(F.col("offset") > middle)]
+    parts = new_folder(spark, "arrivals"), rows.schema, _in_turn(rows, "offset", PART_ROWS)
     tables = {"in_time": lambda b: b.where("NOT late").drop("late"), "late": lambda b: b.where("late").drop("late")}
     root = _committed(spark, parts, "routed", lambda s: monitor.mark_late(s, 7200), tables)
     got = [sinks.read_committed(spark, root, name, rows.schema).withColumn("late", F.lit(name == "late")) for name in tables]
@@ -338,7 +349,7 @@ _IDLE = Detector(ttl_seconds=SLIDE.size + DELAY)
 @query("stream_state_ttl", f"""SELECT wiki, page_title, max(us) AS last_edit, time_bucket(INTERVAL 1 HOUR, max(event_time)) + INTERVAL 14 HOUR <= {_CLOSED} AS evicted FROM (SELECT wiki, page_title || ' of ' || strftime(event_time, '%Y-%m-%d') AS page_title, us, event_time FROM edits) GROUP BY 1, 2""")
 def _q(spark, d):
     """Pages that live for a day: those that the monitor says it evicted, and those that its checkpoint still has."""
-    path, schema, parts = _parts(spark, d)
+    path, schema, parts = _parts(spark, d, PART_ROWS)
     daily = [p.withColumn("page_title", F.concat("page_title", F.lit(" of "), F.date_format("event_time", "yyyy-MM-dd"))) for p in parts]
     checkpoint = new_folder(spark, "checkpoint")
     gone = _ended(spark, (path, schema, daily), "evicted", lambda s: monitor.monitor(s, SLIDE, DELAY, _IDLE).where("kind = 'evicted'").select("wiki", "page_title", F.col("event_time").alias("last_edit")), checkpoint=checkpoint)
@@ -387,7 +398,7 @@ _THREE = f"""SELECT 'page_activity_windows' AS target, wiki, page_title, {_W}, p
 def _q(spark, d):
     """One stream whose every batch feeds three tables under one commit."""
     tables = {"page_activity_windows": monitor.activity, "edit_war_signals": monitor.wars, "anomaly_events": monitor.anomalies}
-    parts = _parts(spark, d)
+    parts = _parts(spark, d, PART_ROWS)
     root = _committed(spark, parts, "windowed", lambda s: monitor.monitor(s, SLIDE, DELAY, DETECTOR), tables)
     empty = monitor.monitor(streams.table_reader(parts[0], parts[1])(spark), SLIDE, DELAY, DETECTOR)
     read = {name: sinks.read_committed(spark, root, name, of(empty).schema) for name, of in tables.items()}

@@ -62,6 +62,46 @@ def judge(count: float, history: list[float], d: Detector) -> tuple[str, float,
     return ("median_mad" if score >= d.threshold else "none"), score, d.threshold
 
 
+class Bucket:
+    """What a batch adds to a bucket."""
+
+    def __init__(self) -> None:
+        self.page, self.n, self.bots, self.reverts, self.delta, self.losses = None, 0, 0, 0, 0, 0
+        self.editors: set[str] = set()
+        self.newest: tuple | None = None  # time, id, revision and provenance
+        self.revisions, self.times, self.ids, self.authors, self.undoers, self.targets = [], [], [], [], [], []
+
+    def add(self, us, event_id, page_id, user, is_bot, is_revert, revision_id, target, delta, provenance) -> None:
+        if self.page is None:
+            self.page = page_id
+        self.n += 1
+        self.bots += bool(is_bot)
+        self.reverts += bool(is_revert)
+        if delta:
+            self.delta += delta
+            self.losses += delta < 0
+        if user:
+            self.editors.add(user)
+        if self.newest is None or (us, event_id) > self.newest[:2]:
+            self.newest = us, event_id, revision_id, provenance
+        if revision_id is not None:
+            self.revisions.append(revision_id)
+            self.times.append(us)
+            self.ids.append(event_id)
+            self.authors.append(user)
+        if is_revert and user and target is not None:
+            self.undoers.append(user)
+            self.targets.append(target)
+
+    def joined(self, old: tuple | None) -> tuple:
+        """The bucket's state with this added to what it was."""
+        page, n, bots, reverts, delta, losses, editors, *newest, revisions, times, ids, authors, undoers, targets = old or (None, 0, 0, 0, 0, 0, [], None, None, None, None, [], [], [], [], [], [])
+        last = self.newest if newest[0] is None or self.newest[:2] > tuple(newest[:2]) else newest
+        sums = n + self.n, bots + self.bots, reverts + self.reverts, delta + self.delta, losses + self.losses
+        lists = [*revisions, *self.revisions], [*times, *self.times], [*ids, *self.ids], [*authors, *self.authors], [*undoers, *self.undoers], [*targets, *self.targets]
+        return self.page if page is None else page, *sums, sorted(self.editors.union(editors)), *last, *lists
+
+
 class PageMonitor(StatefulProcessor):
     """State of a page by MapState (bucket -> its edits) and ValueState (history); times are microseconds, timers milliseconds of event time."""
 
@@ -85,20 +125,24 @@ class PageMonitor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         closed = timerValues.getCurrentWatermarkInMs() * 1000
-        new: dict[int, list] = {}
-        for r in rows:
-            start = (r.us - self.offset) // self.slide * self.slide + self.offset
+        new: dict[int, Bucket] = {}
+        names: dict[str | None, str | None] = {}  # a name is kept once, a row not at all
+        newest = None
+        for _, _, us, event_id, page_id, user, *rest in rows:
+            start = (us - self.offset) // self.slide * self.slide + self.offset
             if start + self.size <= closed:
-                yield self._report(kind=LATE, wiki=key[0], page_title=key[1], event_id=r.event_id, event_time=r.us)
+                yield self._report(kind=LATE, wiki=key[0], page_title=key[1], event_id=event_id, event_time=us)
                 continue
-            new.setdefault(start, []).append(r)
+            if start not in new:
+                new[start] = Bucket()
+            new[start].add(us, event_id, page_id, names.setdefault(user, user), *rest)
+            newest = us if newest is None else max(newest, us)
         if not new:
             return
-        for start, some in new.items():
+        for start, bucket in new.items():
             old = self.buckets.getValue((start,)) if self.buckets.containsKey((start,)) else None
-            self.buckets.updateValue((start,), self._merged(old, some))
+            self.buckets.updateValue((start,), bucket.joined(old))
         counts, last, last_edit, timer = self.history.get() if self.history.exists() else ([], None, None, None)
-        newest = max(r.us for some in new.values() for r in some)
         last_edit = newest if last_edit is None else max(last_edit, newest)
         # the first window of the earliest bucket that hasn't been reported
         first = min(new) + self.slide
@@ -159,28 +203,6 @@ class PageMonitor(StatefulProcessor):
                 found[name] = datetime.fromtimestamp(found[name] // 1_000_000, timezone.utc).replace(microsecond=found[name] % 1_000_000)
         return self.row(*found.values())
 
-    @staticmethod
-    def _merged(old: tuple | None, rows: list[Row]) -> tuple:
-        page, n, bots, reverts, delta, losses, editors, at, last_id, revision, provenance, revisions, times, ids, authors, undoers, targets = old or (None, 0, 0, 0, 0, 0, [], None, None, None, None, [], [], [], [], [], [])
-        editors, revisions, times, ids, authors, undoers, targets = set(editors), list(revisions), list(times), list(ids), list(authors), list(undoers), list(targets)
-        for r in rows:
-            page = r.page_id if page is None else page
-            n, bots, reverts = n + 1, bots + bool(r.is_bot), reverts + bool(r.is_revert)
-            delta, losses = delta + (r.byte_length_delta or 0), losses + ((r.byte_length_delta or 0) < 0)
-            if r.user:
-                editors.add(r.user)
-            if at is None or (r.us, r.event_id) > (at, last_id):
-                at, last_id, revision, provenance = r.us, r.event_id, r.revision_id, r.provenance_id
-            if r.revision_id is not None:
-                revisions.append(r.revision_id)
-                times.append(r.us)
-                ids.append(r.event_id)
-                authors.append(r.user)
-            if r.is_revert and r.user and r.revert_target_revision_id is not None:
-                undoers.append(r.user)
-                targets.append(r.revert_target_revision_id)
-        return page, n, bots, reverts, delta, losses, sorted(editors), at, last_id, revision, provenance, revisions, times, ids, authors, undoers, targets
-
     @staticmethod
     def _window(parts: list[tuple]) -> dict[str, Any]:
         total = lambda i: sum(p[i] for p in parts)
@@ -253,16 +275,16 @@ class LateRows(StatefulProcessor):
     """The newest time that each key's rows have had."""
 
     def __init__(self, delay_us: int, order: str, names: list[str]):
-        self.delay, self.order, self.row = delay_us, order, Row(*names, "late")
+        self.delay, self.at, self.row = delay_us, names.index(order), Row(*names, "late")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getValueState("newest", "us long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         newest = self.newest.get()[0] if self.newest.exists() else None
-        for r in sorted(rows, key=lambda r: r[self.order]):
-            us = r["__us"]
-            yield self.row(*(x for name, x in zip(r.__fields__, r) if name != "__us"), newest is not None and us is not None and us < newest - self.delay)
+        at = self.at
+        for *values, us in sorted(map(tuple, rows), key=lambda r: r[at]):
+            yield self.row(*values, newest is not None and us is not None and us < newest - self.delay)
             newest = us if newest is None else newest if us is None else max(newest, us)
         if newest is not None:
             self.newest.update((newest,))
@@ -273,7 +295,8 @@ def mark_late(events: DataFrame, delay_seconds: int, by: tuple[str, ...] = ("par
 
     The watermark is each partition's own and moves with every row, so that what is
     late doesn't hang on how rows fall into batches.  A batch of one partition is
-    sorted in one task.  Needs the RocksDB state store.
+    sorted in one task, so a batch's size bounds its memory.  Needs the RocksDB
+    state store.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     output = T.StructType([*events.schema.fields, T.StructField("late", T.BooleanType())])
