@@ -10,9 +10,9 @@ ratios, while the counts behind P_base cover every word of the corpus.
 Probabilities sum to one in every state.  A word that training never saw has
 ratio 1.
 
-A few steps on a bounded sample of segments start the states; then each pass of
-Baum-Welch reads all training texts whole and sums expected counts across
-partitions.
+Counts of neighbouring tokens over all training texts start the states, the most
+frequent words by themselves and all others as one; then each pass of Baum-Welch
+reads all training texts whole and sums expected counts across partitions.
 """
 
 from __future__ import annotations
@@ -34,9 +34,9 @@ _U = np.uint64
 VOCABULARY = 1 << 17
 #: The hash of the end token.
 END_HASH = _U(0x5851F42D4C957F2D)
-#: Texts and segments of each that the states are started on.
-SAMPLE_TEXTS, SAMPLE_SEGMENTS = 2_000, 24
-#: Tokens of a segment of the sample and of a piece of the recursions over texts of more than WHOLE tokens.
+#: Words that the pairs which start the states tell apart; all others are one.
+PAIRED = (1 << 10) - 1
+#: Tokens of a piece of the recursions over texts of more than WHOLE tokens.
 SEGMENT, WHOLE = 64, 512
 #: Bytes of text whose words are looked up together.
 CHUNK_BYTES = 16 << 20
@@ -202,7 +202,7 @@ def maximise(emissions: np.ndarray, moves: np.ndarray, starts: np.ndarray, share
 
 
 def start_model(segments: list[np.ndarray], states: int, kinds: int, steps: int = 25) -> Model:
-    """States from a bounded sample of segments of kinds classes, by Baum-Welch from seeded random ratios and sticky moves."""
+    """States from segments of kinds classes that one machine holds, by Baum-Welch from seeded random ratios and sticky moves; for small corpora and tests."""
     rng = np.random.default_rng(5)
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
@@ -218,21 +218,88 @@ def start_model(segments: list[np.ndarray], states: int, kinds: int, steps: int
     return model
 
 
-def _sample_segments(docs: DataFrame, frequent: np.ndarray) -> list[np.ndarray]:
-    """Of the SAMPLE_TEXTS texts with the smallest hashes of their ids, SAMPLE_SEGMENTS segments each at most, evenly spaced."""
-    chosen = docs.select("id").where(F.col("id").isNotNull()).distinct().orderBy(F.xxhash64("id")).limit(SAMPLE_TEXTS)
+def pair_model(pairs: np.ndarray, own: np.ndarray, states: int, kinds: int, steps: int = 60, starts: int = 3) -> Model:
+    """States from how often each word follows each other one, by expectation and maximisation on these counts.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs has the words of the classes ``own`` in their order, and all other
+    words as the last one.  Of some seeded starts the likeliest is kept.
+    """
+    total = pairs.sum()
+    share = (pairs.sum(0) + pairs.sum(1) + 1e-9) / (2 * total + 1e-9 * 2 * len(pairs)) if total else np.full(len(pairs), 1 / len(pairs))
+    best, most = (np.full((states, states), 1 / states**2), np.tile(share, (states, 1))), -np.inf
+    for seed in range(starts if total else 0):
+        rng = np.random.default_rng(5 + seed)
+        joint = np.full((states, states), 0.1 / max(states - 1, 1))
+        np.fill_diagonal(joint, 0.9 if states > 1 else 1.0)
+        joint /= joint.sum()
+        words = rng.gamma(2.0, 0.5, (states, len(pairs))) * share
+        words /= words.sum(1, keepdims=True)
+        for _ in range(steps):
+            ratio = pairs / (words.T @ joint @ words + 1e-300)
+            follow, lead = joint @ (words @ ratio.T), joint.T @ (words @ ratio)
+            joint = joint * (words @ ratio @ words.T) + 0.5
+            words = words * (follow + lead) + 5.0 * share
+            joint /= joint.sum()
+            words /= words.sum(1, keepdims=True)
+        fit = float((pairs * np.log(words.T @ joint @ words + 1e-300)).sum())
+        if fit > most:
+            best, most = (joint, words), fit
+    joint, words = best
+    of = np.full(kinds, len(pairs) - 1)
+    of[own] = np.arange(len(own))
+    begin = joint.sum(1)
+    return Model(begin / begin.sum(), joint / joint.sum(1, keepdims=True), (words / share).T[of])
+
+
+def count_pairs(docs: DataFrame, paired: np.ndarray) -> np.ndarray:
+    """How often each of the paired words (sorted hashes), or any other as the last, follows each other one in all texts of docs."""
+    shared = docs.sparkSession.sparkContext.broadcast(paired)
+    kinds = len(paired) + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        total = np.zeros(kinds * kinds, np.int64)
         for batch in batches:
             for block in blocks(batch.column(0)):
                 hashes, counts = tokens(block)
-                row, first, length = _segments(counts, SEGMENT)
-                of_row = np.searchsorted(row, np.arange(block.n + 1))
-                picked = [i for a, b in zip(of_row, of_row[1:]) for i in np.unique(np.linspace(a, b - 1, min(b - a, SAMPLE_SEGMENTS)).astype(int))]
-                yield pa.RecordBatch.from_arrays([pa.array([hashes[first[i] : first[i] + length[i]].tobytes() for i in picked], pa.binary())], names=["words"])
+                at = classes_of(hashes, words)
+                inside = np.ones(len(at), bool)  # not the last token of a text
+                inside[np.cumsum(counts) - 1] = False
+                first = np.flatnonzero(inside)
+                total += np.bincount(at[first] * kinds + at[first + 1], minlength=kinds * kinds)
+        if total.any():
+            yield _parts_of(total.reshape(kinds, kinds))
+
+    got = np.zeros((kinds, kinds))
+    for part, x in _summed(docs.select("text").mapInArrow(count, _PARTS)):
+        x = x.reshape(-1, kinds)
+        got[part * _CLASSES_A_ROW :][: len(x)] += x
+    shared.unpersist()
+    return got
+
+
+_PARTS = "part int, counts binary"
+
+
+def _parts_of(table: np.ndarray, *more: tuple[int, np.ndarray]) -> pa.RecordBatch:
+    """Rows (part, counts) of a table by class, and of further parts."""
+    parts = [*((i // _CLASSES_A_ROW, table[i : i + _CLASSES_A_ROW]) for i in range(0, len(table), _CLASSES_A_ROW)), *more]
+    return pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([x.astype("<f8").tobytes() for _, x in parts], pa.binary())], names=["part", "counts"])
+
+
+def _summed(parts: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """The sums of the tasks' parts; together they have the model's size."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(raw.as_py(), "<f8")
+                sums[part] = sums[part] + x if part in sums else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "counts"])
 
-    rows = docs.join(F.broadcast(chosen), "id", "left_semi").select("text").mapInArrow(cut, "words binary").collect()
-    return [classes_of(np.frombuffer(x, np.uint64), frequent) for x in sorted(bytes(r["words"]) for r in rows)]
+    for r in parts.repartition("part").mapInArrow(add, _PARTS).collect():
+        yield r["part"], np.frombuffer(r["counts"], "<f8")
 
 
 def baum_welch_pass(docs: DataFrame, model: Model, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,26 +316,15 @@ def baum_welch_pass(docs: DataFrame, model: Model, frequent: np.ndarray) -> tupl
                 got = expected_counts(m, classes_of(hashes, words), counts)
                 total = got if total is None else tuple(a + b for a, b in zip(total, got))
         if total is not None:
-            parts = [(i // _CLASSES_A_ROW, total[0][i : i + _CLASSES_A_ROW]) for i in range(0, kinds, _CLASSES_A_ROW)]
-            parts += [(-1, np.concatenate([total[1], total[2][None]]))]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([x.astype("<f8").tobytes() for _, x in parts], pa.binary())], names=["part", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.frombuffer(raw.as_py(), "<f8")
-                sums[part] = sums[part] + x if part in sums else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "counts"])
+            yield _parts_of(total[0], (-1, np.concatenate([total[1], total[2][None]])))
 
-    schema = "part int, counts binary"
     emissions, moves = np.zeros((kinds, k)), np.zeros((k + 1, k))
-    for r in docs.select("text").mapInArrow(count, schema).repartition("part").mapInArrow(add, schema).collect():  # the model's size
-        x = np.frombuffer(r["counts"], "<f8").reshape(-1, k)
-        if r["part"] < 0:
+    for part, x in _summed(docs.select("text").mapInArrow(count, _PARTS)):
+        x = x.reshape(-1, k)
+        if part < 0:
             moves += x
         else:
-            emissions[r["part"] * _CLASSES_A_ROW :][: len(x)] += x
+            emissions[part * _CLASSES_A_ROW :][: len(x)] += x
     shared.unpersist()
     return emissions, moves[:-1], moves[-1]
 
@@ -339,7 +395,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     frequent = hashes[order]
     share = np.append(count[order] + alpha, total - count.sum() + alpha * (kinds - len(top))) / max(total + alpha * kinds, 1)
 
-    model = start_model(_sample_segments(train, frequent), states, len(frequent) + 1)
+    own = np.sort(np.argsort(order)[:PAIRED])  # the most frequent ones, by their places in frequent
+    model = pair_model(count_pairs(train, frequent[own]), own, states, len(frequent) + 1)
     for _ in range(passes if total else 0):
         model = maximise(*baum_welch_pass(train, model, frequent), share)
     shared = docs.sparkSession.sparkContext.broadcast((model, frequent))

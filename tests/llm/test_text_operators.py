@@ -647,6 +647,29 @@ def test_expected_counts_raise_the_likelihood():
         model = hmm_lm.maximise(*hmm_lm.expected_counts(model, flat, length), share, 0.0)
 
 
+def test_states_start_from_the_pairs_of_all_texts(spark):
+    rng = random.Random(4)
+    texts = [None, "", "one"] + [" ".join(f"{'ab'[i % 2]}{rng.randrange(6)}" for _ in range(rng.randrange(1, 40))) for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    words = [f"{c}{i}" for c in "ab" for i in range(6)]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    begins, ends, _ = text.word_spans(data, np.array([0, len(data)]))
+    hashes = text.span_hashes(data, begins, ends)
+    order = np.argsort(hashes)
+    place = {words[j]: i for i, j in enumerate(order)}
+    plain = np.zeros((13, 13))
+    for t in texts:
+        at = [place.get(w, 12) for w in [*(t or "").split(), None]]
+        np.add.at(plain, (at[:-1], at[1:]), 1)
+    got = hmm_lm.count_pairs(df, hashes[order])
+    assert (got == plain).all()
+    model = hmm_lm.pair_model(got, np.arange(12), 2, 15)
+    assert model.ratio.shape == (15, 2) and (model.ratio[12:] == model.ratio[12]).all()
+    side = {w: int(model.ratio[i].argmax()) for w, i in place.items()}
+    assert len({side[w] for w in words[:6]}) == len({side[w] for w in words[6:]}) == 1 and side["a0"] != side["b0"]
+    assert np.isfinite(hmm_lm.pair_model(np.zeros((3, 3)), np.arange(2), 4, 3).ratio).all()
+
+
 def test_language_model(spark, none):
     import math
 
