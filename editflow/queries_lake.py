@@ -255,14 +255,19 @@ def _parts(spark, d, most=None):
     return new_folder(spark, "stream-in"), rows.schema, _in_turn(rows, "event_time", most)
 
 
-def _ended(spark, parts, name, operate=lambda stream: stream, write=None, checkpoint=None, query_name=None):
+def _state_partitions(spark):
+    """Two partitions of Python state a core, if the session's shuffles don't have fewer."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def _ended(spark, parts, name, operate=lambda stream: stream, write=None, checkpoint=None, query_name=None, state_partitions=None):
     """What the operator has written once all parts have come, each one to a query that goes on from the checkpoint of the one before."""
     path, schema, batches = parts
     out, checkpoint = new_folder(spark, name), checkpoint or new_folder(spark, "checkpoint")
     for batch in batches:
         batch.write.mode("append").parquet(path)
         stream = operate(streams.table_reader(path, schema)(spark))
-        streams.run_to_end(stream, checkpoint, write(out) if write else None, out, query_name)
+        streams.run_to_end(stream, checkpoint, write(out) if write else None, out, query_name, state_partitions)
     try:
         return spark.read.parquet(out) if write else streams.table_or_empty(spark, out, stream.schema)
     except AnalysisException:  # a sink that was given no rows wrote none
@@ -272,7 +277,7 @@ def _ended(spark, parts, name, operate=lambda stream: stream, write=None, checkp
 def _committed(spark, parts, name, operate, tables):
     """The folder of tables that a stream's batches have committed."""
     root = new_folder(spark, name)
-    _ended(spark, parts, name, operate, write=lambda _: sinks.tables_sink(root, tables))
+    _ended(spark, parts, name, operate, write=lambda _: sinks.tables_sink(root, tables), state_partitions=_state_partitions(spark))
     return root
 
 
@@ -302,7 +307,7 @@ def _q(spark, d):
 
 def _monitored(name, of, slide=SLIDE, delay=DELAY):
     """What a page monitor's stream reports of one kind, once all parts have come."""
-    return lambda spark, d: _ended(spark, _parts(spark, d, PART_ROWS), name, lambda s: of(monitor.monitor(s, slide, delay, DETECTOR)))
+    return lambda spark, d: _ended(spark, _parts(spark, d, PART_ROWS), name, lambda s: of(monitor.monitor(s, slide, delay, DETECTOR)), state_partitions=_state_partitions(spark))
 
 
 @query("stream_edit_wars", f"SELECT {_WAR} FROM wars WHERE wars.window_end <= {_CLOSED}")
@@ -352,7 +357,7 @@ def _q(spark, d):
     path, schema, parts = _parts(spark, d, PART_ROWS)
     daily = [p.withColumn("page_title", F.concat("page_title", F.lit(" of "), F.date_format("event_time", "yyyy-MM-dd"))) for p in parts]
     checkpoint = new_folder(spark, "checkpoint")
-    gone = _ended(spark, (path, schema, daily), "evicted", lambda s: monitor.monitor(s, SLIDE, DELAY, _IDLE).where("kind = 'evicted'").select("wiki", "page_title", F.col("event_time").alias("last_edit")), checkpoint=checkpoint)
+    gone = _ended(spark, (path, schema, daily), "evicted", lambda s: monitor.monitor(s, SLIDE, DELAY, _IDLE).where("kind = 'evicted'").select("wiki", "page_title", F.col("event_time").alias("last_edit")), checkpoint=checkpoint, state_partitions=_state_partitions(spark))
     kept = monitor.pages_in_state(spark, checkpoint)
     return kept.withColumn("evicted", F.lit(False)).unionByName(gone.withColumn("evicted", F.lit(True)))
 

@@ -1,8 +1,8 @@
 """Pages under watch: one keyed state for windows, anomalies, edit wars, late rows and eviction.
 
 A page's state has each edit once, in the bucket of one slide that it falls in:
-sums, the set of editors, who wrote which revision, and who undid which.  A
-timer stands at the next end of a window.  When the watermark has passed it,
+sums, the set of editors, who wrote which revision, and who undid which.  Edits
+come as blocks, packed where they are read (see blocks).  A timer stands at the next end of a window.  When the watermark has passed it,
 the windows that have ended are put together from their buckets, judged against
 the page's history, searched for mutual reverts, and reported once; buckets that
 no open window needs go.  A page whose last window can no longer matter to any
@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..operators.anomaly import Detector
 from ..operators.conflict import ConflictRule
 from ..operators.windows import Slide
+from . import blocks
 
 WINDOW, LATE, EVICTED = "window", "late", "evicted"
 
@@ -44,7 +45,11 @@ def least_ttl(slide: Slide, watermark_seconds: int) -> int:
 
 def strongest_pair(authors: dict[int, str], undone: list[tuple[str, int]]) -> tuple[int, str | None, str | None]:
     """(mutual reverts, editor, editor) of the pair that reverted each other most; of ties the smallest names."""
-    edges = Counter((src, authors[target]) for src, target in undone if authors.get(target) and authors[target] != src)
+    return strongest(Counter((src, authors[target]) for src, target in undone if authors.get(target) and authors[target] != src))
+
+
+def strongest(edges: Counter) -> tuple[int, str | None, str | None]:
+    """strongest_pair of how often (editor, editor) the first undid the second."""
     pairs = [(-(n + edges[b, a]), a, b) for (a, b), n in edges.items() if a < b and (b, a) in edges]
     if not pairs:
         return 0, None, None
@@ -103,7 +108,12 @@ class Bucket:
 
 
 class PageMonitor(StatefulProcessor):
-    """State of a page by MapState (bucket -> its edits) and ValueState (history); times are microseconds, timers milliseconds of event time."""
+    """State of a page by MapState (bucket -> its edits) and ValueState (history); times are microseconds, timers milliseconds of event time.  Takes edits one by one."""
+
+    BUCKET = (
+        "page_id long, n long, bots long, reverts long, delta long, losses long, editors array<string>, last_time long, last_id {0}, last_revision long, provenance string, "
+        "revisions array<long>, times array<long>, ids array<{0}>, authors array<string>, undoers array<string>, targets array<long>"
+    )
 
     def __init__(self, slide: Slide, detector: Detector, id_type: str, output: T.StructType):
         if slide.size % slide.slide:
@@ -115,19 +125,13 @@ class PageMonitor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        bucket = (
-            "page_id long, n long, bots long, reverts long, delta long, losses long, editors array<string>, last_time long, last_id {0}, last_revision long, provenance string, "
-            "revisions array<long>, times array<long>, ids array<{0}>, authors array<string>, undoers array<string>, targets array<long>"
-        ).format(self.id_type)
-        self.buckets = handle.getMapState("buckets", "start long", bucket)
+        self.buckets = handle.getMapState("buckets", "start long", self.BUCKET.format(self.id_type))
         #: counts of the last windows, start of the last one, time of the newest edit, time of the timer
         self.history = handle.getValueState("history", "counts array<double>, last long, last_edit long, timer long")
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        closed = timerValues.getCurrentWatermarkInMs() * 1000
-        new: dict[int, Bucket] = {}
+    def _take(self, key: Any, rows: Iterator[Row], closed: int, new: dict[int, Any]) -> Iterator[Row]:
+        """Add rows to the new buckets, and report those that are late."""
         names: dict[str | None, str | None] = {}  # a name is kept once, a row not at all
-        newest = None
         for _, _, us, event_id, page_id, user, *rest in rows:
             start = (us - self.offset) // self.slide * self.slide + self.offset
             if start + self.size <= closed:
@@ -136,9 +140,14 @@ class PageMonitor(StatefulProcessor):
             if start not in new:
                 new[start] = Bucket()
             new[start].add(us, event_id, page_id, names.setdefault(user, user), *rest)
-            newest = us if newest is None else max(newest, us)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        closed = timerValues.getCurrentWatermarkInMs() * 1000
+        new: dict[int, Any] = {}
+        yield from self._take(key, rows, closed, new)
         if not new:
             return
+        newest = max(bucket.newest[0] for bucket in new.values())
         for start, bucket in new.items():
             old = self.buckets.getValue((start,)) if self.buckets.containsKey((start,)) else None
             self.buckets.updateValue((start,), bucket.joined(old))
@@ -204,23 +213,53 @@ class PageMonitor(StatefulProcessor):
         return self.row(*found.values())
 
     @staticmethod
-    def _window(parts: list[tuple]) -> dict[str, Any]:
+    def _mutual(parts: list[tuple]) -> tuple[int, str | None, str | None]:
+        written: dict[int, tuple] = {}
+        for p in parts:
+            for revision, *who in zip(p[11], p[12], p[13], p[14]):
+                if revision not in written or tuple(who[:2]) > written[revision][:2]:
+                    written[revision] = tuple(who)
+        return strongest_pair({k: v[2] for k, v in written.items()}, [x for p in parts for x in zip(p[15], p[16])])
+
+    def _window(self, parts: list[tuple]) -> dict[str, Any]:
         total = lambda i: sum(p[i] for p in parts)
         newest = max((p for p in parts), key=lambda p: (p[7], p[8]))
-        mutual, a, b = 0, None, None
-        if any(p[15] for p in parts):
-            written: dict[int, tuple] = {}
-            for p in parts:
-                for revision, *who in zip(p[11], p[12], p[13], p[14]):
-                    if revision not in written or tuple(who[:2]) > written[revision][:2]:
-                        written[revision] = tuple(who)
-            mutual, a, b = strongest_pair({k: v[2] for k, v in written.items()}, [x for p in parts for x in zip(p[15], p[16])])
+        mutual, a, b = self._mutual(parts)
         return {
             "page_id": next((p[0] for p in parts if p[0] is not None), None), "edit_count": total(1), "unique_editors": len({e for p in parts for e in p[6]}), "human_edits": total(1) - total(2), "bot_edits": total(2),
             "revert_count": total(3), "net_byte_delta": total(4), "edit_burst_count": total(5), "last_revision_id": newest[9], "provenance_id": newest[10], "mutual_revert_count": mutual, "editor_a": a, "editor_b": b,
         }
 
 
+class _Blocks(list):
+    """Blocks that a batch adds to a bucket."""
+
+    @property
+    def newest(self) -> tuple:
+        return max(block[7:9] for block in self)
+
+    def joined(self, old: tuple | None) -> tuple:
+        return blocks.joined(self if old is None else [old, *self])
+
+
+class BlockMonitor(PageMonitor):
+    """A PageMonitor that takes edits as blocks, and keeps each bucket as one."""
+
+    BUCKET = blocks.FIELDS
+
+    def _take(self, key: Any, rows: Iterator[Row], closed: int, new: dict[int, Any]) -> Iterator[Row]:
+        for _, _, start, *block in rows:
+            if start + self.size <= closed:
+                for event_id, us in blocks.edits_of(block):
+                    yield self._report(kind=LATE, wiki=key[0], page_title=key[1], event_id=event_id, event_time=us)
+            else:
+                new.setdefault(start, _Blocks()).append(tuple(block))
+
+    @staticmethod
+    def _mutual(parts: list[tuple]) -> tuple[int, str | None, str | None]:
+        return strongest(blocks.edges(parts))
+
+
 def monitor(events: DataFrame, slide: Slide = Slide(), watermark_seconds: int = 120, detector: Detector = Detector(), rule: ConflictRule = ConflictRule()) -> DataFrame:
     """A stream of reports on pages.  ``kind`` is window, late or evicted.
 
@@ -239,8 +278,9 @@ def monitor(events: DataFrame, slide: Slide = Slide(), watermark_seconds: int =
     output = T.StructType.fromDDL(fields)
     # as a number, so that rows behind the watermark come through and are judged by their windows
     timed = events.withWatermark("event_time", f"{watermark_seconds} seconds").withColumn("us", F.unix_micros("event_time"))
-    rows = timed.select("wiki", "page_title", "us", "event_id", "page_id", "user", "is_bot", "is_revert", "revision_id", "revert_target_revision_id", "byte_length_delta", "provenance_id").where(F.col("us").isNotNull())
-    found = rows.groupBy("wiki", "page_title").transformWithState(PageMonitor(slide, detector, id_type, output), output, "Append", "EventTime")
+    watch = BlockMonitor(slide, detector, id_type, output)
+    rows = blocks.pack(timed.where(F.col("us").isNotNull()), watch.slide, watch.offset, id_type)
+    found = rows.groupBy("wiki", "page_title").transformWithState(watch, output, "Append", "EventTime")
     burst = F.when(F.col("edit_burst_count") >= rule.burst_min, F.col("edit_burst_count")).otherwise(0)
     exact = F.col("mutual_revert_count") * rule.mutual_weight + burst * rule.burst_weight
     flag = (F.col("mutual_revert_count") >= rule.mutual_threshold) | ((F.col("mutual_revert_count") > 0) & (exact >= rule.score_threshold))

@@ -83,20 +83,33 @@ def keyed_append(path: str, keys: tuple[str, ...], time: str | None = None) -> C
     return write
 
 
-def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None, **trigger: Any):
+def start(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None, state_partitions: int | None = None, **trigger: Any):
     """The running query, in append mode, through foreachBatch or into Parquet files.
 
+    ``state_partitions`` is how many partitions a new query's state has, the
+    session's shuffle partitions by default; each costs a task a batch, with a Python
+    worker if the state is Python's, whether it has keys or not.
+
     ``trigger`` is one of Spark's, such as processingTime="30 seconds" for a
     service (the default) or availableNow=True; offsets and state are in checkpoint,
     from which a query that is started again goes on.
     """
     out = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger or {"processingTime": "30 seconds"})
     out = out.queryName(name) if name else out
-    return (out.foreachBatch(write) if write else out.format("parquet").option("path", path)).start()
+    out = out.foreachBatch(write) if write else out.format("parquet").option("path", path)
+    if state_partitions is None:
+        return out.start()
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return out.start()  # the query has a copy of the session's settings from here on
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None):
+def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, path: str | None = None, name: str | None = None, state_partitions: int | None = None):
     """Process what is there and end."""
-    query = start(stream, checkpoint, write, path, name, availableNow=True)
+    query = start(stream, checkpoint, write, path, name, state_partitions, availableNow=True)
     query.awaitTermination()
     return query
