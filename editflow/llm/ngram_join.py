@@ -15,8 +15,9 @@ as many comparisons as it has texts; lists of common tokens are split, and
 their leaders compared with one leader.  Then only texts of one list that lie
 in different components may still link.  Short lists are paired off.  Longer
 ones with the same leader are one group; in each, all texts outside its largest component are compared with all
-of its texts, in one task for up to some thousand texts: the three filters are
-products of small matrices there, what is left is counted exactly, and only
+of its texts, in one task for up to some thousand texts.  First only sizes and
+counts by class move, which leave few; of those the three filters are
+products of small matrices, what is left is counted exactly, and only
 links become rows.  So the components are exact, whatever the leaders.
 """
 
@@ -58,6 +59,8 @@ REST_TEXTS, PART_TEXTS = 512, 2048
 REST_TOKENS, PART_TOKENS = 1 << 20, 1 << 22
 #: Columns of the matrices that first tokens are compared by.  Two tokens in one column cost a comparison, no result.
 _COLUMNS = 2048
+#: Pairs whose bars are compared at a time.
+_PAIRS = 1 << 15
 _PROFILE = ("bars", "second", "third", "print")
 
 
@@ -439,13 +442,61 @@ class _Texts:
         return i[one], j[one]
 
 
-def _links_within(groups: DataFrame, docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+def _still_open(cells: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (cell, id, component, outside, n) of cells (and block): the texts that may link with one of another component on their cell's other side.
+
+    Sizes and bars are compared, of which a text has some 256 bytes, so that
+    most texts of a cell, which share rare tokens by chance, never move.
+    """
+    needed = cells.select(F.col("block").alias("of_block"), F.col("id").alias("of_id")).distinct()
+    sizes = needed.join(_named(profiles.select("id", "n", "bars"), cells.select("id")), F.col("of_id") == F.col("id")).select("of_block", "of_id", "n", "bars")
+
+    def sieve(left: pa.Table, right: pa.Table) -> pa.Table:
+        of_id: dict[int, list[int]] = {}  # rows that share an id have several
+        for i, x in enumerate(right.column("of_id").to_pylist()):
+            of_id.setdefault(x, []).append(i)
+        n, raw = right.column("n").to_numpy(), right.column("bars").to_pylist()
+        fit = np.array([len(x) == BARS for x in raw], bool)
+        bars = np.zeros((len(raw), BARS), np.uint8)
+        bars[fit] = np.frombuffer(b"".join(x for x in raw if len(x) == BARS), np.uint8).reshape(-1, BARS)
+        cell, ids, component, outside = (left.column(c).to_numpy() for c in ("cell", "id", "component", "outside"))
+        order = np.argsort(cell, kind="stable")
+        edge = np.flatnonzero(np.append(True, cell[order][1:] != cell[order][:-1]))
+        keep, size = np.zeros(len(cell), bool), np.zeros(len(cell), np.int64)
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(cell)]):
+            sides = []
+            for mine in (True, False):
+                at = order[a:b][outside[order[a:b]] == mine]
+                units = [(r, i) for r, x in zip(at.tolist(), ids[at].tolist()) for i in of_id.get(x, ())]
+                sides.append(np.array(units, np.int64).reshape(-1, 2).T)
+            (row, some), (row2, all_) = sides
+            m, m2 = n[some][:, None], n[all_][None, :]
+            open_ = (component[row][:, None] != component[row2][None, :]) & (np.minimum(m, m2) * den >= np.maximum(m, m2) * num) & (np.minimum(m, m2) > 0)
+            i, j = np.nonzero(open_)
+            for begin in range(0, len(i), _PAIRS):
+                x, y = i[begin : begin + _PAIRS], j[begin : begin + _PAIRS]
+                new = ~(keep[row[x]] & keep[row2[y]])
+                x, y = x[new], y[new]
+                s, t = some[x], all_[y]
+                both = np.minimum(bars[s], bars[t]).sum(1, dtype=np.int64)
+                may = ~(fit[s] & fit[t]) | (both * (num + den) >= (n[s] + n[t]) * num)
+                keep[row[x[may]]] = keep[row2[y[may]]] = True
+            for r, u in sides:
+                np.maximum.at(size, r, n[u])
+        return pa.table([pa.array(c[keep]) for c in (cell, ids, component, outside, size)], names=["cell", "id", "component", "outside", "n"])
+
+    kept = cells.groupBy("block").cogroup(sizes.groupBy("of_block")).applyInArrow(sieve, "cell long, id long, component long, outside boolean, n long")
+    return settle(kept, "open-cells")
+
+
+def _links_within(groups: DataFrame, profiles: DataFrame, docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """Rows (u, v): links between different components of a group (lead, id, n, component), enough of them to join all components that link.
 
     Texts outside a group's largest component are compared with all of the
     group.  A cell is up to about REST_TEXTS of the former and PART_TEXTS of the
     latter, and fewer where these have more than REST_TOKENS and PART_TOKENS;
-    small groups are one cell, and blocks have several.
+    small groups are one cell, and blocks have several.  What sizes and bars
+    exclude is left out before texts move.
     """
     level_of = docs.sparkSession.sparkContext.broadcast(levels)
     by_component = groups.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"))
@@ -456,11 +507,12 @@ def _links_within(groups: DataFrame, docs: DataFrame, levels: np.ndarray, k: int
     dealt = groups.join(sizes, "lead").withColumns({"r": cut("rest", REST_TEXTS, "rest_t", REST_TOKENS), "g": cut("m", PART_TEXTS, "t", PART_TOKENS)})
     every = dealt.select("lead", "id", "component", F.lit(False).alias("outside"), F.pmod(F.xxhash64("id"), "g").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("r") - 1)).alias("i"))
     outside = dealt.where("component != most").select("lead", "id", "component", F.lit(True).alias("outside"), F.pmod(F.xxhash64("id", F.lit(1)), "r").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
-    cells = every.unionByName(outside).select(F.xxhash64("lead", "i", "j").alias("cell"), "id", "component", "outside")
-    buckets = _loads(*groups.agg(F.count(F.lit(1)), F.sum("n")).first())
-    placed = settle(cells.withColumn("block", F.pmod(F.xxhash64("cell"), F.lit(buckets)).cast("int")), "cells")
+    in_blocks = lambda rows, counted: rows.withColumn("block", F.pmod(F.xxhash64("cell"), F.lit(_loads(*counted.agg(F.count(F.lit(1)), F.sum("n")).first()))).cast("int"))
+    dealt_out = settle(in_blocks(every.unionByName(outside).select(F.xxhash64("lead", "i", "j").alias("cell"), "id", "component", "outside"), groups), "cells")
+    left_in = _still_open(dealt_out, profiles, num, den)
+    placed = in_blocks(left_in, left_in.where(~F.col("outside")))
     needed = placed.select(F.col("block").alias("of_block"), F.col("id").alias("of_id")).distinct()
-    texts = needed.join(_named(docs, groups.select("id")), F.col("of_id") == F.col("id")).select("of_block", "of_id", "text")
+    texts = needed.join(_named(docs, left_in.select("id")), F.col("of_id") == F.col("id")).select("of_block", "of_id", "text")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         known = _Texts(right, k, num, den, level_of.value)
@@ -481,7 +533,7 @@ def _links_within(groups: DataFrame, docs: DataFrame, levels: np.ndarray, k: int
         return pa.table([np.concatenate(u), np.concatenate(v)], names=["u", "v"])
 
     links = settle(placed.groupBy("block").cogroup(texts.groupBy("of_block")).applyInArrow(compare, "u long, v long"), "links")
-    forget(placed)
+    forget(dealt_out, left_in)
     return links
 
 
@@ -515,7 +567,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs, groups = _left_open(postings, components, num, den)
     forget(postings, stars, components)
     more = _verified(pairs, sets, rows, k, num, den)
-    most = _links_within(groups, rows, levels, k, num, den)
+    most = _links_within(groups, sets, rows, levels, k, num, den)
     forget(pairs, groups)
     final = connected_components(links.unionByName(more).unionByName(most))
     forget(links, more, most)

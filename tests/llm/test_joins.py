@@ -123,6 +123,20 @@ def test_a_large_family_just_below_the_threshold(spark, monkeypatch, sizes):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_texts_that_share_words_by_chance_leave_their_cell_without_moving(spark):
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(1000)}" for _ in range(n)]
+    base, long = words(200), words(200)
+    texts = {i: ["one", "two", "three", "four", *words(200)] for i in range(40)}
+    texts |= {100: base, 101: [*base, "x"], 102: base, 103: ["same"] * 70_000, 104: ["same"] * 300 + long, 105: []}
+    profiles = ngram_join._profiles(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "id long, text string"), 4, 85, 100).where("cell is null")
+    # 102 is in the component of 100, and 101 in another cell as well, where it is alone with what is unlike it
+    cells = [(7, i, 100 if i == 102 else i, o, 0) for i in texts for o in (False, True)] + [(8, i, i, o, 0) for i in (101, 1, 2) for o in (False, True)]
+    got = ngram_join._still_open(spark.createDataFrame(cells, "cell long, id long, component long, outside boolean, block int"), profiles, 85, 100).collect()
+    assert sorted((r.cell, r.id, r.component, r.outside) for r in got) == [(7, i, c, o) for i, c in ((100, 100), (101, 101), (102, 100)) for o in (False, True)]
+    assert {r.n for r in got} == {197, 198}
+
+
 def test_counts_by_matrices_are_exact(monkeypatch):
     rng = random.Random(4)
     texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(90)] + [""]
