@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from editflow import queries
 from editflow.functions import expressions as X
 from editflow.operators import normalize
 from editflow.schemas import CANONICAL
@@ -115,3 +116,12 @@ def test_a_message_is_parsed_once_whatever_is_read_of_it(spark):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     wire = spark.createDataFrame([("{}",)], "value string")
     assert normalize.keep_required(normalize.parse_canonical(wire))._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_what_breaks_a_message_is_not_read_out_of_its_json(spark, monkeypatch):
+    plans = []
+    stored = queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df, name))
+    rows = queries.QUERIES["reject_unparsed"](spark, "/root/testdata/sf0.001")
+    assert 0 < rows.count() < queries.QUERIES["validate_required"](spark, "/root/testdata/sf0.001").count()
+    assert len(plans) == 1 and "$.revision_id" not in plans[0]
